@@ -79,20 +79,11 @@ def evaluate_category(scored: DataFrame, label: str) -> dict:
     return metrics.overall_metrics(metrics.confusion(scored, label, "category_prediction")).first().asDict()
 
 
-def _binary_columns(label: str, weight: str | None) -> dict:
-    out = {
-        "featuresCol": "features_vec", "labelCol": label, "predictionCol": "binary_prediction",
-        "probabilityCol": "binary_probs", "rawPredictionCol": "binary_raw", "seed": SEED,
-    }
-    return {**out, "weightCol": weight} if weight else out
-
-
-def _category_columns(label: str, weight: str | None) -> dict:
-    out = {
-        "featuresCol": "features_mc", "labelCol": label, "predictionCol": "category_prediction",
-        "probabilityCol": "category_probs", "rawPredictionCol": "category_raw", "seed": SEED,
-    }
-    return {**out, "weightCol": weight} if weight else out
+def _estimator(kind, stage: str, features: str, label: str, weight: str | None, params: dict):
+    """A classifier whose output columns are named after its stage, so that two can be chained."""
+    model = kind(featuresCol=features, labelCol=label, predictionCol=f"{stage}_prediction", seed=SEED, **params)
+    model.setProbabilityCol(f"{stage}_probs").setRawPredictionCol(f"{stage}_raw")
+    return model.setWeightCol(weight) if weight else model
 
 
 def _fit_grid(stages, candidates, train, test, evaluate, score) -> Fitted:
@@ -113,7 +104,9 @@ def _fit_grid(stages, candidates, train, test, evaluate, score) -> Fitted:
 def fit_binary_forest(train, test, features, label="binary_label", params=None, weighted=True) -> Fitted:
     params = params or BINARY_FOREST
     train, weight = _weighted(train, label, 2, weighted)
-    candidates = lambda _: [(params, RandomForestClassifier(**_binary_columns(label, weight), **params))]
+    candidates = lambda _: [
+        (params, _estimator(RandomForestClassifier, "binary", "features_vec", label, weight, params))
+    ]
     return _fit_grid(
         binary_stages(features), candidates, train, test,
         lambda scored: evaluate_binary(scored, label), lambda m: m["auc_roc"],
@@ -124,7 +117,8 @@ def fit_binary_gbt(train, test, features, label="binary_label", grid=None, weigh
     """The grid entry with the best ROC area."""
     train, weight = _weighted(train, label, 2, weighted)
     candidates = lambda _: [
-        (params, GBTClassifier(**_binary_columns(label, weight), **params)) for params in grid or BINARY_GBT_GRID
+        (params, _estimator(GBTClassifier, "binary", "features_vec", label, weight, params))
+        for params in grid or BINARY_GBT_GRID
     ]
     return _fit_grid(
         binary_stages(features), candidates, train, test,
@@ -143,9 +137,8 @@ def fit_category_forest(
         index = next(s for s in prepared.stages if isinstance(s, StringIndexerModel))
         for params in grid or CATEGORY_FOREST_GRID:
             params = {**params, "maxBins": max(params.get("maxBins", 32), required_bins(index))}
-            yield params, RandomForestClassifier(
-                **_category_columns(label, weight), featureSubsetStrategy="sqrt", **params
-            )
+            params = {"featureSubsetStrategy": "sqrt", **params}
+            yield params, _estimator(RandomForestClassifier, "category", "features_mc", label, weight, params)
 
     return _fit_grid(
         category_stages(features, categoricals), candidates, train, test,

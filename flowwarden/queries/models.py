@@ -15,7 +15,7 @@ from flowwarden.schemas import CATEGORICALS
 from flowwarden.session import work_path
 
 SMALL_FOREST = {**train.BINARY_FOREST, "numTrees": 8, "maxDepth": 5}
-SMALL_GBT = [{**p, "maxIter": n, "maxDepth": 3} for n, p in zip((3, 4, 5), train.BINARY_GBT_GRID)]
+SMALL_GBT = [{**p, "maxIter": n, "maxDepth": 3} for n, p in zip((2, 3, 2), train.BINARY_GBT_GRID)]
 SMALL_CATEGORY = [{**p, "numTrees": n, "maxDepth": 5} for n, p in zip((4, 6, 8), train.CATEGORY_FOREST_GRID)]
 
 
@@ -59,7 +59,7 @@ def m08_category_forest_grid(spark, d):
 @query()
 def m09_plain_models(spark, d):
     parts = _splits(spark, d)
-    gbt = {**train.PLAIN_GBT, "maxIter": 4, "maxDepth": 3}
+    gbt = {**train.PLAIN_GBT, "maxIter": 3, "maxDepth": 3}
     forest = {**train.PLAIN_FOREST, "numTrees": 6, "maxDepth": 5}
     return _results(
         spark,

@@ -279,7 +279,7 @@ def _scored(spark, d, include_normal=False):
 
 def _binary_rows(spark, d):
     return _scored(spark, d, True).select(
-        F.col("label"), F.col("binary_prediction").alias("prediction"), F.col("binary_probability").alias("score")
+        F.col("label"), F.col("binary_prediction").alias("prediction"), F.round("binary_probability", 9).alias("score")
     )
 
 
@@ -331,7 +331,7 @@ def a09_per_class_accuracy(spark, d):
     f"""SELECT round(CAST(sum(u) AS DOUBLE) / (CAST(max(p) AS DOUBLE) * max(q)), 9) AS auc_roc FROM (
           SELECT pos * (below + CAST(0.5 AS DOUBLE) * neg) AS u, sum(pos) OVER () AS p, sum(neg) OVER () AS q FROM (
             SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY binary_probability ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
-            FROM (SELECT binary_probability, sum(label) AS pos, sum(1 - label) AS neg
+            FROM (SELECT round(binary_probability, 9) AS binary_probability, sum(label) AS pos, sum(1 - label) AS neg
                   FROM ({SCORED_SQL}) s GROUP BY 1) a) b) c""",
     ("messages",),
 )
@@ -345,7 +345,8 @@ def a10_roc_auc(spark, d):
           SELECT recall, precision, lag(recall) OVER w AS last_recall, lag(precision) OVER w AS last_precision FROM (
             SELECT binary_probability, CAST(sum(pos) OVER up AS DOUBLE) / sum(pos) OVER () AS recall,
                    CAST(sum(pos) OVER up AS DOUBLE) / (sum(pos + neg) OVER up) AS precision
-            FROM (SELECT binary_probability, sum(label) AS pos, sum(1 - label) AS neg FROM ({SCORED_SQL}) s GROUP BY 1) a
+            FROM (SELECT round(binary_probability, 9) AS binary_probability, sum(label) AS pos, sum(1 - label) AS neg
+                  FROM ({SCORED_SQL}) s GROUP BY 1) a
             WINDOW up AS (ORDER BY binary_probability DESC ROWS UNBOUNDED PRECEDING)) b
           WINDOW w AS (ORDER BY binary_probability DESC)) c""",
     ("messages",),

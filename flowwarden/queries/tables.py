@@ -185,7 +185,7 @@ def k04_capped_recent_list(spark, d):
           FROM events WHERE user_id % 7 <> 0 OR event_id % 3 <> 0),
         filled AS (SELECT row_key, label, coalesce(dur, md) AS dur, coalesce(rate, mr) AS rate
           FROM kept, (SELECT quantile_cont(dur, 0.5) AS md, quantile_cont(rate, 0.5) AS mr FROM kept) m)
-       SELECT row_key, label, least(greatest(dur, dl), dh) AS dur, least(greatest(rate, rl), rh) AS rate
+       SELECT row_key, label, round(least(greatest(dur, dl), dh), 9) AS dur, round(least(greatest(rate, rl), rh), 9) AS rate
        FROM filled, (SELECT quantile_cont(dur, 0.01) AS dl, quantile_cont(dur, 0.99) AS dh,
                             quantile_cont(rate, 0.01) AS rl, quantile_cont(rate, 0.99) AS rh FROM filled) b"""
 )
@@ -203,7 +203,7 @@ def k05_prepared_tables(spark, d):
     path = work_path(spark, "prepared-tables")
     prepare.write_prepared(train, test, path)
     both = readers.read_table(spark, f"{path}/train").unionByName(readers.read_table(spark, f"{path}/test"))
-    return both.select("row_key", "label", "dur", "rate")
+    return both.select("row_key", "label", F.round("dur", 9).alias("dur"), F.round("rate", 9).alias("rate"))
 
 
 @query("SELECT record_id, session_id, rate, proto, dur, label FROM messages", ("messages",))
@@ -236,7 +236,7 @@ def k08_metadata_sidecars(spark, d):
         raise ValueError("feature list changed on the way")
     total = spark.read.schema("total bigint").json(f"{path}/results").first()["total"]
     names = readers.read_label_map(spark, f"{path}/labels")
-    return counts.drop("attack_type").join(F.broadcast(names), "attack_cat_id").withColumn("total", F.lit(total))
+    return counts.drop("attack_type").join(F.broadcast(names), "attack_cat_id").withColumn("total", F.lit(total).cast("bigint"))
 
 
 @query(
@@ -251,7 +251,7 @@ def k09_replicate(spark, d):
     target = work_path(spark, "replica")
     alert_table.create_tables(spark, target)
     high = ranking.of_severity(alert_table.read_alerts(spark, source, "session-3"), "high")
-    alert_table.write_alerts(high.drop("alert_date"), target, 1)
+    alert_table.write_alerts(high, target, 1)
     alert_table.replicate(spark, source, target, "session-3", 2)
     alert_table.replicate(spark, source, target, "session-3", 3)
     return _listed(alert_table.read_alerts(spark, target))

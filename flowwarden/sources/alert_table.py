@@ -2,15 +2,18 @@
 
 Every write is a commit folder; writing a commit again replaces that folder, so a retried batch
 leaves one copy. Reads show the last write per key without rows deleted by a later commit.
-Partitions by session and day let session reads and time cutoffs skip files.
+Session reads and old months skip whole folders; rows are sorted by time within files, so a cutoff
+inside a month skips row groups. Days would make many tiny files for quiet sessions.
 
-    <path>/alerts/commit=N/session_id=S/alert_date=D/
+    <path>/alerts/commit=N/session_id=S/alert_month=YYYY-MM/
     <path>/sessions/commit=N/
     <path>/deleted/commit=N/
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +25,7 @@ from flowwarden.plans.score import enrich_alerts
 from flowwarden.schemas import ALERT_KEY, ALERT_SCHEMA, RECENT_CAP, SESSION_SCHEMA
 
 _COMMIT = T.StructField("commit", T.LongType())
-_ALERT_FILES = T.StructType([*ALERT_SCHEMA.fields, T.StructField("alert_date", T.DateType()), _COMMIT])
+_ALERT_FILES = T.StructType([*ALERT_SCHEMA.fields, T.StructField("alert_month", T.StringType()), _COMMIT])
 _SESSION_FILES = T.StructType([*SESSION_SCHEMA.fields, _COMMIT])
 _DELETED_FILES = T.StructType([T.StructField("session_id", T.StringType()), _COMMIT])
 
@@ -63,25 +66,32 @@ def store_alerts(alerts: DataFrame, path: str, commit: int, session_id: str | No
 def write_alerts(rows: DataFrame, path: str, commit: int) -> None:
     """Rows that are already one per key."""
     (
-        rows.withColumn("alert_date", F.to_date("alert_time"))
-        .hint("rebalance", F.col("session_id"), F.col("alert_date"))
+        rows.withColumn("alert_month", F.date_format("alert_time", "yyyy-MM"))
+        .hint("rebalance", F.col("session_id"), F.col("alert_month"))
+        .sortWithinPartitions("session_id", "alert_month", "alert_time")
         .write.mode("overwrite")
-        .partitionBy("session_id", "alert_date")
+        .partitionBy("session_id", "alert_month")
         .parquet(f"{path}/alerts/commit={commit}")
     )
 
 
-def read_alerts(spark: SparkSession, path: str, session_id: str | None = None) -> DataFrame:
+def read_alerts(
+    spark: SparkSession, path: str, session_id: str | None = None, since: dt.datetime | None = None
+) -> DataFrame:
     """Live alerts: last write per key, deleted sessions left out.
 
-    The session filter and any later filter on ``alert_date`` select partitions, as both are
-    grouping columns.
+    ``session_id`` and the month of ``since`` select folders; the time itself selects row groups.
     """
     stored = spark.read.schema(_ALERT_FILES).parquet(f"{path}/alerts")
     if session_id is not None:
         stored = stored.where(F.col("session_id") == session_id)
-    rows = last_write(_live(spark, path, stored), [*ALERT_KEY, "alert_date"], ["commit"])
-    return rows.select(*ALERT_SCHEMA.names, "alert_date")
+    if since is not None:
+        start = F.lit(since).cast("timestamp")
+        stored = stored.where(
+            (F.col("alert_month") >= F.date_format(start, "yyyy-MM")) & (F.col("alert_time") >= start)
+        )
+    rows = last_write(_live(spark, path, stored).drop("alert_month"), ALERT_KEY, ["commit"])
+    return rows.select(*ALERT_SCHEMA.names)
 
 
 def _live(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
@@ -142,7 +152,7 @@ def delete_all(spark: SparkSession, path: str, commit: int) -> DataFrame:
 def compact(spark: SparkSession, path: str, target: str) -> None:
     """Write the live rows as one commit of a new table; the old one stays readable meanwhile."""
     create_tables(spark, target)
-    write_alerts(read_alerts(spark, path).drop("alert_date"), target, 1)
+    write_alerts(read_alerts(spark, path), target, 1)
     read_sessions(spark, path).write.mode("overwrite").parquet(f"{target}/sessions/commit=1")
 
 
@@ -167,7 +177,7 @@ def ingest(payloads: DataFrame, path: str, commit: int, default_session: str, de
 
 def replicate(spark: SparkSession, source: str, target: str, session_id: str, commit: int, n: int = 500) -> None:
     """Copy the newest ``n`` alerts of a session that the target lacks, and all sessions."""
-    newest = latest(read_alerts(spark, source, session_id), n).drop("alert_date")
+    newest = latest(read_alerts(spark, source, session_id), n)
     there = read_alerts(spark, target, session_id)
     write_alerts(bounded_not_in(newest, there, ALERT_KEY), target, commit)
     read_sessions(spark, source).write.mode("overwrite").parquet(f"{target}/sessions/commit={commit}")

@@ -43,7 +43,7 @@ def differences(spark, name: str, sf_dir: str) -> list[str]:
     """What differs between both engines, empty when nothing does."""
     ours = entry.queries()[name](spark, sf_dir).toArrow()
     con = connect(sf_dir)
-    theirs = con.execute(entry.oracle_sql()[name]).to_arrow_table() if hasattr(con, "execute") else None
+    theirs = con.sql(entry.oracle_sql()[name]).to_arrow_table()
     found = []
     if _kinds(ours) != _kinds(theirs):
         a, b = _kinds(ours), _kinds(theirs)
