@@ -70,10 +70,10 @@ def _alert_stream(spark, folder, cap=1):
     return messages.good_rows(messages.parse_messages(stream, _ALERT_ROW), _ALERT_ROW)
 
 
-def _to_parquet(spark, stream, name, on_batch=None, mode="append"):
+def _to_parquet(spark, stream, name, on_batch=jobs.batch_writer, mode="append", skip_empty=False):
     out = work_path(spark, name)
-    writer = on_batch(out) if on_batch else jobs.stats_batch(out)
-    jobs.run_to_end(jobs.start(stream, writer, work_path(spark, f"{name}-offsets"), trigger=None, mode=mode))
+    offsets = work_path(spark, f"{name}-offsets")
+    jobs.run_to_end(jobs.start(stream, on_batch(out), offsets, trigger=None, mode=mode, skip_empty=skip_empty))
     return out
 
 
@@ -125,10 +125,7 @@ def s04_decode_messages(spark, d):
 def k01_foreach_batch_sink(spark, d):
     folder = _replay(spark, _alert_rows(spark, d), "alert_time")
 
-    def writer(out):
-        return lambda batch, batch_id: batch.write.mode("overwrite").parquet(f"{out}/commit={batch_id}")
-
-    out = spark.read.parquet(_to_parquet(spark, _alert_stream(spark, folder), "sunk", writer))
+    out = spark.read.parquet(_to_parquet(spark, _alert_stream(spark, folder), "sunk", skip_empty=True))
     return out.select(*_ALERT_ROW.names).withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
 
 

@@ -54,17 +54,17 @@ def coerce_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def store_alerts(alerts: DataFrame, path: str, commit: int, session_id: str | None = None) -> None:
-    """Write alert rows as one commit: enriched, coerced, one row per key.
+    """Write alert rows as one commit, enriched and coerced.
 
-    ``rebalance`` lets AQE split the files of a hot session and merge small ones.
+    Copies of a key are left to the read, which combines them anyway; so a write needs one shuffle.
     """
     session = F.lit(session_id) if session_id is not None else None
-    rows = coerce_alerts(enrich_alerts(alerts, session))
-    write_alerts(last_write(rows, ALERT_KEY), path, commit)
+    write_alerts(coerce_alerts(enrich_alerts(alerts, session)), path, commit)
 
 
 def write_alerts(rows: DataFrame, path: str, commit: int) -> None:
-    """Rows that are already one per key."""
+    """Write complete alert rows; ``rebalance`` lets AQE split the files of a hot session and
+    merge small ones."""
     (
         rows.withColumn("alert_month", F.date_format("alert_time", "yyyy-MM"))
         .hint("rebalance", F.col("session_id"), F.col("alert_month"))

@@ -22,15 +22,17 @@ def start(
     checkpoint: str,
     trigger: str | None = DEFAULT_TRIGGER,
     mode: str = "append",
+    skip_empty: bool = True,
 ) -> StreamingQuery:
     """A query that hands each micro-batch to ``on_batch`` and keeps its own offsets.
 
     An error stops the query before the offsets are committed, so the batch is run again on
-    restart instead of being lost. Empty batches are skipped.
+    restart instead of being lost. Empty batches are skipped; turn that off for a stateful
+    stream, where looking into the batch would run its aggregation twice.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
+        if not (skip_empty and batch.isEmpty()):
             on_batch(batch, batch_id)
 
     return (
@@ -53,28 +55,25 @@ def run_to_end(query: StreamingQuery, timeout: int | None = None) -> None:
 def scoring_batch(
     schema: T.StructType, score: Callable[[DataFrame], DataFrame], path: str
 ) -> Callable[[DataFrame, int], None]:
-    """Per batch: parse, put broken messages aside, score, write the attack alerts, record counts.
+    """Per batch: parse, score, write the attack alerts, put broken messages aside, record counts.
 
     Everything is written by the executors under the batch id; a batch that is run again replaces
-    its own output. ``score`` returns attack rows with the score columns.
+    its own output. Counts come with the alert write; the messages are read a second time only
+    when some are broken. ``score`` returns attack rows with the score columns.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        parsed = parse_messages(batch, schema).persist()
-        try:
-            seen = Observation()
-            flows = good_rows(parsed, schema).observe(seen, F.count(F.lit(1)).alias("rows"))
-            found = Observation()
-            alerts = to_alerts(score(flows)).observe(found, F.count(F.lit(1)).alias("attacks"))
-            store_alerts(alerts, path, batch_id)
+        parsed = parse_messages(batch, schema)
+        seen, found = Observation(), Observation()
+        counted = parsed.observe(seen, F.count(F.lit(1)).alias("messages"), F.count_if("bad").alias("bad"))
+        alerts = to_alerts(score(good_rows(counted, schema)))
+        store_alerts(alerts.observe(found, F.count(F.lit(1)).alias("attacks")), path, batch_id)
+        if seen.get["bad"]:
             bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/commit={batch_id}")
-        finally:
-            parsed.unpersist()
-        counts = [(seen.get["rows"], found.get["attacks"])]
-        spark.createDataFrame(counts, "rows bigint, attacks bigint").coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/metrics/commit={batch_id}"
-        )
+        counts = {"rows": seen.get["messages"] - seen.get["bad"], "bad": seen.get["bad"], **found.get}
+        row = [F.lit(n).cast("bigint").alias(c) for c, n in counts.items()]
+        one = batch.sparkSession.range(0, 1, 1, 1).select(*row)
+        one.write.mode("overwrite").parquet(f"{path}/metrics/commit={batch_id}")
 
     return on_batch
 
@@ -84,8 +83,9 @@ def running_stats(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("session_id", "severity", "attack_type").agg(F.count(F.lit(1)).alias("alerts"))
 
 
-def stats_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Write the counts a batch has changed; the newest batch holds the truth for its keys."""
+def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Write each batch under its id: a batch that is run again replaces itself, and of counts
+    written in update mode the newest batch holds the truth for its keys."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/commit={batch_id}")
