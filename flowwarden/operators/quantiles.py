@@ -15,7 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIRECT_ROWS = 2_000_000
+# Numbers (rows times columns) up to which the built-in aggregate is used, and up to which a
+# bracket is small enough to be sorted.
+DIRECT_ROWS = 4_000_000
 
 
 def exact_quantiles(
@@ -29,7 +31,7 @@ def exact_quantiles(
         return {}
     values = {c: _number(F.col(c)) for c in columns}
     counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
-    if max(counts) <= direct_rows:
+    if sum(counts) <= direct_rows:
         row = df.agg(
             *[F.percentile(v, F.array(*[F.lit(p) for p in probs])).alias(c) for c, v in values.items()]
         ).first()
@@ -114,29 +116,34 @@ def order_statistics(
 
 def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> None:
     margin = 4.0 / accuracy
+    brackets: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        brackets.setdefault((t.key, t.low, t.high), []).append(t)
+    # One sketch per bracket serves all ranks asked of it.
     asked = []
-    for i, t in enumerate(targets):
-        spot = (t.rank - t.below) / max(t.inside - 1, 1)
-        value = values[t.key]
+    for i, group in enumerate(brackets.values()):
+        value = values[group[0].key]
+        spots = [(t.rank - t.below) / max(t.inside - 1, 1) for t in group]
+        probs = [p for s in spots for p in (max(s - margin, 0.0), min(s + margin, 1.0))]
         asked.append(
-            F.percentile_approx(
-                F.when(t.within(value), value),
-                [max(spot - margin, 0.0), min(spot + margin, 1.0)],
-                accuracy,
-            ).alias(f"b{i}")
+            F.percentile_approx(F.when(group[0].within(value), value), probs, accuracy).alias(f"b{i}")
         )
-    ends = df.agg(*asked).first()
+    found = df.agg(*asked).first()
+    ends = [
+        (t, found[f"b{i}"][2 * j], found[f"b{i}"][2 * j + 1])
+        for i, group in enumerate(brackets.values())
+        for j, t in enumerate(group)
+    ]
     checks = []
-    for i, t in enumerate(targets):
-        value, (low, high) = values[t.key], ends[f"b{i}"]
+    for i, (t, low, high) in enumerate(ends):
+        value = values[t.key]
         inside = t.within(value)
         checks.append(F.count_if(inside & (value < F.lit(low))).alias(f"l{i}"))
         checks.append(
             F.count_if(inside & (value >= F.lit(low)) & (value <= F.lit(high))).alias(f"m{i}")
         )
     seen = df.agg(*checks).first()
-    for i, t in enumerate(targets):
-        low, high = ends[f"b{i}"]
+    for i, (t, low, high) in enumerate(ends):
         below, inside = t.below + seen[f"l{i}"], seen[f"m{i}"]
         # The sketch only proposes; a bracket counts when it holds the wanted rank. A bracket that
         # does not shrink is mostly copies of few values, which the last step groups first.

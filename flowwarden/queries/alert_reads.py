@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowwarden.functions.scalars import category_or, floor_in_hour, format_iso, half_up, lookup, parse_iso, safe_float, safe_int
+from flowwarden.functions.scalars import category_or, format_iso, half_up, lookup, safe_float, safe_int
 from flowwarden.operators import analytics, joins, labels, ranking, sampling
 from flowwarden.plans import bindings, score
 from flowwarden.queries.registry import query
@@ -500,57 +500,3 @@ def u01_concat_by_name(spark, d):
     return sampling.concat(
         score.attacks(rows).select("alert_id", "severity", "src_ip"), rows.select("dst_ip", "severity", "alert_id")
     )
-
-
-# --- time text
-
-_ISO_CASES = """
-  SELECT event_id, CASE event_id % 9
-           WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
-           WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+05:30'
-           WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M')
-           WHEN 3 THEN 'bad'
-           WHEN 4 THEN ''
-           WHEN 5 THEN NULL
-           WHEN 6 THEN strftime(ts, '%Y%m%dT%H%M%S')
-           WHEN 7 THEN strftime(ts, '%Y-%m')
-           ELSE strftime(ts, '%Y-%m-%d') END AS text, ts
-  FROM events"""
-
-
-@query(
-    f"""SELECT event_id, CASE event_id % 9 WHEN 0 THEN ts
-               WHEN 1 THEN date_trunc('second', ts) - INTERVAL 330 MINUTE
-               WHEN 2 THEN date_trunc('minute', ts) WHEN 6 THEN date_trunc('second', ts)
-               WHEN 8 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) ELSE TIMESTAMP '1970-01-01' END AS parsed,
-              text FROM ({_ISO_CASES}) c"""
-)
-def n03_parse_iso(spark, d):
-    ts, case = F.col("ts"), F.col("event_id") % 9
-    text = (
-        F.when(case == 0, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")))
-        .when(case == 1, F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+05:30")))
-        .when(case == 2, F.date_format(ts, "yyyy-MM-dd HH:mm"))
-        .when(case == 3, "bad")
-        .when(case == 4, "")
-        .when(case == 5, None)
-        .when(case == 6, F.date_format(ts, "yyyyMMdd'T'HHmmss"))
-        .when(case == 7, F.date_format(ts, "yyyy-MM"))
-        .otherwise(F.date_format(ts, "yyyy-MM-dd"))
-    )
-    rows = bindings.table(spark, d, "events").select("event_id", text.alias("text"))
-    return rows.withColumn("parsed", parse_iso(F.col("text")).cast("timestamp_ntz"))
-
-
-@query(
-    "SELECT alert_id, strftime(alert_time, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS iso FROM alerts", ("alerts",)
-)
-def n04_format_iso(spark, d):
-    return bindings.alerts(spark, d).select("alert_id", format_iso(F.col("alert_time")).alias("iso"))
-
-
-@query(
-    f"SELECT event_id, date_trunc('hour', ts) + to_minutes(CAST((minute(ts) // 10) * 10 AS INTEGER)) AS bucket FROM events"
-)
-def n05_floor_minutes(spark, d):
-    return bindings.table(spark, d, "events").select("event_id", floor_in_hour(F.col("ts"), 10).alias("bucket"))

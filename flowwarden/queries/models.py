@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowwarden.operators import cleanse, labels, metrics, sampling
-from flowwarden.plans import bindings, score, train
+from flowwarden.plans import bindings, features, score, train
 from flowwarden.plans.bindings import FLOW_FEATURES
 from flowwarden.queries.registry import query
 from flowwarden.schemas import CATEGORICALS
@@ -41,6 +41,18 @@ def _category(spark, d):
     return train.fit_category_forest(*_splits(spark, d), FLOW_FEATURES, grid=SMALL_CATEGORY[:1])
 
 
+def _bins_sql(c: str) -> str:
+    return f"(SELECT count(DISTINCT {c}) FROM raw_flows)"
+
+
+@query(
+    f"SELECT CAST(greatest({', '.join(map(_bins_sql, CATEGORICALS))}) + 1 AS BIGINT) AS required_bins", ("raw_flows",)
+)
+def m05_required_bins(spark, d):
+    fitted = features.indexer().fit(bindings.raw_flows(spark, d).select(*CATEGORICALS))
+    return spark.createDataFrame([(features.required_bins(fitted),)], "required_bins bigint")
+
+
 @query()
 def m06_binary_forest(spark, d):
     return _results(spark, {"forest": _binary(spark, d)})

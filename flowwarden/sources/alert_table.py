@@ -13,6 +13,7 @@ inside a month skips row groups. Days would make many tiny files for quiet sessi
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,15 @@ def store_alerts(alerts: DataFrame, path: str, commit: int, session_id: str | No
     write_alerts(coerce_alerts(enrich_alerts(alerts, session)), path, commit)
 
 
+def store_alert(
+    spark: SparkSession, alert: dict, path: str, commit: int, session_id: str
+) -> None:
+    """Write a single alert given as a dictionary; fields it lacks get their defaults."""
+    given = {k: v for k, v in alert.items() if v is not None}
+    row = spark.createDataFrame([tuple(given.values())], list(given)) if given else spark.range(1).select()
+    store_alerts(row, path, commit, session_id)
+
+
 def write_alerts(rows: DataFrame, path: str, commit: int) -> None:
     """Write complete alert rows; ``rebalance`` lets AQE split the files of a hot session and
     merge small ones."""
@@ -111,6 +121,11 @@ def recent_alerts(spark: SparkSession, path: str, cap: int = RECENT_CAP) -> Data
     return top_n_per_key(read_alerts(spark, path), ["session_id"], newest_first(), cap)
 
 
+def new_session_id() -> str:
+    """``session-`` and ten random hex digits."""
+    return f"session-{uuid.uuid4().hex[:10]}"
+
+
 def store_sessions(sessions: DataFrame, path: str, commit: int) -> None:
     """Register sessions: a later registration replaces dataset and creation time."""
     rows = sessions.select(
