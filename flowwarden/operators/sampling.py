@@ -11,7 +11,11 @@ from flowwarden.functions.scalars import hash_rank
 from flowwarden.operators.quantiles import DIRECT_ROWS, order_statistics
 from flowwarden.operators.ranking import top_n_per_key
 
-_HASH_SPAN = 16**13
+
+def _hash_below(key: str, share: float) -> Column:
+    """Whether the md5 of the key falls into the lowest ``share`` of all hashes: hex text compares
+    like the number, so nothing needs converting."""
+    return F.md5(F.col(key).cast("string")) < f"{int(share * 16**13):013x}"
 
 
 def concat(*tables: DataFrame) -> DataFrame:
@@ -24,12 +28,12 @@ def concat(*tables: DataFrame) -> DataFrame:
 
 def bernoulli(df: DataFrame, key: str, rate: float) -> DataFrame:
     """Each row with probability ``rate``."""
-    return df.where(hash_rank(F.col(key)) < int(rate * _HASH_SPAN))
+    return df.where(_hash_below(key, rate))
 
 
 def split_by_hash(df: DataFrame, key: str, test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
     """Train and test in one pass without any count; shares hold in expectation, per stratum too."""
-    in_test = hash_rank(F.col(key)) < int(test_size * _HASH_SPAN)
+    in_test = _hash_below(key, test_size)
     return df.where(~in_test), df.where(in_test)
 
 
@@ -94,6 +98,6 @@ def balanced_sample(df: DataFrame, label: str, key: str, n: int = 100) -> DataFr
     """``n`` rows of every class."""
     return (
         top_n_per_key(
-            df.withColumn("_hash", hash_rank(F.col(key))), [label], [F.col("_hash").asc(), F.col(key).asc()], n
+            df.withColumn("_hash", F.md5(F.col(key).cast("string"))), [label], [F.col("_hash").asc(), F.col(key).asc()], n
         ).drop("_hash")
     )

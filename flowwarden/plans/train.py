@@ -48,6 +48,13 @@ class Fitted:
     metrics: dict = field(default_factory=dict)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores for work that reads them many times; a table that already has enough
+    partitions is not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @contextmanager
 def _kept(*tables: DataFrame):
     """Tables read by every candidate fit stay on the executors meanwhile."""
@@ -86,71 +93,71 @@ def _estimator(kind, stage: str, features: str, label: str, weight: str | None,
     return model.setWeightCol(weight) if weight else model
 
 
-def _fit_grid(stages, candidates, train, test, evaluate, score) -> Fitted:
-    """Fit the preparation once and every candidate on the prepared rows; the first of equal
-    scores wins."""
-    prepared = stages.fit(train)
-    best, best_score = None, float("-inf")
-    with _kept(prepared.transform(train), prepared.transform(test)) as (fit_rows, test_rows):
-        for params, estimator in candidates(prepared):
+def _fit_best(
+    stages, candidates, train, test, label, classes, weighted, columns, evaluate, score
+) -> Fitted:
+    """Fit the preparation once, then every candidate; the first of equal scores wins.
+
+    The columns in use are kept on the executors: weights, preparation and every candidate read
+    them. Vectors are made again for each candidate, as trees keep their own binned copy anyway.
+    """
+    needed = [label, *columns]
+    with _kept(spread(train.select(*needed)), spread(test.select(*needed))) as (train, test):
+        weight = "weight" if weighted else None
+        if weighted:
+            train = with_weights(train, label, weight, classes)
+        prepared = stages.fit(train)
+        fit_rows, test_rows = prepared.transform(train), prepared.transform(test)
+        best, best_score = None, float("-inf")
+        for params, estimator in candidates(prepared, weight):
             model = estimator.fit(fit_rows)
-            found = evaluate(model.transform(test_rows))
+            found = evaluate(model.transform(test_rows), label)
             if score(found) > best_score:
                 best_score = score(found)
                 best = Fitted(PipelineModel([*prepared.stages, model]), params, found)
     return best
 
 
-def fit_binary_forest(train, test, features, label="binary_label", params=None, weighted=True) -> Fitted:
-    params = params or BINARY_FOREST
-    train, weight = _weighted(train, label, 2, weighted)
-    candidates = lambda _: [
-        (params, _estimator(RandomForestClassifier, "binary", "features_vec", label, weight, params))
-    ]
-    return _fit_grid(
-        binary_stages(features), candidates, train, test,
-        lambda scored: evaluate_binary(scored, label), lambda m: m["auc_roc"],
+def _fit_binary(kind, grid, train, test, features, label, weighted) -> Fitted:
+    def candidates(_, weight):
+        for params in grid:
+            yield params, _estimator(kind, "binary", "features_vec", label, weight, params)
+
+    return _fit_best(
+        binary_stages(features), candidates, train, test, label, 2, weighted, features,
+        evaluate_binary, lambda m: m["auc_roc"],
     )
 
 
+def fit_binary_forest(train, test, features, label="binary_label", params=None, weighted=True) -> Fitted:
+    return _fit_binary(RandomForestClassifier, [params or BINARY_FOREST], train, test, features, label, weighted)
+
+
 def fit_binary_gbt(train, test, features, label="binary_label", grid=None, weighted=True) -> Fitted:
     """The grid entry with the best ROC area."""
-    train, weight = _weighted(train, label, 2, weighted)
-    candidates = lambda _: [
-        (params, _estimator(GBTClassifier, "binary", "features_vec", label, weight, params))
-        for params in grid or BINARY_GBT_GRID
-    ]
-    return _fit_grid(
-        binary_stages(features), candidates, train, test,
-        lambda scored: evaluate_binary(scored, label), lambda m: m["auc_roc"],
-    )
+    return _fit_binary(GBTClassifier, grid or BINARY_GBT_GRID, train, test, features, label, weighted)
 
 
 def fit_category_forest(
     train, test, features, label="class_label", grid=None, weighted=True, categoricals=CATEGORICALS
 ) -> Fitted:
     """Category model on attack rows: best of 0.7 accuracy + 0.3 weighted F1."""
-    train, test = train.where(F.col(label) > 0), test.where(F.col(label) > 0)
-    train, weight = _weighted(train, label, None, weighted)
 
-    def candidates(prepared):
+    def candidates(prepared, weight):
         index = next(s for s in prepared.stages if isinstance(s, StringIndexerModel))
         for params in grid or CATEGORY_FOREST_GRID:
-            params = {**params, "maxBins": max(params.get("maxBins", 32), required_bins(index))}
-            params = {"featureSubsetStrategy": "sqrt", **params}
+            bins = max(params.get("maxBins", 32), required_bins(index))
+            params = {"featureSubsetStrategy": "sqrt", **params, "maxBins": bins}
             yield params, _estimator(RandomForestClassifier, "category", "features_mc", label, weight, params)
 
-    return _fit_grid(
-        category_stages(features, categoricals), candidates, train, test,
-        lambda scored: evaluate_category(scored, label),
+    attacks = F.col(label) > 0
+    return _fit_best(
+        category_stages(features, categoricals), candidates, train.where(attacks), test.where(attacks),
+        label, None, weighted, [*features, *categoricals], evaluate_category,
         lambda m: ACCURACY_SHARE * m["accuracy"] + F1_SHARE * m["weighted_f1"],
     )
 
 
-def _weighted(train: DataFrame, label: str, classes: int | None, weighted: bool):
-    return (with_weights(train, label, "weight", classes), "weight") if weighted else (train, None)
-
-
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

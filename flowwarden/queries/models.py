@@ -20,11 +20,19 @@ SMALL_CATEGORY = [{**p, "numTrees": n, "maxDepth": 5} for n, p in zip((4, 6, 8),
 
 
 def _splits(spark, d):
-    """Cleaned, labelled rows split by a hash of their content."""
-    flows = labels.with_labels(bindings.raw_flows(spark, d))
-    flows = cleanse.clean_features(flows, FLOW_FEATURES).withColumn("binary_label", F.col("label").cast("double"))
-    keyed = flows.withColumn("_key", F.xxhash64(*FLOW_FEATURES, *CATEGORICALS))
-    return tuple(part.drop("_key") for part in sampling.split_by_hash(keyed, "_key", 0.2))
+    """Rows split by a hash of their content, then cleaned and labelled.
+
+    Splitting first keeps the filter small: pushed below the cleansing it would repeat every
+    cleansing expression.
+    """
+    raw = bindings.raw_flows(spark, d)
+    parts = sampling.split_by_hash(raw.withColumn("_key", F.xxhash64(*raw.columns)), "_key", 0.2)
+    return tuple(
+        cleanse.clean_features(labels.with_labels(part.drop("_key")), FLOW_FEATURES).withColumn(
+            "binary_label", F.col("label").cast("double")
+        )
+        for part in parts
+    )
 
 
 def _results(spark, fitted: dict):
