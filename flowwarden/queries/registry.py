@@ -6,6 +6,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from flowwarden.plans.bindings import with_views
+from flowwarden.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,8 +18,7 @@ def query(sql: str | None = None, views: tuple[str, ...] = ()):
     def register(fn):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf_dir)
+            return fn(apply_settings(spark), sf_dir)
 
         if fn.__name__ in QUERIES:
             raise ValueError(f"registered twice: {fn.__name__}")
