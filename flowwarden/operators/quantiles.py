@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 # Numbers (rows times columns) up to which the built-in aggregate is used, and up to which a
 # bracket is small enough to be sorted.
-DIRECT_ROWS = 4_000_000
+DIRECT_ROWS = 500_000
 
 
 def exact_quantiles(
@@ -116,12 +116,10 @@ def order_statistics(
 
 def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> None:
     margin = 4.0 / accuracy
-    brackets: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        brackets.setdefault((t.key, t.low, t.high), []).append(t)
+    brackets = _brackets(targets)
     # One sketch per bracket serves all ranks asked of it.
     asked = []
-    for i, group in enumerate(brackets.values()):
+    for i, group in enumerate(brackets):
         value = values[group[0].key]
         spots = [(t.rank - t.below) / max(t.inside - 1, 1) for t in group]
         probs = [p for s in spots for p in (max(s - margin, 0.0), min(s + margin, 1.0))]
@@ -131,7 +129,7 @@ def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> Non
     found = df.agg(*asked).first()
     ends = [
         (t, found[f"b{i}"][2 * j], found[f"b{i}"][2 * j + 1])
-        for i, group in enumerate(brackets.values())
+        for i, group in enumerate(brackets)
         for j, t in enumerate(group)
     ]
     checks = []
@@ -154,29 +152,43 @@ def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> Non
             t.done = True
 
 
+def _brackets(targets: list[_Target]) -> list[list[_Target]]:
+    """Targets that look at the same rows of the same column, together."""
+    found: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        found.setdefault((t.key, t.low, t.high), []).append(t)
+    return list(found.values())
+
+
 def _pick(df: DataFrame, values, targets: list[_Target]) -> dict[tuple[str, int], float]:
+    groups = _brackets(targets)
     candidates = F.array(
         *[
-            F.struct(F.lit(i).alias("target"), F.when(t.within(values[t.key]), values[t.key]).alias("value"))
-            for i, t in enumerate(targets)
+            F.struct(
+                F.lit(i).alias("bracket"),
+                F.when(g[0].within(values[g[0].key]), values[g[0].key]).alias("value"),
+            )
+            for i, g in enumerate(groups)
         ]
     )
     wanted = F.create_map(
-        *[x for i, t in enumerate(targets) for x in (F.lit(i), F.lit(t.rank - t.below))]
+        *[x for i, g in enumerate(groups) for x in (F.lit(i), F.array(*[F.lit(t.rank - t.below) for t in g]))]
     )
-    ordered = Window.partitionBy("target").orderBy("value")
+    ordered = Window.partitionBy("bracket").orderBy("value")
+    upto, n = F.col("upto"), F.col("n")
     rows = (
         df.select(F.inline(candidates))
         .where(F.col("value").isNotNull())
-        .groupBy("target", "value")
+        .groupBy("bracket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(ordered))
-        .where((F.col("upto") > wanted[F.col("target")]) & (F.col("upto") - F.col("n") <= wanted[F.col("target")]))
-        .select("target", "value")
+        .select("bracket", "value", "upto", "n", F.explode(wanted[F.col("bracket")]).alias("rank"))
+        .where((upto > F.col("rank")) & (upto - n <= F.col("rank")))
+        .select("bracket", "rank", "value")
         .collect()
     )
-    found = {r["target"]: r["value"] for r in rows}
-    return {(t.key, t.rank): found[i] for i, t in enumerate(targets)}
+    found = {(r["bracket"], r["rank"]): r["value"] for r in rows}
+    return {(t.key, t.rank): found[i, t.rank - t.below] for i, g in enumerate(groups) for t in g}
 
 
 def _number(col: Column) -> Column:
