@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowwarden.operators.ranking import last_write
+
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header. Inference costs a second pass over the files, so a schema is preferred."""
@@ -49,18 +51,22 @@ def read_feature_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
-    """Id and name from a sidecar with either mapping layout; ids that are no integers are
-    skipped."""
+    """Id and name from a sidecar with either mapping layout; ids that are no integers are skipped.
+
+    Where two names share an id in the name-to-id layout, the later one counts.
+    """
     schema = "reverse_mapping map<string,string>, attack_mapping map<string,string>"
     doc = spark.read.schema(schema).json(path, multiLine=True)
-    inverted = F.map_from_entries(
-        F.transform(
-            F.map_entries("attack_mapping"),
-            lambda e: F.struct(e["value"].alias("key"), e["key"].alias("value")),
-        )
+    swapped = F.transform(
+        F.map_entries("attack_mapping"),
+        lambda e: F.struct(e["value"].alias("key"), e["key"].alias("value")),
+    )
+    entries = doc.select(
+        F.posexplode(F.coalesce(F.map_entries("reverse_mapping"), swapped)).alias("position", "entry")
     )
-    return (
-        doc.select(F.explode(F.coalesce("reverse_mapping", inverted)).alias("id_text", "attack_type"))
-        .select(F.col("id_text").try_cast("int").alias("attack_cat_id"), "attack_type")
-        .where(F.col("attack_cat_id").isNotNull())
+    rows = entries.select(
+        F.col("entry.key").try_cast("int").alias("attack_cat_id"),
+        F.col("entry.value").alias("attack_type"),
+        "position",
     )
+    return last_write(rows.where(F.col("attack_cat_id").isNotNull()), ["attack_cat_id"], ["position"]).drop("position")
