@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from flowwarden.functions.scalars import category_or, lookup
@@ -12,7 +11,6 @@ from flowwarden.plans import bindings, features, score
 from flowwarden.plans.bindings import FLOW_FEATURES
 from flowwarden.queries.registry import query
 from flowwarden.schemas import ATTACK_TYPES, TRAINING_LABELS
-from flowwarden.session import work_path
 
 
 def _finite(c: str) -> str:
@@ -434,13 +432,9 @@ def u02_scored_with_normals(spark, d):
     f"SELECT count(*) AS rows, CAST(sum(binary_prediction) AS BIGINT) AS attacks FROM ({SCORED_SQL}) s", ("messages",)
 )
 def a15_batch_counts(spark, d):
-    # The counts come with the write of the alerts; the batch is not read for them again.
-    seen = Observation()
-    scored = _scored(spark, d, include_normal=True).observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.sum("binary_prediction").alias("attacks")
+    return _scored(spark, d, include_normal=True).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("binary_prediction").alias("attacks")
     )
-    score.to_alerts(score.attacks(scored)).write.parquet(work_path(spark, "counted"))
-    return spark.createDataFrame([(seen.get["rows"], seen.get["attacks"])], "rows bigint, attacks bigint")
 
 
 @query(

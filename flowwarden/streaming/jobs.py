@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowwarden.operators.analytics import since
 from flowwarden.plans.score import to_alerts
+from flowwarden.schemas import ALERT_SCHEMA
 from flowwarden.sources.alert_table import store_alerts
 from flowwarden.sources.messages import bad_rows, good_rows, parse_messages
 from flowwarden.streaming.sources import DEFAULT_DELAY, DEFAULT_TRIGGER, trigger_options
@@ -58,21 +59,26 @@ def scoring_batch(
     """Per batch: parse, score, write the attack alerts, put broken messages aside, record counts.
 
     Everything is written by the executors under the batch id; a batch that is run again replaces
-    its own output. Counts come with the alert write; the messages are read a second time only
-    when some are broken. ``score`` returns attack rows with the score columns.
+    its own output. The parsed batch is kept for the three passes over it. (An ``Observation``
+    would save one, but a session that holds one can no longer ship fitted models.) ``score``
+    returns attack rows with the score columns.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_messages(batch, schema)
-        seen, found = Observation(), Observation()
-        counted = parsed.observe(seen, F.count(F.lit(1)).alias("messages"), F.count_if("bad").alias("bad"))
-        alerts = to_alerts(score(good_rows(counted, schema)))
-        store_alerts(alerts.observe(found, F.count(F.lit(1)).alias("attacks")), path, batch_id)
-        if seen.get["bad"]:
-            bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/commit={batch_id}")
-        counts = {"rows": seen.get["messages"] - seen.get["bad"], "bad": seen.get["bad"], **found.get}
+        spark = batch.sparkSession
+        parsed = parse_messages(batch, schema).persist()
+        try:
+            seen = parsed.agg(F.count_if(~F.col("bad")).alias("rows"), F.count_if("bad").alias("bad")).first()
+            store_alerts(to_alerts(score(good_rows(parsed, schema))), path, batch_id)
+            if seen["bad"]:
+                bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/commit={batch_id}")
+        finally:
+            parsed.unpersist()
+        # A count of written files comes from their footers.
+        attacks = spark.read.schema(ALERT_SCHEMA).parquet(f"{path}/alerts/commit={batch_id}").count()
+        counts = {**seen.asDict(), "attacks": attacks}
         row = [F.lit(n).cast("bigint").alias(c) for c, n in counts.items()]
-        one = batch.sparkSession.range(0, 1, 1, 1).select(*row)
+        one = spark.range(0, 1, 1, 1).select(*row)
         one.write.mode("overwrite").parquet(f"{path}/metrics/commit={batch_id}")
 
     return on_batch

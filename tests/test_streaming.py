@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowwarden.operators.cleanse import clean_features
-from flowwarden.plans import score
+from flowwarden.plans import score, train
 from flowwarden.schemas import MESSAGE_SCHEMA
 from flowwarden.session import work_path
 from flowwarden.sources import alert_table, messages
@@ -82,3 +82,25 @@ def test_empty_batch_is_skipped_and_stop_is_graceful(spark):
     query.processAllAvailable()
     jobs.run_to_end(query, timeout=1)
     assert calls == [] and not query.isActive
+
+
+def test_fitted_models_score_a_stream(spark):
+    rows = spark.range(400).select(
+        (F.col("id") % 10).cast("double").alias("rate"), F.lit("tcp").alias("proto"), F.lit("-").alias("service"),
+        F.lit("FIN").alias("state"), (F.col("id") % 10 >= 5).cast("double").alias("binary_label"),
+        F.when(F.col("id") % 10 >= 5, 1.0 + F.col("id") % 2).otherwise(0.0).alias("class_label"),
+    )
+    small = {"numTrees": 2, "maxDepth": 3}
+    binary = train.fit_binary_forest(rows, rows, ["rate"], params=small).model
+    category = train.fit_category_forest(rows, rows, ["rate"], grid=[small]).model
+    folder, path = work_path(spark, "in"), work_path(spark, "out")
+    alert_table.create_tables(spark, path)
+    for start in (0, 20):
+        messages.publish(lines(spark, 20, start, extra=["broken"]), "text", folder)
+    stream = sources.message_stream(spark, folder, fmt="text", cap=1)
+    job = jobs.scoring_batch(MESSAGE_SCHEMA, lambda flows: score.cascade(flows, binary, category, ["rate"]), path)
+    jobs.run_to_end(jobs.start(stream, job, work_path(spark, "offsets"), trigger=None))
+    found = alert_table.read_alerts(spark, path)
+    assert found.count() == 40 and {r.severity for r in found.collect()} == {"high"}
+    counts = spark.read.parquet(f"{path}/metrics").select("rows", "bad", "attacks").collect()
+    assert list(map(tuple, counts)) == [(20, 1, 20)] * 2
