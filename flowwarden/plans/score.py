@@ -16,6 +16,7 @@ from flowwarden.functions.scalars import lookup, record_key, safe_float, safe_in
 from flowwarden.operators.cleanse import clean_features
 from flowwarden.operators.joins import severity_of
 from flowwarden.schemas import ATTACK_TYPES, HIGH_CONFIDENCE
+from flowwarden.session import ship_package
 
 
 def score_binary(df: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
@@ -201,6 +202,7 @@ def score_with(df: DataFrame, scorer, features: list[str], keep: list[str]) -> D
     ``scorer`` takes a float matrix and returns arrays named as the score columns; it is broadcast
     once. Only the flagged rows come back.
     """
+    ship_package(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(scorer)
     needed = [c for c in dict.fromkeys([*keep, *features]) if c in df.columns]
     cleaned = clean_features(df.select(*needed), features)

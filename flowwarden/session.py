@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import os
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -69,6 +72,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/flowwarden/{name}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _archive() -> str:
+    package = pathlib.Path(__file__).resolve().parent
+    target = f"{tempfile.mkdtemp(prefix='flowwarden-package-')}/{package.name}"
+    return shutil.make_archive(target, "zip", package.parent, package.name)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, for objects of its classes in tasks."""
+    archive = _archive()
+    if os.path.basename(archive) not in {os.path.basename(f) for f in spark.sparkContext.listFiles}:
+        spark.sparkContext.addPyFile(archive)
+
+
 def materialise(df, name: str):
     """Write ``df`` to the shared folder and read it back: computed once, lineage cut, and safe
     when an executor is lost."""
