@@ -30,8 +30,9 @@ MAX_SAMPLE = 20_000
 TREES = 12
 #: Rows of the table, not of the sample, that a leaf should hold.
 LEAF_ROWS = 96
-#: Rows, counted once per tree, that a query looks at.
-SEARCH_ROWS = 6_000
+#: Rows, counted once per tree, that a query looks at: at least so many, and so many times the root of the table's rows.
+SEARCH_ROWS = 24_000
+SEARCH_ROOT = 120
 SLICE = 8192
 
 
@@ -189,7 +190,7 @@ def _group(k: int):
 
 def nearest(
     df: DataFrame, pick_queries, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-    trees: int = TREES, search_rows: int = SEARCH_ROWS, leaf_rows: int = LEAF_ROWS, max_sample: int = MAX_SAMPLE, seed: int = 5,
+    trees: int = TREES, search_rows: int | None = None, leaf_rows: int = LEAF_ROWS, max_sample: int = MAX_SAMPLE, seed: int = 5,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for every query. ``pick_queries`` is a condition on the id."""
     spark = df.sparkSession
@@ -206,6 +207,7 @@ def nearest(
     if not len(sample):
         sample = np.eye(1, length)
     rng = np.random.default_rng(seed)
+    search_rows = search_rows or max(SEARCH_ROWS, int(SEARCH_ROOT * n**0.5))
     in_leaf = max(8, int(leaf_rows * len(sample) / n))
     forest = [grow(sample, in_leaf, rng) for _ in range(trees)]
     forest_everywhere = spark.sparkContext.broadcast(forest)
