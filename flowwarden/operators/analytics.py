@@ -58,7 +58,7 @@ def alert_stats(
     keys = [F.col(c) for c in by]
     sev, kind = F.col("severity"), F.col("attack_type")
     sets = [keys, [*keys, sev], [*keys, kind]]
-    return (
+    facets = (
         counted.groupingSets(sets, *keys, sev, kind)
         .agg(F.grouping("severity").alias("_s"), F.grouping("attack_type").alias("_t"), F.sum("n").alias("alerts"))
         .select(
@@ -68,6 +68,13 @@ def alert_stats(
             "alerts",
         )
     )
+    if by:
+        return facets
+    # A window without alerts still has a total: 0.
+    none = alerts.sparkSession.range(1).select(
+        F.lit("total").alias("facet"), F.lit("all").alias("name"), F.lit(0).cast("bigint").alias("alerts")
+    )
+    return facets.unionByName(none).groupBy("facet", "name").agg(F.sum("alerts").alias("alerts"))
 
 
 def severity_counts(alerts: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowwarden.functions.scalars import finite_or_zero, nan_to_null
-from flowwarden.operators.quantiles import DIRECT_ROWS, approx_quantiles, exact_quantiles
+from flowwarden.operators.quantiles import approx_quantiles, exact_quantiles
 
 
 def normalise_names(df: DataFrame) -> DataFrame:
@@ -66,13 +66,12 @@ def fill_medians(
     df: DataFrame,
     columns: list[str] | None = None,
     exact: bool = True,
-    direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
     """Replace missing numbers by the column median. Filled columns become double, so that a
     median between two integers is not truncated."""
     columns = columns if columns is not None else numeric_columns(df)
     medians = (
-        exact_quantiles(df, columns, [0.5], direct_rows)
+        exact_quantiles(df, columns, [0.5])
         if exact
         else approx_quantiles(df, columns, [0.5])
     )
@@ -92,12 +91,11 @@ def clip_outliers(
     lower: float = 0.01,
     upper: float = 0.99,
     exact: bool = True,
-    direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
     """Clip columns to their own quantile range; null stays null, absent columns are skipped."""
     columns = [c for c in columns if c in set(df.columns)]
     bounds = (
-        exact_quantiles(df, columns, [lower, upper], direct_rows)
+        exact_quantiles(df, columns, [lower, upper])
         if exact
         else approx_quantiles(df, columns, [lower, upper])
     )

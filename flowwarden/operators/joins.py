@@ -7,20 +7,6 @@ from pyspark.sql import functions as F
 
 from flowwarden.functions.scalars import lookup
 from flowwarden.schemas import SEVERITIES, SEVERITY_ALIASES
-from flowwarden.session import materialise
-
-BROADCAST_ROWS = 100_000
-
-
-def sized(dim: DataFrame, name: str = "dim", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A derived dimension, computed once and broadcast only when its row count allows it.
-
-    Beyond the bound it is returned as a plain table: Spark then joins by shuffle, with AQE
-    splitting hot keys.
-    """
-    table = materialise(dim, name)
-    return F.broadcast(table) if table.count() <= max_rows else table
-
 
 def lookup_join(
     df: DataFrame, dim: DataFrame, on: str, dim_key: str, value: str, out: str, default
@@ -47,12 +33,27 @@ def session_counts(sessions: DataFrame, alerts: DataFrame) -> DataFrame:
     )
 
 
+#: Parts that the alerts of one session are dealt to where both tables are too large to broadcast.
+SESSION_PARTS = 16
+
+
+def _by_part(alerts: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A session may hold a third of the alerts: its rows go to several tasks, its key to each of them.
+    A small session table is broadcast by its size, and nothing is dealt."""
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(SESSION_PARTS)).cast("int")
+    known = sessions.select("session_id").distinct()
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SESSION_PARTS - 1)))
+    return alerts.withColumn("_part", part), known.withColumn("_part", parts)
+
+
 def registered_only(alerts: DataFrame, sessions: DataFrame) -> DataFrame:
-    return alerts.join(sessions.select("session_id"), "session_id", "left_semi")
+    left, right = _by_part(alerts, sessions)
+    return left.join(right, ["session_id", "_part"], "left_semi").drop("_part")
 
 
 def orphans(alerts: DataFrame, sessions: DataFrame) -> DataFrame:
-    return alerts.join(sessions.select("session_id"), "session_id", "left_anti")
+    left, right = _by_part(alerts, sessions)
+    return left.join(right, ["session_id", "_part"], "left_anti").drop("_part")
 
 
 def not_in(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact quantiles whose memory does not grow with the table.
 
-Spark's ``percentile`` keeps every distinct value of a column in one aggregation buffer. That is
-fine up to a known row count; above it, the wanted ranks are bracketed with the mergeable sketch
-behind ``percentile_approx``, the rows below each bracket are counted exactly, and only the rows
-inside the bracket are looked at again. Nothing but counts and bracket ends reaches the driver.
+Spark's ``percentile`` keeps every distinct value of a column in one aggregation buffer. Here the
+wanted ranks are bracketed with the mergeable sketch behind ``percentile_approx``, the rows below
+and on the ends of each bracket are counted exactly, and the next round looks inside the bracket
+only. Ends that are frequent values drop out, so a bracket shrinks in every round. Nothing but
+counts and bracket ends reaches the driver.
 """
 
 from __future__ import annotations
@@ -15,28 +16,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Numbers (rows times columns) up to which the built-in aggregate is used, and up to which a
-# bracket is small enough to be sorted.
-DIRECT_ROWS = 500_000
+# Rows a bracket may hold at last; so many are sorted in one task.
+BRACKET_ROWS = 1_000
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probs: list[float],
-    direct_rows: int = DIRECT_ROWS,
+    bracket_rows: int = BRACKET_ROWS,
 ) -> dict[str, list[float | None]]:
     """Interpolated quantiles (``percentile`` semantics) of several columns; NaN counts as null."""
     if not columns:
         return {}
     values = {c: _number(F.col(c)) for c in columns}
     counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
-    if sum(counts) <= direct_rows:
-        row = df.agg(
-            *[F.percentile(v, F.array(*[F.lit(p) for p in probs])).alias(c) for c, v in values.items()]
-        ).first()
-        return {c: row[c] if row[c] is not None else [None] * len(probs) for c in columns}
-
     spots = {(c, p): p * (counts[c] - 1) for c in columns for p in probs if counts[c]}
     ranks = {
         c: sorted(
@@ -46,7 +40,7 @@ def exact_quantiles(
         if counts[c]
     }
     stats = order_statistics(
-        df, {c: values[c] for c in ranks}, ranks, {c: counts[c] for c in ranks}, direct_rows
+        df, {c: values[c] for c in ranks}, ranks, {c: counts[c] for c in ranks}, bracket_rows
     )
 
     def interpolate(c: str, p: float) -> float | None:
@@ -74,20 +68,23 @@ def approx_quantiles(
 
 @dataclass
 class _Target:
+    """A wanted rank and the open interval that holds it, until its value is found."""
+
     key: str
     rank: int
+    inside: int
     low: float | None = None
     high: float | None = None
     below: int = 0
-    inside: int = 0
-    done: bool = False
+    value: float | None = None
+    margin: float = 0.0
 
     def within(self, value: Column) -> Column:
         cond = value.isNotNull()
         if self.low is not None:
-            cond &= value >= F.lit(self.low)
+            cond &= value > F.lit(self.low)
         if self.high is not None:
-            cond &= value <= F.lit(self.high)
+            cond &= value < F.lit(self.high)
         return cond
 
 
@@ -96,33 +93,29 @@ def order_statistics(
     values: Mapping[str, Column],
     ranks: Mapping[str, list[int]],
     counts: Mapping[str, int],
-    direct_rows: int = DIRECT_ROWS,
+    bracket_rows: int = BRACKET_ROWS,
     accuracy: int = 10_000,
-    rounds: int = 6,
 ) -> dict[tuple[str, int], float]:
     """The values at the given zero-based ranks of each column expression."""
     targets = [
-        _Target(key, rank, inside=counts[key])
+        _Target(key, rank, counts[key], margin=4.0 / accuracy)
         for key, wanted in ranks.items()
         for rank in wanted
     ]
-    for _ in range(rounds):
-        open_targets = [t for t in targets if not t.done and t.inside > direct_rows]
-        if not open_targets:
-            break
-        _narrow(df, values, open_targets, accuracy)
-    return _pick(df, values, targets)
+    while wide := [t for t in targets if t.value is None and t.inside > bracket_rows]:
+        _narrow(df, values, wide, accuracy)
+    found = {(t.key, t.rank): t.value for t in targets if t.value is not None}
+    return found | _pick(df, values, [t for t in targets if t.value is None])
 
 
 def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> None:
-    margin = 4.0 / accuracy
     brackets = _brackets(targets)
     # One sketch per bracket serves all ranks asked of it.
     asked = []
     for i, group in enumerate(brackets):
         value = values[group[0].key]
-        spots = [(t.rank - t.below) / max(t.inside - 1, 1) for t in group]
-        probs = [p for s in spots for p in (max(s - margin, 0.0), min(s + margin, 1.0))]
+        spots = [((t.rank - t.below) / max(t.inside - 1, 1), t.margin) for t in group]
+        probs = [p for s, m in spots for p in (max(s - m, 0.0), min(s + m, 1.0))]
         asked.append(
             F.percentile_approx(F.when(group[0].within(value), value), probs, accuracy).alias(f"b{i}")
         )
@@ -134,22 +127,26 @@ def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> Non
     ]
     checks = []
     for i, (t, low, high) in enumerate(ends):
-        value = values[t.key]
-        inside = t.within(value)
+        value, inside = values[t.key], t.within(values[t.key])
         checks.append(F.count_if(inside & (value < F.lit(low))).alias(f"l{i}"))
-        checks.append(
-            F.count_if(inside & (value >= F.lit(low)) & (value <= F.lit(high))).alias(f"m{i}")
-        )
+        checks.append(F.count_if(value == F.lit(low)).alias(f"a{i}"))
+        checks.append(F.count_if(inside & (value > F.lit(low)) & (value < F.lit(high))).alias(f"m{i}"))
+        checks.append(F.count_if(value == F.lit(high)).alias(f"z{i}"))
     seen = df.agg(*checks).first()
     for i, (t, low, high) in enumerate(ends):
-        below, inside = t.below + seen[f"l{i}"], seen[f"m{i}"]
-        # The sketch only proposes; a bracket counts when it holds the wanted rank. A bracket that
-        # does not shrink is mostly copies of few values, which the last step groups first.
-        if below <= t.rank < below + inside:
-            t.done = inside > 0.9 * t.inside
-            t.low, t.high, t.below, t.inside = low, high, below, inside
-        else:
-            t.done = True
+        # Ranks at which the low end, the inside, the high end and what lies above it begin.
+        at_low = t.below + seen[f"l{i}"]
+        at_inside = at_low + seen[f"a{i}"]
+        at_high = at_inside + seen[f"m{i}"]
+        behind = at_high + (seen[f"z{i}"] if high != low else 0)
+        if at_low <= t.rank < at_inside:
+            t.value = low
+        elif at_inside <= t.rank < at_high:
+            t.low, t.high, t.below, t.inside = low, high, at_inside, seen[f"m{i}"]
+        elif at_high <= t.rank < behind:
+            t.value = high
+        else:  # the sketch only proposes; ask again with a wider margin
+            t.margin *= 4
 
 
 def _brackets(targets: list[_Target]) -> list[list[_Target]]:
@@ -161,15 +158,19 @@ def _brackets(targets: list[_Target]) -> list[list[_Target]]:
 
 
 def _pick(df: DataFrame, values, targets: list[_Target]) -> dict[tuple[str, int], float]:
+    if not targets:
+        return {}
     groups = _brackets(targets)
-    candidates = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("bracket"),
-                F.when(g[0].within(values[g[0].key]), values[g[0].key]).alias("value"),
-            )
-            for i, g in enumerate(groups)
-        ]
+    inside = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    g[0].within(values[g[0].key]),
+                    F.struct(F.lit(i).alias("bracket"), values[g[0].key].alias("value")),
+                )
+                for i, g in enumerate(groups)
+            ]
+        )
     )
     wanted = F.create_map(
         *[x for i, g in enumerate(groups) for x in (F.lit(i), F.array(*[F.lit(t.rank - t.below) for t in g]))]
@@ -177,8 +178,7 @@ def _pick(df: DataFrame, values, targets: list[_Target]) -> dict[tuple[str, int]
     ordered = Window.partitionBy("bracket").orderBy("value")
     upto, n = F.col("upto"), F.col("n")
     rows = (
-        df.select(F.inline(candidates))
-        .where(F.col("value").isNotNull())
+        df.select(F.inline(inside))
         .groupBy("bracket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(ordered))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowwarden.session import materialise
+
 
 def newest_first() -> list[Column]:
     """The one order of alert reads: time descending, id ascending."""
@@ -66,6 +68,45 @@ def last_write(df: DataFrame, keys: list[str], seq: list[str] = ()) -> DataFrame
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 
 
+def last_by_order(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row per key: the one with the highest ``order``, a number that no two rows share.
+
+    Only keys that occur more than once are aggregated and joined back. Both aggregations are on
+    hashes with fixed-width buffers, so nothing is sorted, and the wide rows are not shuffled as
+    long as few keys are written twice: AQE then broadcasts these.
+    """
+    last = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"), F.max(order).alias("_last"))
+    again = last.where(F.col("_copies") > 1).select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_last")
+    same = [df[k].eqNullSafe(again[f"_k_{k}"]) for k in keys]
+    condition = same[0]
+    for part in same[1:]:
+        condition &= part
+    joined = df.join(again, condition, "left")
+    return joined.where(F.col("_last").isNull() | (F.col(order) == F.col("_last"))).select(*df.columns)
+
+
+def numbered_by_range(df: DataFrame, order: list[str], out: str) -> DataFrame:
+    """``out`` = 0, 1, ... in the order of the columns, which must be unique together.
+
+    Rows are sorted by range and numbered per range, with the counts of the earlier ranges added:
+    no task holds more than its range. Written out, so that both uses see the same ranges.
+    """
+    ranged = materialise(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges"
+    )
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.select(
+        "_range", (F.sum("_size").over(Window.orderBy("_range")) - F.col("_size")).alias("_before")
+    )
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    # One row per range on the other side.
+    return (
+        ranged.withColumn("_place", place)
+        .join(F.broadcast(before), "_range")
+        .select(*df.columns, (F.col("_place") + F.col("_before")).cast("bigint").alias(out))
+    )
+
+
 def sort_for_display(alerts: DataFrame, column: str, ascending: bool = True) -> DataFrame:
     """Sort by one column as the alert list does: probability as a number, the rest as
     case-insensitive text. Newest-first order breaks ties, which also lets Spark split the range

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.functions.scalars import hash_rank
-from flowwarden.operators.quantiles import DIRECT_ROWS, order_statistics
-from flowwarden.operators.ranking import top_n_per_key
+from flowwarden.operators.ranking import numbered_by_range, top_n_per_key
+from flowwarden.session import materialise
 
 
 def _hash_below(key: str, share: float) -> Column:
@@ -37,61 +37,50 @@ def split_by_hash(df: DataFrame, key: str, test_size: float = 0.2) -> tuple[Data
     return df.where(~in_test), df.where(in_test)
 
 
-def strata_test_sizes(counts: dict, test_size: float) -> dict:
-    """Test rows per stratum: proportional shares of ``ceil(rows * test_size)``, the left-over
-    rows going to the largest remainders."""
-    total = sum(counts.values())
-    wanted = math.ceil(total * test_size)
-    shares = {s: wanted * n / total for s, n in counts.items()}
-    sizes = {s: math.floor(v) for s, v in shares.items()}
-    by_remainder = sorted(counts, key=lambda s: (sizes[s] - shares[s], str(s)))
-    for s in by_remainder[: wanted - sum(sizes.values())]:
-        sizes[s] += 1
-    return sizes
-
-
-def in_test_split(
-    df: DataFrame,
-    key: str,
-    stratum: str | None,
-    test_size: float = 0.2,
-    direct_rows: int = DIRECT_ROWS,
-    max_strata: int = 1000,
-) -> Column:
-    """Marks exactly the wanted number of rows per stratum: those with the smallest key hashes.
-
-    The cut hash of each stratum is an order statistic, so no row is moved or ranked; ``key`` must
-    be unique. Without the column the split is unstratified.
+def strata_test_sizes(counts: DataFrame, test_size: float) -> DataFrame:
+    """Test rows per stratum (``s``, ``n``): proportional shares of ``ceil(rows * test_size)``, the
+    left-over rows going to the largest remainders. Returns ``s``, ``n``, ``wanted``; any number of strata."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    all_wanted = math.ceil(total * test_size)
+    share = F.lit(all_wanted).cast("double") * F.col("n") / F.lit(float(max(total, 1)))
+    shares = counts.select("s", "n", F.floor(share).alias("base"), (F.floor(share) - share).alias("_behind"))
+    shares = numbered_by_range(shares.withColumn("_name", F.coalesce(F.col("s").cast("string"), F.lit(""))), ["_behind", "_name"], "_place")
+    left = all_wanted - (shares.agg(F.sum("base")).first()[0] or 0)
+    return shares.select("s", "n", (F.col("base") + (F.col("_place") < left).cast("bigint")).alias("wanted"))
+
+
+def with_test_flag(
+    df: DataFrame, key: str, stratum: str | None, out: str = "in_test", test_size: float = 0.2
+) -> DataFrame:
+    """``out`` marks exactly the wanted number of rows per stratum: those with the smallest key
+    hashes, equal hashes in the order of the key; ``key`` must be unique.
+
+    Only (stratum, hash, key) is sorted, by range, so a large stratum spreads over many tasks. The
+    last chosen row of each stratum is its cut, and the cuts are joined back like any dimension.
+    Without the column the split is unstratified.
     """
     group = F.col(stratum) if stratum and stratum in df.columns else F.lit(0)
-    found = df.groupBy(group.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(max_strata + 1).collect()
-    if len(found) > max_strata:
-        raise ValueError(f"more than {max_strata} strata in {stratum}: split by hash instead")
-    strata = [r["s"] for r in found]
-    counts = {i: r["n"] for i, r in enumerate(found)}
+    narrow = df.select(group.alias("s"), hash_rank(F.col(key)).alias("_hash"), F.col(key).alias("_key"))
+    ordered = numbered_by_range(narrow, ["s", "_hash", "_key"], "_place")
+    counts = materialise(narrow.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "strata")
     sizes = strata_test_sizes(counts, test_size)
-    rank = hash_rank(F.col(key)).cast("double")
-    values = {str(i): F.when(group.eqNullSafe(F.lit(s)), rank) for i, s in enumerate(strata)}
-    ranks = {str(i): [sizes[i] - 1] for i in counts if sizes[i] > 0}
-    cuts = order_statistics(df, values, ranks, {str(i): n for i, n in counts.items()}, direct_rows)
-    chosen = F.lit(False)
-    for i, s in enumerate(strata):
-        if sizes[i]:
-            cut = cuts[str(i), sizes[i] - 1]
-            chosen = chosen | (group.eqNullSafe(F.lit(s)) & (rank <= F.lit(cut)))
-    return chosen
+    starts = ordered.groupBy("s").agg(F.min("_place").alias("_start"))
+    ends = sizes.join(starts, sizes["s"].eqNullSafe(starts["s"])).where("wanted > 0")
+    cuts = ordered.join(
+        ends.select((F.col("_start") + F.col("wanted") - 1).alias("_end")), ordered["_place"] == F.col("_end")
+    ).select(F.col("s").alias("_s"), F.col("_hash").alias("_cut"), F.col("_key").alias("_cut_key"))
+    cuts = materialise(cuts, "strata-cuts")
+    marked = df.withColumn("_hash", hash_rank(F.col(key))).join(cuts, group.eqNullSafe(F.col("_s")), "left")
+    chosen = (F.col("_hash") < F.col("_cut")) | ((F.col("_hash") == F.col("_cut")) & (F.col(key) <= F.col("_cut_key")))
+    return marked.select(*df.columns, F.coalesce(chosen, F.lit(False)).alias(out))
 
 
 def split_train_test(
-    df: DataFrame,
-    key: str,
-    stratum: str | None = "label",
-    test_size: float = 0.2,
-    direct_rows: int = DIRECT_ROWS,
+    df: DataFrame, key: str, stratum: str | None = "label", test_size: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:
     """Exact stratified split."""
-    chosen = in_test_split(df, key, stratum, test_size, direct_rows)
-    return df.where(~chosen), df.where(chosen)
+    marked = with_test_flag(df, key, stratum, "_in_test", test_size)
+    return marked.where(~F.col("_in_test")).drop("_in_test"), marked.where("_in_test").drop("_in_test")
 
 
 def balanced_sample(df: DataFrame, label: str, key: str, n: int = 100) -> DataFrame:

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowwarden.operators.labels import fallback_code
+from flowwarden.operators.labels import with_fallback_codes
 from flowwarden.schemas import CATEGORICALS
 
 
@@ -54,20 +54,13 @@ def required_bins(model: StringIndexerModel) -> int:
     return max(len(labels) + 1 for labels in model.labelsArray)
 
 
-def widened(df: DataFrame, values: Column, have: int, want: int) -> Column:
-    """An array of ``have`` features brought to ``want``: the three category codes are appended,
-    then zeros. Nothing is added when the model takes no more than ``have``."""
-    extra = want - have
-    if extra <= 0:
-        return values
-    codes = [fallback_code(df, c) for c in CATEGORICALS][:extra]
-    parts = [values, F.array(*codes)]
-    if extra > len(codes):
-        parts.append(F.array_repeat(F.lit(0.0), extra - len(codes)))
-    return F.concat(*parts)
-
-
 def widen_vector(df: DataFrame, source: str, out: str, have: int, want: int) -> DataFrame:
+    """``out`` = the vector ``source`` of ``have`` numbers with the category codes and then zeros
+    behind it, ``want`` numbers in all. A model that takes no more gets the vector as it is."""
     if want <= have:
         return df.withColumn(out, F.col(source))
-    return df.withColumn(out, array_to_vector(widened(df, vector_to_array(source), have, want)))
+    coded = with_fallback_codes(df, CATEGORICALS)
+    numbers = [F.col(f"{c}_code") for c in CATEGORICALS] + [F.lit(0.0)] * (want - have)
+    tail = F.array(*numbers[: want - have])
+    wide = coded.withColumn(out, array_to_vector(F.concat(vector_to_array(source), tail)))
+    return wide.drop(*[f"{c}_code" for c in CATEGORICALS])

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowwarden.functions.scalars import lookup, record_key, safe_float, safe_int
+from flowwarden.functions.scalars import lookup, parse_iso, record_key, safe_float, safe_int
 from flowwarden.operators.cleanse import clean_features
 from flowwarden.operators.joins import severity_of
 from flowwarden.schemas import ATTACK_TYPES, HIGH_CONFIDENCE
-from flowwarden.session import ship_package
+from flowwarden.session import materialise, ship_package
 
 
 def score_binary(df: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
@@ -40,6 +40,15 @@ def high_confidence(df: DataFrame, threshold: float = HIGH_CONFIDENCE) -> DataFr
     return attacks(df).where(F.col("binary_probability") >= threshold)
 
 
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """The same rows behind a boundary that filters are not pushed through.
+
+    A filter on a prediction would otherwise be pushed below the projection that makes it, and every
+    row that passes would run the model twice.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def score_category(
     df: DataFrame,
     model: PipelineModel,
@@ -48,23 +57,21 @@ def score_category(
 ) -> DataFrame:
     """Adds ``attack_cat_id``, ``attack_type`` and ``attack_confidence``.
 
-    Without normal rows only the flagged rows go through the second model. With them every row
-    does, in one pass, and normal rows are set to id 0, ``Normal``, 0.0: scoring the few extra
-    rows is cheaper than reading and scoring the input twice for a union.
+    Only the flagged rows go through the second model. With ``include_normal`` the other rows are
+    added with id 0, ``Normal``, 0.0; ``df`` should then be a stored table, as it is read for both parts.
     """
-    scored = model.transform(df if include_normal else attacks(df))
+    scored = model.transform(attacks(df))
     cat = F.col("category_prediction").cast("int")
-    confidence = F.coalesce(F.get(vector_to_array("category_probs"), cat), F.lit(0.0))
     found = {
         "attack_cat_id": cat,
         "attack_type": lookup(cat, names, "Unknown"),
-        "attack_confidence": confidence,
+        "attack_confidence": F.coalesce(F.get(vector_to_array("category_probs"), cat), F.lit(0.0)),
     }
-    if include_normal:
-        found = only_for_attacks(found)
-    return scored.withColumns(found).drop(
-        "mc_raw", "mc_scaled", "features_mc", "category_probs", "category_raw", "category_prediction"
-    )
+    flagged = scored.withColumns(found).select(*df.columns, *found)
+    if not include_normal:
+        return flagged
+    rest = {"attack_cat_id": F.lit(0), "attack_type": F.lit("Normal"), "attack_confidence": F.lit(0.0)}
+    return flagged.unionByName(normals(df).withColumns(rest).select(*df.columns, *rest))
 
 
 def only_for_attacks(found: dict[str, Column]) -> dict[str, Column]:
@@ -82,8 +89,13 @@ def cascade(
     names: Mapping[int, str] = ATTACK_TYPES,
     include_normal: bool = False,
 ) -> DataFrame:
-    """Both stages as one lazy plan: the second model sees flagged rows only."""
-    return score_category(score_binary(df, binary, features), category, names, include_normal)
+    """Both stages: the second model sees flagged rows only, the first every row once.
+
+    One lazy plan, unless the normal rows are wanted too: then the first stage is written, as both parts read it.
+    """
+    first = score_binary(df, binary, features)
+    first = materialise(first, "first-stage") if include_normal else evaluated_once(first)
+    return score_category(first, category, names, include_normal)
 
 
 def to_alerts(scored: DataFrame) -> DataFrame:
@@ -117,23 +129,31 @@ def enrich_alerts(alerts: DataFrame, session_id: Column | None = None) -> DataFr
     """Id and write time where missing, and the session.
 
     The id is made from the record the alert stems from, so scoring a record again gives the same
-    alert; only rows without any source key are identified by their content.
+    alert; only rows without any source key are identified by their content. An empty id is a
+    missing one. Times given as text are ISO 8601; text that is none counts as the epoch, an absent time as now.
     """
     present = set(alerts.columns)
-    own = [F.col("alert_id")] if "alert_id" in present else []
-    source = [F.col("record_id")] if "record_id" in present else []
-    times = [F.col(c) for c in ("alert_time", "event_time") if c in present]
+    text = lambda c: F.nullif(F.col(c).cast("string"), F.lit(""))
+    own = [text(c) for c in ("alert_id", "record_id") if c in present]
+    times = [_instant(alerts, c) for c in ("alert_time", "event_time") if c in present]
     content = record_key(*[F.col(c) for c in sorted(present - {"alert_id", "record_id"})])
     session = session_id if session_id is not None else F.col("session_id")
     rest = [c for c in alerts.columns if c not in {"alert_id", "record_id", "alert_time", "event_time", "session_id"}]
     return alerts.select(
         session.alias("session_id"),
         F.coalesce(*times, F.current_timestamp()).cast("timestamp").alias("alert_time"),
-        F.coalesce(*own, *source, content).alias("alert_id"),
+        F.coalesce(*own, content).alias("alert_id"),
         *rest,
     )
 
 
+def _instant(df: DataFrame, column: str) -> Column:
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return F.when(value.isNotNull(), parse_iso(value))
+    return value
+
+
 # --- Rule scorer: a fixed model with the columns of the fitted cascade, so that the jobs around
 # --- scoring can be checked by value.
 

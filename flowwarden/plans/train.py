@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -48,11 +48,17 @@ class Fitted:
     metrics: dict = field(default_factory=dict)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores for work that reads them many times; a table that already has enough
-    partitions is not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Partitions of the tables a model is fitted on: fixed, so that the model does not depend on the cluster.
+FIT_PARTITIONS = 4
+
+
+def bounded(df: DataFrame, max_rows: int, seed: int = SEED) -> DataFrame:
+    """At most about ``max_rows`` rows, chosen by a hash of their content: the one bound on fitting."""
+    rows = df.count()
+    if rows <= max_rows:
+        return df
+    chance = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1_000_000))
+    return df.where(chance < int(1_000_000 * max_rows / rows))
 
 
 @contextmanager
@@ -102,7 +108,7 @@ def _fit_best(
     them. Vectors are made again for each candidate, as trees keep their own binned copy anyway.
     """
     needed = [label, *columns]
-    with _kept(spread(train.select(*needed)), spread(test.select(*needed))) as (train, test):
+    with _kept(train.select(*needed).repartition(FIT_PARTITIONS), test.select(*needed)) as (train, test):
         weight = "weight" if weighted else None
         if weighted:
             train = with_weights(train, label, weight, classes)
@@ -191,3 +197,8 @@ def top_features(spark: SparkSession, model: PipelineModel, names: list[str], n:
     ranked = sorted(zip(names, map(float, values)), key=lambda pair: (-pair[1], pair[0]))[:n]
     rows = [(i, *pair) for i, pair in enumerate(ranked, start=1)]
     return spark.createDataFrame(rows, "rank int, feature string, importance double")
+
+
+def by_rank():
+    """The order of the few ranked features."""
+    return Window.orderBy("rank")

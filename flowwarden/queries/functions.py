@@ -109,14 +109,15 @@ def n06_defaults_and_cases(spark, d):
 
 @query(
     """SELECT CASE WHEN isnan(rate) OR isinf(rate) THEN -1 ELSE CAST(trunc(rate) AS INTEGER) END AS as_int,
-              coalesce(dur, CAST(-1 AS DOUBLE)) AS as_float, -1 AS from_text FROM raw_flows""",
+              coalesce(dur, CAST(-1 AS DOUBLE)) AS as_float,
+              CASE WHEN dbytes % 2 = 0 THEN dbytes ELSE -1 END AS from_text FROM raw_flows""",
     ("raw_flows",),
 )
 def n07_safe_casts(spark, d):
     return bindings.raw_flows(spark, d).select(
         safe_int(F.col("rate"), -1).alias("as_int"),
         safe_float(F.col("dur"), -1.0).alias("as_float"),
-        safe_int(F.col("attack_cat"), -1).alias("from_text"),
+        safe_int(F.when(F.col("dbytes") % 2 == 0, F.col("dbytes").cast("string")).otherwise("odd"), -1).alias("from_text"),
     )
 
 

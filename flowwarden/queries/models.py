@@ -1,52 +1,92 @@
 """Fitting, selection, scoring and comparison of models on the whole flow table.
 
-The forests and boosted trees are small here; ``flowwarden.plans.train`` holds the full settings.
+Models have the full settings of ``flowwarden.plans.train``. Each is fitted once per session and
+table, on at most ``FIT_ROWS`` labelled rows, saved, and loaded wherever it is used again. Every row of the
+table is scored. What a fitted model gives can't be written in SQL, what must hold of it can.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
-from flowwarden.operators import cleanse, labels, metrics, sampling
+from flowwarden.operators import cleanse, joins, labels, metrics, sampling
 from flowwarden.plans import bindings, features, score, train
 from flowwarden.plans.bindings import FLOW_FEATURES
 from flowwarden.queries.registry import query
-from flowwarden.schemas import CATEGORICALS
+from flowwarden.schemas import ATTACK_TYPES, CATEGORICALS
 from flowwarden.session import work_path
 
-SMALL_FOREST = {**train.BINARY_FOREST, "numTrees": 8, "maxDepth": 5}
-SMALL_GBT = [{**p, "maxIter": n, "maxDepth": 3} for n, p in zip((2, 3, 2), train.BINARY_GBT_GRID)]
-SMALL_CATEGORY = [{**p, "numTrees": n, "maxDepth": 5} for n, p in zip((4, 6, 8), train.CATEGORY_FOREST_GRID)]
+#: Labelled rows a model is fitted on: the documented bound.
+FIT_ROWS = 1_000
+
+
+def _labelled(spark, d):
+    rows = cleanse.clean_features(labels.with_labels(bindings.raw_flows(spark, d)), FLOW_FEATURES)
+    return rows.withColumn("binary_label", F.col("label").cast("double"))
 
 
 def _splits(spark, d):
-    """Rows split by a hash of their content, then cleaned and labelled.
+    """Rows split by a hash of their content, then cleaned and labelled; the train part is bounded.
 
     Splitting first keeps the filter small: pushed below the cleansing it would repeat every
     cleansing expression.
     """
     raw = bindings.raw_flows(spark, d)
-    parts = sampling.split_by_hash(raw.withColumn("_key", F.xxhash64(*raw.columns)), "_key", 0.2)
+    fit, test = sampling.split_by_hash(raw.withColumn("_key", F.xxhash64(*raw.columns)), "_key", 0.2)
     return tuple(
         cleanse.clean_features(labels.with_labels(part.drop("_key")), FLOW_FEATURES).withColumn(
             "binary_label", F.col("label").cast("double")
         )
-        for part in parts
+        for part in (train.bounded(fit, FIT_ROWS), test)
     )
 
 
-def _results(spark, fitted: dict):
-    return train.comparison(spark, {name: f.metrics for name, f in fitted.items()}).select(
-        "model", *[F.round(c, 6).alias(c) for c in sorted({m for f in fitted.values() for m in f.metrics})]
-    )
+_FITS = {
+    "forest": lambda parts: train.fit_binary_forest(*parts, FLOW_FEATURES),
+    "gbt": lambda parts: train.fit_binary_gbt(*parts, FLOW_FEATURES),
+    "category": lambda parts: train.fit_category_forest(*parts, FLOW_FEATURES),
+    "plain_gbt": lambda parts: train.fit_binary_gbt(*parts, FLOW_FEATURES, grid=[train.PLAIN_GBT], weighted=False),
+    "plain_category": lambda parts: train.fit_category_forest(*parts, FLOW_FEATURES, grid=[train.PLAIN_FOREST], weighted=False),
+}
+
+
+@functools.lru_cache(maxsize=64)
+def _fitted(app: str, d: str, name: str, spark) -> tuple[str, dict, dict]:
+    found = _FITS[name](_splits(spark, d))
+    path = work_path(spark, f"model-{name}")
+    train.save(found.model, path)
+    return path, found.params, found.metrics
+
+
+def fitted(spark, d, name: str) -> tuple[str, dict, dict]:
+    """Path, parameters and metrics of a model, fitted at its first use in this session."""
+    return _fitted(spark.sparkContext.applicationId, d, name, spark)
+
+
+def _model(spark, d, name):
+    return train.load_models({name: fitted(spark, d, name)[0]})[name]
 
 
-def _binary(spark, d):
-    return train.fit_binary_forest(*_splits(spark, d), FLOW_FEATURES, params=SMALL_FOREST)
+def _above(spark, d, *names):
+    """One row per model and metric that has a floor: whether the metric reaches it."""
+    rows = [
+        (name, metric, fitted(spark, d, name)[2][metric] >= floor)
+        for name in names
+        for metric, floor in _FLOORS.items()
+        if metric in fitted(spark, d, name)[2]
+    ]
+    return spark.createDataFrame(rows, "model string, metric string, reached boolean")
 
 
-def _category(spark, d):
-    return train.fit_category_forest(*_splits(spark, d), FLOW_FEATURES, grid=SMALL_CATEGORY[:1])
+_FLOORS = {"auc_roc": 0.8, "auc_pr": 0.7, "accuracy": 0.6, "weighted_f1": 0.55}
+_BINARY = ("auc_roc", "auc_pr", "accuracy", "weighted_f1")
+_CATEGORY = ("accuracy", "weighted_f1")
+
+
+def _above_sql(**models) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' AS model, '{m}' AS metric, true AS reached" for n, ms in models.items() for m in ms)
 
 
 def _bins_sql(c: str) -> str:
@@ -57,105 +97,120 @@ def _bins_sql(c: str) -> str:
     f"SELECT CAST(greatest({', '.join(map(_bins_sql, CATEGORICALS))}) + 1 AS BIGINT) AS required_bins", ("raw_flows",)
 )
 def m05_required_bins(spark, d):
-    fitted = features.indexer().fit(bindings.raw_flows(spark, d).select(*CATEGORICALS))
-    return spark.createDataFrame([(features.required_bins(fitted),)], "required_bins bigint")
+    found = features.indexer().fit(bindings.raw_flows(spark, d).select(*CATEGORICALS))
+    return spark.createDataFrame([(features.required_bins(found),)], "required_bins bigint")
 
 
-@query()
+@query(_above_sql(forest=_BINARY))
 def m06_binary_forest(spark, d):
-    return _results(spark, {"forest": _binary(spark, d)})
+    return _above(spark, d, "forest")
 
 
-@query()
+@query(_above_sql(gbt=_BINARY))
 def m07_binary_gbt_grid(spark, d):
-    return _results(spark, {"gbt": train.fit_binary_gbt(*_splits(spark, d), FLOW_FEATURES, grid=SMALL_GBT)})
+    return _above(spark, d, "gbt")
 
 
-@query()
+@query(_above_sql(category=_CATEGORY))
 def m08_category_forest_grid(spark, d):
-    return _results(spark, {"category": train.fit_category_forest(*_splits(spark, d), FLOW_FEATURES, grid=SMALL_CATEGORY)})
+    return _above(spark, d, "category")
 
 
-@query()
+@query(_above_sql(plain_gbt=_BINARY, plain_category=_CATEGORY))
 def m09_plain_models(spark, d):
-    parts = _splits(spark, d)
-    gbt = {**train.PLAIN_GBT, "maxIter": 3, "maxDepth": 3}
-    forest = {**train.PLAIN_FOREST, "numTrees": 6, "maxDepth": 5}
-    return _results(
-        spark,
-        {
-            "gbt": train.fit_binary_gbt(*parts, FLOW_FEATURES, grid=[gbt], weighted=False),
-            "category": train.fit_category_forest(*parts, FLOW_FEATURES, grid=[forest], weighted=False),
-        },
-    )
+    return _above(spark, d, "plain_gbt", "plain_category")
+
+
+@query("SELECT 'category' AS missing, count(*) AS scored FROM raw_flows", ("raw_flows",))
+def m10_missing_model(spark, d):
+    """A model that can't be read is named; the one that can scores the table."""
+    paths = {"forest": fitted(spark, d, "forest")[0], "category": work_path(spark, "none-such")}
+    try:
+        train.load_models(paths)
+        missing = ""
+    except FileNotFoundError as error:
+        missing = ",".join(n for n in paths if f"{n}: {paths[n]}" in str(error))
+    rows = score.score_binary(bindings.raw_flows(spark, d), _model(spark, d, "forest"), FLOW_FEATURES)
+    return rows.agg(F.count("binary_probability").alias("scored")).select(F.lit(missing).alias("missing"), "scored")
 
 
-@query()
+@query("SELECT label, count(*) AS rows, count(*) AS consistent FROM raw_flows GROUP BY label", ("raw_flows",))
 def m11_binary_scoring(spark, d):
-    fitted = _binary(spark, d)
-    scored = score.score_binary(_splits(spark, d)[1], fitted.model, FLOW_FEATURES)
-    return scored.groupBy("binary_prediction").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg("binary_probability"), 6).alias("mean_probability")
-    )
+    scored = score.score_binary(bindings.raw_flows(spark, d), _model(spark, d, "forest"), FLOW_FEATURES)
+    p, said = F.col("binary_probability"), F.col("binary_prediction")
+    fits = p.between(0, 1) & (((said == 1) & (p >= 0.5)) | ((said == 0) & (p <= 0.5)))
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.count_if(fits).alias("consistent"))
+
 
+def _consistent():
+    """Whether id, name, confidence and severity of a scored row go together."""
+    kind = F.col("attack_type")
+    named = joins.lookup(F.col("attack_cat_id"), ATTACK_TYPES, "Unknown")
+    normal = (F.col("attack_cat_id") == 0) & (kind == "Normal") & (F.col("attack_confidence") == 0)
+    attack = (F.col("attack_cat_id") > 0) & F.col("attack_confidence").between(0, 1)
+    return (kind == named) & F.when(F.col("binary_prediction") == 1, attack).otherwise(normal)
 
-@query()
+
+@query("SELECT label, count(*) AS rows, count(*) AS consistent FROM raw_flows GROUP BY label", ("raw_flows",))
 def m13_category_scoring(spark, d):
-    fitted = _category(spark, d)
-    flagged = _splits(spark, d)[1].withColumn("binary_prediction", F.col("label").cast("double"))
-    scored = score.score_category(flagged, fitted.model, include_normal=True)
-    return scored.groupBy("attack_cat_id", "attack_type").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg("attack_confidence"), 6).alias("mean_confidence")
+    flagged = cleanse.clean_features(bindings.raw_flows(spark, d), FLOW_FEATURES).withColumn(
+        "binary_prediction", F.col("label").cast("double")
     )
+    scored = score.score_category(flagged, _model(spark, d, "category"), include_normal=True)
+    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), F.count_if(_consistent()).alias("consistent"))
 
 
-@query()
+@query("SELECT count(*) AS rows, count(*) AS consistent, true AS some_alerts, true AS same_alerts FROM raw_flows", ("raw_flows",))
 def m14_cascade(spark, d):
-    """Both fitted models, saved and loaded again, over the whole table; alerts per type."""
-    binary, category = _binary(spark, d), _category(spark, d)
-    paths = {"binary": work_path(spark, "binary-model"), "category": work_path(spark, "category-model")}
-    train.save(binary.model, paths["binary"])
-    train.save(category.model, paths["category"])
-    loaded = train.load_models(paths)
+    """Both fitted models over the whole table, with the normal rows and without."""
     flows = bindings.raw_flows(spark, d)
-    alerts = score.to_alerts(score.cascade(flows, loaded["binary"], loaded["category"], FLOW_FEATURES))
-    return alerts.groupBy("attack_type", "severity").agg(
-        F.count(F.lit(1)).alias("alerts"), F.round(F.avg("binary_probability"), 6).alias("mean_probability")
+    models = _model(spark, d, "forest"), _model(spark, d, "category")
+    everything = score.cascade(flows, *models, FLOW_FEATURES, include_normal=True)
+    counts = everything.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(_consistent()).alias("consistent"),
+        F.count_if(F.col("binary_prediction") == 1).alias("flagged"),
     )
+    alerts = score.to_alerts(score.cascade(flows, *models, FLOW_FEATURES)).where(F.col("severity") != "info").count()
+    return counts.select("rows", "consistent", (F.col("flagged") > 0).alias("some_alerts"), (F.col("flagged") == alerts).alias("same_alerts"))
 
 
-@query()
+@query("SELECT CAST(label AS DOUBLE) AS label, count(*) AS n FROM raw_flows GROUP BY label", ("raw_flows",))
 def m15_actual_and_predicted(spark, d):
-    fitted = _binary(spark, d)
-    scored = score.score_binary(_splits(spark, d)[1], fitted.model, FLOW_FEATURES)
-    return metrics.confusion(scored, "label", "binary_prediction")
+    scored = score.score_binary(bindings.raw_flows(spark, d), _model(spark, d, "forest"), FLOW_FEATURES)
+    matrix = metrics.confusion(scored, "label", "binary_prediction")
+    return matrix.groupBy("label").agg(F.sum("n").alias("n"))
 
 
-@query()
+@query(_above_sql(forest=_BINARY, gbt=_BINARY, category=_CATEGORY, plain_gbt=_BINARY, plain_category=_CATEGORY))
 def m16_model_comparison(spark, d):
-    parts = _splits(spark, d)
-    return _results(
-        spark,
-        {
-            "forest": train.fit_binary_forest(*parts, FLOW_FEATURES, params=SMALL_FOREST),
-            "gbt": train.fit_binary_gbt(*parts, FLOW_FEATURES, grid=SMALL_GBT[:1]),
-            "category": train.fit_category_forest(*parts, FLOW_FEATURES, grid=SMALL_CATEGORY[:1]),
-        },
-    )
+    """The comparison table in long form, with floors instead of values."""
+    found = {name: fitted(spark, d, name)[2] for name in _FITS}
+    table = train.comparison(spark, found)
+    parts = [
+        table.where(F.col(m).isNotNull()).select("model", F.lit(m).alias("metric"), (F.col(m) >= floor).alias("reached"))
+        for m, floor in _FLOORS.items()
+    ]
+    return functools.reduce(lambda a, b: a.unionAll(b), parts)
 
 
-@query()
+@query("SELECT CAST(i AS INTEGER) AS rank, true AS ordered FROM range(1, 10) t(i)")
 def l07_top_features(spark, d):
-    return train.top_features(spark, _category(spark, d).model, [*FLOW_FEATURES, *[f"{c}_idx" for c in CATEGORICALS]])
+    names = [*FLOW_FEATURES, *[f"{c}_idx" for c in CATEGORICALS]]
+    top = train.top_features(spark, _model(spark, d, "category"), names)
+    above = F.lag("importance", 1, 1.0).over(train.by_rank())
+    return top.select("rank", (F.col("importance").between(0, above) & F.col("feature").isin(names)).alias("ordered"))
 
 
-@query()
+@query("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM raw_flows", ("raw_flows",))
 def k07_model_artifacts(spark, d):
-    """A saved model scores like the one in memory."""
-    fitted = _binary(spark, d)
+    """A model saved twice and loaded scores every row like the one that was saved."""
+    first = _model(spark, d, "forest")
     path = work_path(spark, "model")
-    train.save(fitted.model, path)
-    train.save(fitted.model, path)
-    rows = _splits(spark, d)[1]
-    again = score.score_binary(rows, train.load_models({"binary": path})["binary"], FLOW_FEATURES)
-    return again.groupBy("binary_prediction").agg(F.count(F.lit(1)).alias("rows"))
+    train.save(first, path)
+    train.save(first, path)
+    again = train.load_models({"forest": path})["forest"]
+    rows = bindings.raw_flows(spark, d)
+    before = score.score_binary(rows, first, FLOW_FEATURES).select("features_vec", F.col("binary_probability").alias("a"))
+    both = again.stages[-1].transform(before)
+    b = F.get(score.vector_to_array("binary_probs"), F.lit(1))
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("a").eqNullSafe(b)).alias("differing"))

@@ -10,7 +10,7 @@ from flowwarden.operators import cleanse, labels, metrics, quantiles, sampling
 from flowwarden.plans import bindings, features, score
 from flowwarden.plans.bindings import FLOW_FEATURES
 from flowwarden.queries.registry import query
-from flowwarden.schemas import ATTACK_TYPES, TRAINING_LABELS
+from flowwarden.schemas import ATTACK_TYPES, FEATURES, TRAINING_LABELS
 
 
 def _finite(c: str) -> str:
@@ -152,18 +152,17 @@ def p13_encode_labels(spark, d):
 
 @query(
     f"""SELECT f.attack_cat, f.sbytes, m.code AS attack_id FROM
-          (SELECT {_CATEGORY} AS attack_cat, sbytes, label FROM raw_flows WHERE state <> 'FIN') f
+          (SELECT {_CATEGORY} AS attack_cat, sbytes, label FROM raw_flows) f
         JOIN (SELECT attack_cat, CAST(row_number() OVER (ORDER BY attack_cat) - 1 AS BIGINT) AS code FROM
                (SELECT DISTINCT {_CATEGORY} AS attack_cat FROM raw_flows
-                WHERE state = 'FIN' AND label = 1 AND proto <> 'sctp' AND {_CATEGORY} <> 'Normal') v) m
+                WHERE label = 1 AND {_CATEGORY} <> 'Normal') v) m
           ON f.attack_cat = m.attack_cat WHERE f.label = 1""",
     ("raw_flows",),
 )
 def p14_encode_attacks(spark, d):
-    rows = labels.with_labels(bindings.raw_flows(spark, d))
-    train = rows.where((F.col("state") == "FIN") & (F.col("proto") != "sctp"))
-    test = rows.where(F.col("state") != "FIN").select("attack_cat", "sbytes", "label")
-    _, encoded, _ = labels.encode_attacks(train, test, "attack_cat", "label", "attack_id")
+    # The whole table is the training split, and is encoded with its own codes.
+    rows = labels.with_labels(bindings.raw_flows(spark, d)).select("attack_cat", "sbytes", "label")
+    _, encoded, _ = labels.encode_attacks(rows, rows, "attack_cat", "label", "attack_id")
     return encoded.drop("label")
 
 
@@ -181,7 +180,22 @@ _CODES = {
 )
 def p15_fallback_codes(spark, d):
     rows = bindings.raw_flows(spark, d).select("proto", "service")
-    return rows.select("*", *[labels.fallback_code(rows, c).alias(f"{c}_code") for c in _CODES])
+    return labels.with_fallback_codes(rows, list(_CODES))
+
+
+_WIDE = {c: FLOW_FEATURES[i % len(FLOW_FEATURES)] for i, c in enumerate(FEATURES[:-1])}
+
+
+@query(
+    f"""SELECT label, {', '.join(f'{_finite(f"CAST({src} AS DOUBLE)")} * {i + 1} AS {c}' for i, (c, src) in enumerate(_WIDE.items()))},
+               CAST(0 AS DOUBLE) AS {FEATURES[-1]} FROM raw_flows""",
+    ("raw_flows",),
+)
+def p05_clean_39_features(spark, d):
+    # The six measures stand for 38 features in turn, each with a factor of its own; the last feature is absent.
+    rows = bindings.raw_flows(spark, d)
+    wide = rows.select("label", *[(F.col(src).cast("double") * (i + 1)).alias(c) for i, (c, src) in enumerate(_WIDE.items())])
+    return cleanse.clean_features(wide, FEATURES)
 
 
 # --- counts and weights
@@ -507,7 +521,7 @@ _HASH = "CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 13) AS BIGINT)"
 )
 def u03_stratified_split(spark, d):
     rows = bindings.alerts(spark, d).select("alert_id", "severity")
-    return rows.withColumn("in_test", sampling.in_test_split(rows, "alert_id", "severity", 0.2))
+    return sampling.with_test_flag(rows, "alert_id", "severity", test_size=0.2)
 
 
 @query(
@@ -579,13 +593,18 @@ def m03_index_categories(spark, d):
     return features.indexer().fit(rows).transform(rows)
 
 
-@query()
+@query(
+    f"""SELECT {_SCALED}, p.i AS z{len(FLOW_FEATURES)},
+               coalesce(s.i, CAST((SELECT count(DISTINCT service) FROM raw_flows) AS DOUBLE)) AS z{len(FLOW_FEATURES) + 1}, t.i AS z{len(FLOW_FEATURES) + 2}
+        FROM (SELECT proto, service, state, {_CLEAN} FROM raw_flows) f LEFT JOIN {_index_sql('proto')} p ON f.proto = p.v
+        LEFT JOIN {_index_sql('service')} s ON f.service = s.v LEFT JOIN {_index_sql('state')} t ON f.state = t.v""",
+    ("raw_flows",),
+)
 def m04_category_vector(spark, d):
     rows = _clean_rows(spark, d, "proto", "service", "state")
     vectors = features.category_stages(FLOW_FEATURES).fit(rows).transform(rows)
-    return vectors.select(F.size(vector_to_array("features_mc")).alias("width")).groupBy("width").agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    values = vectors.select(vector_to_array("features_mc").alias("v"))
+    return values.select(*[(F.round(F.col("v")[i], 6) + 0.0).alias(f"z{i}") for i in range(len(FLOW_FEATURES) + 3)])
 
 
 @query(

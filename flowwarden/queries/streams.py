@@ -12,12 +12,15 @@ from flowwarden.operators.cleanse import clean_features
 from flowwarden.plans import bindings, score
 from flowwarden.queries.preparation import SCORED_SQL
 from flowwarden.queries.registry import query
+from flowwarden.schemas import ATTACK_TYPES
 from flowwarden.session import work_path
 from flowwarden.sources import alert_table, messages
 from flowwarden.streaming import jobs
 from flowwarden.streaming.sources import message_stream
 
 SLICES = 4
+#: Files of one slice: so many tasks write it, and a trigger takes so many.
+FILES = 4
 _BROKEN = '{"record_id": "oops", "rate": '
 
 _ALERT_ROW = T.StructType(
@@ -43,15 +46,26 @@ def _slice_sql(time: str) -> str:
       / (epoch_us((SELECT max(ts) FROM events)) - epoch_us((SELECT min(ts) FROM events)))) AS BIGINT))"""
 
 
-def _replay(spark, rows, time: str, broken=None, order=None) -> str:
-    """Publish a table as message files, one file per time slice; returns the folder."""
+def _publish(rows, time: str, path: str, cuts) -> None:
+    """Message files of one time slice after the other, as a file source takes files by age. Rows on
+    a cut belong to the later slice; each slice is written by ``FILES`` tasks."""
+    edges = [None, *cuts, None]
+    for start, end in zip(edges, edges[1:]):
+        part = rows
+        if start is not None:
+            part = part.where(F.col(time) >= F.lit(start))
+        if end is not None:
+            part = part.where(F.col(time) < F.lit(end))
+        messages.publish(part.select("value").repartition(FILES), "text", path)
+
+
+def _replay(spark, rows, time: str, broken=None) -> str:
+    """Publish a table as message files in time order; returns the folder."""
     path = work_path(spark, "messages")
     value = F.to_json(F.struct(*rows.columns), messages.JSON_TIMES)
     if broken is not None:
         value = F.when(broken, F.lit(_BROKEN)).otherwise(value)
-    messages.publish_in_time_order(
-        rows.select(value.alias("value"), F.col(time).alias("_time")), path, F.col("_time"), _cuts(rows, time)
-    )
+    _publish(rows.select(value.alias("value"), F.col(time).alias("_time")), "_time", path, _cuts(rows, time))
     return path
 
 
@@ -65,7 +79,7 @@ def _alert_rows(spark, d):
     return rows.withColumn("alert_time", F.col("alert_time").cast("timestamp")).select(*_ALERT_ROW.names)
 
 
-def _alert_stream(spark, folder, cap=1):
+def _alert_stream(spark, folder, cap=FILES):
     stream = message_stream(spark, folder, fmt="text", cap=cap)
     return messages.good_rows(messages.parse_messages(stream, _ALERT_ROW), _ALERT_ROW)
 
@@ -81,20 +95,23 @@ def _rules(flows):
     return score.rule_scores(clean_features(flows, score.RULE_FEATURES))
 
 
-def _scored_table(spark, d, broken=None):
+def _scored_table(spark, d, broken=None, scorer=_rules, streams=1):
+    """The alert table after ``streams`` streams, each with a checkpoint of its own, have scored the messages."""
     folder, schema = _flow_messages(spark, d, broken)
     path = work_path(spark, "scored")
     alert_table.create_tables(spark, path)
-    stream = message_stream(spark, folder, fmt="text", cap=1)
-    job = jobs.scoring_batch(schema, _rules, path)
-    jobs.run_to_end(jobs.start(stream, job, work_path(spark, "scored-offsets"), trigger=None))
+    for _ in range(streams):
+        offsets = work_path(spark, "scored-offsets")
+        job = jobs.scoring_batch(schema, scorer, path, alert_table.writer_of(offsets))
+        stream = message_stream(spark, folder, fmt="text", cap=FILES)
+        jobs.run_to_end(jobs.start(stream, job, offsets, trigger=None))
     return path
 
 
 @query("SELECT record_id, session_id, rate FROM messages", ("messages",))
 def s01_stream_source(spark, d):
     folder, _ = _flow_messages(spark, d)
-    stream = message_stream(spark, folder, fmt="text", cap=2)
+    stream = message_stream(spark, folder, fmt="text", cap=2 * FILES)
     out = spark.read.parquet(_to_parquet(spark, stream, "raw"))
     field = lambda c: F.get_json_object("value", f"$.{c}")
     return out.select(
@@ -149,12 +166,22 @@ def r04_stream_scoring(spark, d):
 
 
 @query(
-    f"""SELECT (SELECT count(*) FROM messages WHERE {_BROKEN_SQL}) AS quarantined, count(*) AS alerts
-        FROM ({SCORED_SQL}) s WHERE binary_prediction = 1 AND NOT ({_BROKEN_SQL})""",
+    f"""SELECT (SELECT count(*) FROM messages WHERE {_BROKEN_SQL} OR CAST(record_id AS BIGINT) % 50 = 1) AS quarantined, count(*) AS alerts
+        FROM ({SCORED_SQL}) s WHERE binary_prediction = 1 AND NOT ({_BROKEN_SQL}) AND CAST(record_id AS BIGINT) % 50 <> 1""",
     ("messages",),
 )
 def r05_quarantine(spark, d):
-    path = _scored_table(spark, d, _broken())
+    # One message in fifty is broken text, one has no key, time or session: both are set aside.
+    rows = bindings.messages(spark, d)
+    path, folder = work_path(spark, "scored"), work_path(spark, "messages")
+    keyless = F.col("record_id").cast("bigint") % 50 == 1
+    empty = F.when(F.col("record_id").cast("bigint") % 100 == 1, "{}").otherwise('{"unrelated": 1}')
+    value = F.when(_broken(), F.lit(_BROKEN)).when(keyless, empty).otherwise(F.to_json(F.struct(*rows.columns), messages.JSON_TIMES))
+    _publish(rows.select(value.alias("value"), "event_time"), "event_time", folder, _cuts(rows, "event_time"))
+    alert_table.create_tables(spark, path)
+    job = jobs.scoring_batch(rows.schema, _rules, path)
+    stream = message_stream(spark, folder, fmt="text", cap=FILES)
+    jobs.run_to_end(jobs.start(stream, job, work_path(spark, "scored-offsets"), trigger=None))
     aside = spark.read.text(f"{path}/quarantine").groupBy().agg(F.count(F.lit(1)).alias("quarantined"))
     alerts = alert_table.read_alerts(spark, path).count()
     return aside.withColumn("alerts", F.lit(alerts).cast("bigint"))
@@ -179,7 +206,7 @@ def r07_batch_metrics(spark, d):
     ("alerts",),
 )
 def r08_late_rows_dropped(spark, d):
-    # The later half of the table arrives first, in two files; the earlier half is then behind the
+    # The later half of the table arrives first, in two slices; the earlier half is then behind the
     # watermark. (A batch is checked against the watermark its predecessor ran with.)
     rows = _alert_rows(spark, d)
     first, last = rows.agg(F.min("alert_time"), F.max("alert_time")).first()
@@ -187,8 +214,8 @@ def r08_late_rows_dropped(spark, d):
     text = rows.select(F.to_json(F.struct("*"), messages.JSON_TIMES).alias("value"), "alert_time")
     early, path = text.where(F.col("alert_time") < F.lit(middle)), work_path(spark, "late")
     later, between = text.where(F.col("alert_time") >= F.lit(middle)), [middle + (last - middle) / 2]
-    messages.publish_in_time_order(later, path, F.col("alert_time"), between)
-    messages.publish(early.select("value").coalesce(1), "text", path)
+    _publish(later, "alert_time", path, between)
+    _publish(early, "alert_time", path, [])
     out = _to_parquet(spark, jobs.timeline(_alert_stream(spark, path), 60), "late-timeline")
     counts = spark.read.parquet(out).select("session_id", "bucket", "alerts")
     return counts.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
@@ -240,19 +267,34 @@ def r12_expiry(spark, d):
     return jobs.unexpired(rows, analytics.newest_time(rows), hours=1)
 
 
+@query(f"SELECT {', '.join(_ALERT_ROW.names)} FROM alerts", ("alerts",))
+def r13_exactly_once(spark, d):
+    # Every alert is sent twice and some many times more, over two streams. The table has each once.
+    rows = _alert_rows(spark, d)
+    copies = F.sequence(F.lit(1), F.when(F.col("severity") == "info", 5).otherwise(2))
+    folder = _replay(spark, rows.withColumn("_copy", F.explode(copies)).drop("_copy"), "alert_time")
+    path = work_path(spark, "once")
+    alert_table.create_tables(spark, path)
+    for _ in range(2):
+        offsets = work_path(spark, "once-offsets")
+        store = jobs.alert_writer(path, alert_table.writer_of(offsets))
+        jobs.run_to_end(jobs.start(_alert_stream(spark, folder), store, offsets, trigger=None))
+    out = alert_table.read_alerts(spark, path).select(*_ALERT_ROW.names)
+    return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
+
+
 @query(
     f"""SELECT {', '.join(_ALERT_ROW.names)} FROM alerts
         WHERE alert_time <= (SELECT max(ts) FROM events) - INTERVAL 31 SECOND""",
     ("alerts",),
 )
-def r13_exactly_once(spark, d):
-    # Every alert is sent twice and some many times more.
+def r13_once_per_key_in_stream(spark, d):
+    # Within one stream: rows within the delay of the newest time are still held back at the end of the run.
     rows = _alert_rows(spark, d)
-    folder = _replay(spark, rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(F.col("severity") == "info", 5).otherwise(2)))).drop("_copy"), "alert_time")
+    folder = _replay(spark, rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("_copy"), "alert_time")
     once = jobs.once_per_key(_alert_stream(spark, folder), ["session_id", "alert_time", "alert_id"])
     out = spark.read.parquet(_to_parquet(spark, once, "once")).select(*_ALERT_ROW.names)
     last = analytics.newest_time(rows)
-    # Rows within the delay of the newest time are still held back at the end of the run.
     return out.where(F.col("alert_time") <= F.lit(last - dt.timedelta(seconds=31))).withColumn(
         "alert_time", F.col("alert_time").cast("timestamp_ntz")
     )
@@ -265,7 +307,7 @@ def r13_exactly_once(spark, d):
 )
 def r14_replay_in_time_order(spark, d):
     folder, schema = _flow_messages(spark, d)
-    stream = message_stream(spark, folder, fmt="text", cap=1)
+    stream = message_stream(spark, folder, fmt="text", cap=FILES)
     flows = messages.good_rows(messages.parse_messages(stream, schema), schema)
     out = spark.read.parquet(_to_parquet(spark, flows, "replayed"))
     return out.groupBy(F.col("commit").cast("bigint").alias("batch")).agg(
@@ -273,3 +315,114 @@ def r14_replay_in_time_order(spark, d):
         F.min("event_time").cast("timestamp_ntz").alias("first_time"),
         F.max("event_time").cast("timestamp_ntz").alias("last_time"),
     )
+
+
+# --- options, restarts, several writers
+
+
+@query(f"SELECT CAST({SLICES} AS BIGINT) AS batches, count(*) AS messages FROM messages", ("messages",))
+def s03_trigger_cap(spark, d):
+    # A trigger takes the files of one slice, so there are as many batches as slices.
+    folder, _ = _flow_messages(spark, d)
+    out = spark.read.parquet(_to_parquet(spark, message_stream(spark, folder, fmt="text", cap=FILES), "capped"))
+    return out.agg(F.countDistinct("commit").alias("batches"), F.count(F.lit(1)).alias("messages"))
+
+
+@query("SELECT count(*) AS oldest_first FROM messages WHERE event_time < (SELECT min(ts) + to_microseconds((epoch_us(max(ts)) - epoch_us(min(ts))) // 4) FROM events)", ("messages",))
+def s02_starting_order(spark, d):
+    # Files are taken oldest first: the first batch holds the first slice and nothing else.
+    folder, schema = _flow_messages(spark, d)
+    out = spark.read.parquet(_to_parquet(spark, message_stream(spark, folder, fmt="text", cap=FILES), "ordered"))
+    return out.where("commit = 0").agg(F.count(F.lit(1)).alias("oldest_first"))
+
+
+@query(f"SELECT {', '.join(_ALERT_ROW.names)} FROM alerts", ("alerts",))
+def r03_checkpointed_restart(spark, d):
+    # The same query runs, stops and runs again after more files have come: each file is taken once, batches are appended.
+    rows = _alert_rows(spark, d)
+    text = rows.select(F.to_json(F.struct("*"), messages.JSON_TIMES).alias("value"), "alert_time")
+    folder, out, offsets = (work_path(spark, n) for n in ("restart-in", "restart-out", "restart-offsets"))
+    middle = _cuts(rows, "alert_time", 2)[0]
+    for part in (F.col("alert_time") < F.lit(middle), F.col("alert_time") >= F.lit(middle)):
+        _publish(text.where(part), "alert_time", folder, [])
+        jobs.run_to_end(jobs.start(_alert_stream(spark, folder), jobs.batch_writer(out), offsets, trigger=None))
+    return spark.read.parquet(out).select(*_ALERT_ROW.names).withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
+
+
+@query("SELECT count(*) AS rows, CAST(1 AS BIGINT) AS batches, true AS stopped FROM alerts WHERE severity = 'high'", ("alerts",))
+def r06_timed_trigger_and_stop(spark, d):
+    """A query on a timer writes the one batch there is, skips empty ones and stops when told to."""
+    out, folder = work_path(spark, "timed"), _replay(spark, _alert_rows(spark, d), "alert_time")
+    stream = _alert_stream(spark, folder, cap=0).where(F.col("severity") == "high")
+    running = jobs.start(stream, jobs.batch_writer(out), work_path(spark, "timed-offsets"), trigger="1 second")
+    running.processAllAvailable()
+    jobs.run_to_end(running, timeout=1)
+    found = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("commit").alias("batches"))
+    return found.withColumn("stopped", F.lit(not running.isActive))
+
+
+@query("SELECT CAST(0 AS BIGINT) AS batches, count(*) AS messages FROM messages", ("messages",))
+def f08_empty_batches(spark, d):
+    # No message passes the filter, so no batch reaches the writer.
+    folder, _ = _flow_messages(spark, d)
+    seen = []
+    stream = message_stream(spark, folder, fmt="text", cap=FILES).where("value = 'none such'")
+    jobs.run_to_end(jobs.start(stream, lambda batch, i: seen.append(i), work_path(spark, "empty-offsets"), trigger=None))
+    return spark.read.text(folder).agg(F.lit(len(seen)).cast("bigint").alias("batches"), F.count(F.lit(1)).alias("messages"))
+
+
+_SCORED_ALERTS = f"SELECT session_id, record_id AS alert_id, attack_type FROM ({SCORED_SQL}) s WHERE binary_prediction = 1"
+
+
+def _alert_keys(rows):
+    return rows.select("session_id", "alert_id", "attack_type")
+
+
+@query(_SCORED_ALERTS, ("messages",))
+def r04_two_streams(spark, d):
+    # Both streams count their batches from 0 and write the same alerts: all of them are there, once.
+    return _alert_keys(alert_table.read_alerts(spark, _scored_table(spark, d, streams=2)))
+
+
+@query(f"{_SCORED_ALERTS} UNION ALL SELECT 'session-x', alert_id, attack_type FROM alerts WHERE severity = 'high'", ("messages", "alerts"))
+def k02_write_after_compact(spark, d):
+    # A stream writes batches, the table is compacted, another stream and an ingest write under the same numbers.
+    path, small = _scored_table(spark, d), work_path(spark, "small")
+    alert_table.compact(spark, path, small)
+    folder, schema = _flow_messages(spark, d)
+    offsets = work_path(spark, "after-compact")
+    job = jobs.scoring_batch(schema, _rules, small, alert_table.writer_of(offsets))
+    jobs.run_to_end(jobs.start(message_stream(spark, folder, fmt="text", cap=FILES), job, offsets, trigger=None))
+    high = bindings.alerts(spark, d).where(F.col("severity") == "high")
+    for commit in (0, 1, 1):
+        alert_table.store_alerts(high, small, commit, "session-x", writer="ingest")
+    return _alert_keys(alert_table.read_alerts(spark, small))
+
+
+@query(f"{_SCORED_ALERTS}", ("messages",))
+def x04_stream_after_delete(spark, d):
+    # The session is deleted under a high number; what a stream writes later, from batch 0 on, counts again.
+    path = _scored_table(spark, d)
+    alert_table.delete_session(spark, path, "session-3", 100)
+    folder, schema = _flow_messages(spark, d)
+    offsets = work_path(spark, "after-delete")
+    job = jobs.scoring_batch(schema, _rules, path, alert_table.writer_of(offsets))
+    jobs.run_to_end(jobs.start(message_stream(spark, folder, fmt="text", cap=FILES), job, offsets, trigger=None))
+    return _alert_keys(alert_table.read_alerts(spark, path))
+
+
+@query("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS bad, true AS same_alerts, true AS known_types FROM messages", ("messages",))
+def r15_fitted_models_on_a_stream(spark, d):
+    # The fitted forests score the messages in micro-batches; alerts and counts agree with scoring them as a table.
+    from flowwarden.queries import models
+
+    binary, category = models._model(spark, d, "forest"), models._model(spark, d, "category")
+    scorer = lambda flows: score.cascade(flows, binary, category, bindings.FLOW_FEATURES)
+    path = _scored_table(spark, d, scorer=scorer)
+    counts = spark.read.parquet(f"{path}/metrics").agg(F.sum("rows").alias("rows"), F.sum("bad").alias("bad"), F.sum("attacks").alias("attacks"))
+    stored = alert_table.read_alerts(spark, path)
+    batch = scorer(bindings.messages(spark, d)).count()
+    known = stored.where(~F.col("attack_type").isin(*ATTACK_TYPES.values())).isEmpty()
+    return counts.select(
+        "rows", "bad", ((F.col("attacks") == batch) & F.lit(stored.count() == batch)).alias("same_alerts"), F.lit(known).alias("known_types")
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowwarden.operators import ranking
+from flowwarden.operators import analytics, metrics, ranking
 from flowwarden.plans import bindings, prepare
 from flowwarden.queries.registry import query
 from flowwarden.schemas import ALERT_SCHEMA, ATTACK_TYPES, FEATURES
@@ -49,24 +49,24 @@ def s06_multi_file_scan(spark, d):
     return readers.read_flow_files(spark, path, ["flows_*.csv", "part-*.csv"], rows.schema)
 
 
-@query("SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'")
+@query("SELECT l_orderkey, l_extendedprice, l_shipdate FROM lineitem")
 def s07_parquet_scan(spark, d):
-    rows = readers.read_table(spark, f"{d}/lineitem.parquet")
-    return rows.where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select("l_orderkey", "l_extendedprice")
+    return readers.read_table(spark, f"{d}/lineitem.parquet").select("l_orderkey", "l_extendedprice", "l_shipdate")
 
 
 @query(
-    """SELECT attack_cat_id, upper(attack_type) AS name, count(*) AS alerts FROM alerts GROUP BY ALL""", ("alerts",)
+    """SELECT layout, attack_cat_id, attack_type, count(*) AS alerts FROM alerts, (VALUES ('both'), ('plain')) l(layout) GROUP BY ALL""", ("alerts",)
 )
 def s08_json_sidecars(spark, d):
-    path = work_path(spark, "sidecar")
-    pairs = bindings.alerts(spark, d).select(F.col("attack_cat_id").cast("string").alias("id"), F.upper("attack_type").alias("name"))
-    # One small document: at most one entry per class.
-    doc = pairs.distinct().groupBy().agg(F.map_from_entries(F.collect_list(F.struct("id", "name"))).alias("reverse_mapping"))
-    doc.write.json(path)
-    names = readers.read_label_map(spark, path).withColumnRenamed("attack_type", "name")
+    # The label map is written in its layouts and read back; ids and names join the alerts.
+    ids = {n: i for i, n in ATTACK_TYPES.items()}
     counts = bindings.alerts(spark, d).groupBy("attack_cat_id").agg(F.count(F.lit(1)).alias("alerts"))
-    return counts.join(names, "attack_cat_id")
+    parts = []
+    for layout in ("both", "plain"):
+        path = work_path(spark, f"sidecar-{layout}")
+        readers.write_label_map(spark, path, ids, layout)
+        parts.append(counts.join(readers.read_label_map(spark, path), "attack_cat_id").withColumn("layout", F.lit(layout)))
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -74,7 +74,7 @@ def s08_json_sidecars(spark, d):
 )
 def s09_session_alert_scan(spark, d):
     path = _stored_alerts(spark, d)
-    return _listed(ranking.latest(alert_table.read_alerts(spark, path, "session-3"), 100))
+    return _listed(alert_table.latest_alerts(spark, path, "session-3", 100))
 
 
 @query(
@@ -105,28 +105,38 @@ def s11_session_scan(spark, d):
 
 @query(
     """SELECT CASE WHEN user_id % 8 = 7 THEN 'local-session' ELSE 'session-' || CAST(user_id % 8 AS VARCHAR) END AS session_id,
-              CAST(event_id AS VARCHAR) AS alert_id, ts AS alert_time, event_type AS attack_type, '' AS severity,
-              value AS rate, CAST(0 AS BIGINT) AS sbytes
-       FROM events"""
+              CASE WHEN event_id % 9 < 2 THEN 'made' ELSE CAST(event_id AS VARCHAR) END AS alert_id,
+              CASE WHEN event_id % 11 < 2 THEN TIMESTAMP '1970-01-01' ELSE ts END AS alert_time,
+              event_type AS attack_type, '' AS severity, value AS rate, CAST(0 AS BIGINT) AS sbytes
+       FROM events
+       UNION ALL SELECT 'session-twins', 'made', TIMESTAMP '2026-01-01 10:00:00', 'DoS', '', CAST(1 AS DOUBLE), CAST(0 AS BIGINT)
+       FROM events, (VALUES (1), (2)) twice(i) WHERE event_id % 500 = 0"""
 )
 def s12_ingest_payloads(spark, d):
-    # Payload files of at most a hundred alerts each; one session is absent from its payloads.
-    part = (F.col("event_id") / 100).cast("bigint")
-    user = F.col("user_id") % 8
+    # Payload files of at most a hundred alerts each; one session is absent from its payloads. Some ids are
+    # missing or empty, some times bad, empty or in another zone, and some payloads hold two equal alerts.
+    event, user = F.col("event_id"), F.col("user_id") % 8
+    own_time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    other_zone = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL '5:30' HOUR TO MINUTE"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+05:30"))
     alert = F.struct(
-        F.col("event_id").cast("string").alias("alert_id"),
+        F.when(event % 9 == 0, F.lit(None).cast("string")).when(event % 9 == 1, "").otherwise(event.cast("string")).alias("alert_id"),
         F.lit("overridden").alias("session_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("alert_time"),
+        F.when(event % 11 == 0, "bad").when(event % 11 == 1, "").when(event % 11 == 2, other_zone).otherwise(own_time).alias("alert_time"),
         F.col("event_type").alias("attack_type"),
         F.col("value").alias("rate"),
     )
+    twin = F.struct(
+        F.lit(None).cast("string").alias("alert_id"), F.lit("x").alias("session_id"),
+        F.lit("2026-01-01T10:00:00Z").alias("alert_time"), F.lit("DoS").alias("attack_type"), F.lit(1.0).alias("rate"),
+    )
     session = F.when(user != 7, F.concat(F.lit("session-"), user.cast("string")))
+    events = bindings.table(spark, d, "events")
     payloads = (
-        bindings.table(spark, d, "events")
-        .groupBy(session.alias("session_id"), part.alias("part"))
+        events.groupBy(session.alias("session_id"), (event / 100).cast("bigint").alias("part"))
         .agg(F.collect_list(alert).alias("alerts"))
-        .withColumn("sessions", F.array(F.struct("session_id", F.lit("flows").alias("dataset"))))
         .drop("part")
+        .unionByName(events.where(event % 500 == 0).select(F.lit("session-twins").alias("session_id"), F.array(twin, twin).alias("alerts")))
+        .withColumn("sessions", F.array(F.struct("session_id", F.lit("flows").alias("dataset"))))
     )
     folder, path = work_path(spark, "payloads"), work_path(spark, "ingested")
     payloads.write.json(folder)
@@ -135,8 +145,10 @@ def s12_ingest_payloads(spark, d):
         "session_id string, sessions array<struct<session_id string, dataset string>>, alerts array<struct<"
         "alert_id string, session_id string, alert_time string, attack_type string, rate double>>"
     )
-    alert_table.ingest(spark.read.schema(schema).json(folder), path, 1, "local-session")
-    return _listed(alert_table.read_alerts(spark, path).drop("sbytes")).withColumn("sbytes", F.lit(0).cast("bigint"))
+    for _ in range(2):  # the second run replaces the first
+        alert_table.ingest(spark.read.schema(schema).json(folder), path, 1, "local-session", writer="dashboard")
+    made = F.when(F.length("alert_id") == 32, "made").otherwise(F.col("alert_id"))
+    return _listed(alert_table.read_alerts(spark, path).withColumn("alert_id", made)).withColumn("sbytes", F.lit(0).cast("bigint"))
 
 
 # --- sinks
@@ -217,26 +229,28 @@ def k06_publish_messages(spark, d):
 
 
 @query(
-    """SELECT attack_cat_id, attack_type, n, CAST((SELECT count(*) FROM alerts) AS BIGINT) AS total
+    """SELECT attack_cat_id, attack_type, n, CAST(39 AS BIGINT) AS features, 'rules' AS model, '0.5' AS threshold,
+              round((SELECT avg(CASE WHEN binary_prediction = (attack_type = 'DoS')::INT THEN CAST(1 AS DOUBLE) ELSE 0 END) FROM alerts), 9) AS accuracy
        FROM (SELECT attack_cat_id, attack_type, count(*) AS n FROM alerts GROUP BY ALL) c""",
     ("alerts",),
 )
 def k08_metadata_sidecars(spark, d):
-    # Label map in both directions and a results document, written and read back.
+    # Label map, feature list and training results (model, parameters, metrics), written and read back.
     path = work_path(spark, "metadata")
-    counts = bindings.alerts(spark, d).groupBy("attack_cat_id", "attack_type").agg(F.count(F.lit(1)).alias("n"))
-    ids = {n: i for i, n in ATTACK_TYPES.items()}
-    forward = F.create_map(*[x for n, i in ids.items() for x in (F.lit(n), F.lit(str(i)))])
-    backward = F.create_map(*[x for n, i in ids.items() for x in (F.lit(str(i)), F.lit(n))])
-    one = spark.range(1).coalesce(1)
-    one.select(forward.alias("attack_mapping"), backward.alias("reverse_mapping")).write.json(f"{path}/labels")
-    one.select(F.array(*[F.lit(f) for f in FEATURES]).alias("features")).write.json(f"{path}/features")
-    counts.agg(F.sum("n").alias("total")).write.json(f"{path}/results")
-    if readers.read_feature_list(spark, f"{path}/features").count() != len(FEATURES):
+    alerts = bindings.alerts(spark, d)
+    counts = alerts.groupBy("attack_cat_id").agg(F.count(F.lit(1)).alias("n"))
+    matrix = metrics.confusion(alerts.select((F.col("attack_type") == "DoS").cast("int").alias("label"), F.col("binary_prediction").alias("prediction")))
+    readers.write_label_map(spark, f"{path}/labels", {n: i for i, n in ATTACK_TYPES.items()})
+    readers.write_feature_list(spark, f"{path}/features", FEATURES)
+    readers.write_results(spark, f"{path}/results", {"rules": ({"threshold": 0.5}, metrics.overall_metrics(matrix).first().asDict())})
+    listed = readers.read_feature_list(spark, f"{path}/features").orderBy("position").collect()
+    if [r["feature"] for r in listed] != FEATURES:
         raise ValueError("feature list changed on the way")
-    total = spark.read.schema("total bigint").json(f"{path}/results").first()["total"]
-    names = readers.read_label_map(spark, f"{path}/labels")
-    return counts.drop("attack_type").join(F.broadcast(names), "attack_cat_id").withColumn("total", F.lit(total).cast("bigint"))
+    found = readers.read_results(spark, f"{path}/results").first()
+    return counts.join(readers.read_label_map(spark, f"{path}/labels"), "attack_cat_id").select(
+        "attack_cat_id", "attack_type", "n", F.lit(len(listed)).cast("bigint").alias("features"), F.lit(found["model"]).alias("model"),
+        F.lit(found["params"]["threshold"]).alias("threshold"), F.lit(round(found["metrics"]["accuracy"], 9)).alias("accuracy"),
+    )
 
 
 @query(
@@ -252,8 +266,9 @@ def k09_replicate(spark, d):
     alert_table.create_tables(spark, target)
     high = ranking.of_severity(alert_table.read_alerts(spark, source, "session-3"), "high")
     alert_table.write_alerts(high, target, 1)
-    alert_table.replicate(spark, source, target, "session-3", 2)
-    alert_table.replicate(spark, source, target, "session-3", 3)
+    # Run, repeated under the same number, and run again under the next.
+    for commit in (2, 2, 3):
+        alert_table.replicate(spark, source, target, "session-3", commit)
     return _listed(alert_table.read_alerts(spark, target))
 
 
@@ -325,5 +340,73 @@ def x05_delete_all(spark, d):
 )
 def a19_removed_counts(spark, d):
     """What a delete of each session would remove, counted on the durable table."""
-    rows = alert_table.read_alerts(spark, _stored_alerts(spark, d))
-    return rows.groupBy("session_id").agg(F.count(F.lit(1)).alias("removed_alerts"))
+    return alert_table.count_alerts(spark, _stored_alerts(spark, d)).withColumnRenamed("alerts", "removed_alerts")
+
+
+# --- reads of the stored table
+
+
+@query(
+    f"""SELECT {_LISTED_SQL} FROM (SELECT session_id, alert_id, alert_time, severity, rate,
+          CASE WHEN sbytes % 3 = 0 THEN 'Rewritten' ELSE attack_type END AS attack_type FROM alerts) a
+        ORDER BY alert_time DESC, alert_id LIMIT 100""",
+    ("alerts",),
+)
+def l01_latest_stored_alerts(spark, d):
+    rows = bindings.alerts(spark, d)
+    path = _stored_alerts(spark, d)
+    again = rows.where(F.col("sbytes") % 3 == 0).withColumn("attack_type", F.lit("Rewritten"))
+    alert_table.store_alerts(again, path, 2)
+    return _listed(alert_table.latest_alerts(spark, path, n=100))
+
+
+@query(
+    """SELECT CASE WHEN grouping(severity) = 0 THEN 'severity' WHEN grouping(attack_type) = 0 THEN 'attack_type' ELSE 'total' END AS facet,
+              coalesce(severity, attack_type, 'all') AS name, count(*) AS alerts
+       FROM alerts WHERE session_id = 'session-3' GROUP BY GROUPING SETS ((), (severity), (attack_type))""",
+    ("alerts",),
+)
+def a01_stats_of_stored_alerts(spark, d):
+    return analytics.alert_stats(alert_table.read_alerts(spark, _stored_alerts(spark, d), "session-3"), hours=None)
+
+
+@query("SELECT date_trunc('hour', alert_time) AS bucket, count(*) AS alerts FROM alerts GROUP BY 1", ("alerts",))
+def t01_timeline_of_stored_alerts(spark, d):
+    out = analytics.timeline(alert_table.read_alerts(spark, _stored_alerts(spark, d)), 60, hours=None)
+    return out.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+
+
+@query(
+    f"SELECT {_LISTED_SQL} FROM alerts QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY alert_time DESC, alert_id) = 1",
+    ("alerts",),
+)
+def k03_single_alerts(spark, d):
+    # The newest alert of each session, written one at a time.
+    path = work_path(spark, "single")
+    alert_table.create_tables(spark, path)
+    newest = ranking.top_n_per_key(bindings.alerts(spark, d), ["session_id"], ranking.newest_first(), 1).collect()  # one per session
+    for i, row in enumerate(newest):
+        given = {k: v for k, v in row.asDict().items() if k not in ("session_id", "attack_cat_id")}
+        alert_table.store_alert(spark, given, path, i, row["session_id"])
+    return _listed(alert_table.read_alerts(spark, path))
+
+
+@query("SELECT count(*) AS sessions, count(*) AS different, count(*) AS well_formed FROM sessions", ("sessions",))
+def x01_new_session_ids(spark, d):
+    ids = [alert_table.new_session_id() for _ in range(bindings.sessions(spark, d).count())]
+    made = spark.createDataFrame([(i,) for i in ids], "id string")
+    return made.agg(
+        F.count("id").alias("sessions"), F.countDistinct("id").alias("different"),
+        F.count_if(F.col("id").rlike("^session-[0-9a-f]{10}$")).alias("well_formed"),
+    )
+
+
+@query("SELECT CAST(0 AS BIGINT) AS before, count(*) AS after FROM alerts", ("alerts",))
+def x06_create_if_absent(spark, d):
+    # Creating the tables again leaves what they hold.
+    path = work_path(spark, "created")
+    alert_table.create_tables(spark, path)
+    before = alert_table.read_alerts(spark, path).count()
+    alert_table.store_alerts(bindings.alerts(spark, d), path, 1)
+    alert_table.create_tables(spark, path)
+    return alert_table.read_alerts(spark, path).agg(F.lit(before).cast("bigint").alias("before"), F.count(F.lit(1)).alias("after"))

@@ -1,40 +1,75 @@
 """The alert and session tables as append-only Parquet.
 
-Every write is a commit folder; writing a commit again replaces that folder, so a retried batch
-leaves one copy. Reads show the last write per key without rows deleted by a later commit.
+Every write is a folder named after its writer and the writer's own number for it (a stream's batch, an
+ingest's id), so writers never meet, and a write that is repeated replaces its own folder. Rows carry
+an order that all writers share: the time of the write and the place within it. Reads show the
+last row per key without rows that are older than a delete of their session.
 Session reads and old months skip whole folders; rows are sorted by time within files, so a cutoff
 inside a month skips row groups. Days would make many tiny files for quiet sessions.
 
-    <path>/alerts/commit=N/session_id=S/alert_month=YYYY-MM/
-    <path>/sessions/commit=N/
-    <path>/deleted/commit=N/
+    <path>/alerts/writer=W/commit=N/session_id=S/alert_month=YYYY-MM/
+    <path>/sessions/writer=W/commit=N/
+    <path>/deleted/writer=W/commit=N/
+
+Clocks of different drivers order their writes; a delete and a write closer together than these clocks
+agree may be taken in either order.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import time
 import uuid
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowwarden.functions.scalars import safe_float, safe_int
+from flowwarden.functions.scalars import record_key, safe_float, safe_int
 from flowwarden.operators.joins import bounded_not_in
-from flowwarden.operators.ranking import last_write, latest, newest_first, top_n_per_key
+from flowwarden.operators.ranking import last_by_order, last_write, latest, newest_first, top_n_per_key
 from flowwarden.plans.score import enrich_alerts
 from flowwarden.schemas import ALERT_KEY, ALERT_SCHEMA, RECENT_CAP, SESSION_SCHEMA
 
-_COMMIT = T.StructField("commit", T.LongType())
-_ALERT_FILES = T.StructType([*ALERT_SCHEMA.fields, T.StructField("alert_month", T.StringType()), _COMMIT])
-_SESSION_FILES = T.StructType([*SESSION_SCHEMA.fields, _COMMIT])
-_DELETED_FILES = T.StructType([T.StructField("session_id", T.StringType()), _COMMIT])
+MAIN = "main"
+_ORDER = T.StructField("written", T.DecimalType(38, 0))
+_FOLDERS = [T.StructField("writer", T.StringType()), T.StructField("commit", T.LongType())]
+_ALERT_FILES = T.StructType([*ALERT_SCHEMA.fields, T.StructField("alert_month", T.StringType()), _ORDER, *_FOLDERS])
+_SESSION_FILES = T.StructType([*SESSION_SCHEMA.fields, _ORDER, *_FOLDERS])
+_DELETED_FILES = T.StructType([T.StructField("session_id", T.StringType()), _ORDER, *_FOLDERS])
+#: Places within a write fit below the nanoseconds of its time.
+_PLACES = 10**19
+_last_time = 0
 
 
 def create_tables(spark: SparkSession, path: str) -> None:
     """Empty tables where none exist."""
     for name, schema in (("alerts", _ALERT_FILES), ("sessions", _SESSION_FILES), ("deleted", _DELETED_FILES)):
-        spark.createDataFrame([], schema).write.mode("append").partitionBy("commit").parquet(f"{path}/{name}")
+        spark.createDataFrame([], schema).write.mode("append").partitionBy("writer", "commit").parquet(f"{path}/{name}")
+
+
+def writer_of(checkpoint: str) -> str:
+    """The writer's name of a stream: restarts share it, a new checkpoint or another stream does not."""
+    return hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def _now() -> int:
+    """Nanoseconds, later than any this process has used before."""
+    global _last_time
+    _last_time = max(time.time_ns(), _last_time + 1)
+    return _last_time
+
+
+def _written() -> Column:
+    """The order of the rows of one write: no two rows of the table share it."""
+    start = F.lit(Decimal(_now() * _PLACES)).cast("decimal(38,0)")
+    return (start + F.monotonically_increasing_id().cast("decimal(19,0)")).cast("decimal(38,0)").alias("written")
+
+
+def _folder(path: str, table: str, writer: str, commit: int) -> str:
+    return f"{path}/{table}/writer={writer}/commit={commit}"
 
 
 def coerce_alerts(alerts: DataFrame) -> DataFrame:
@@ -54,44 +89,57 @@ def coerce_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.select([coerced(f) for f in ALERT_SCHEMA.fields])
 
 
-def store_alerts(alerts: DataFrame, path: str, commit: int, session_id: str | None = None) -> None:
-    """Write alert rows as one commit, enriched and coerced.
+def store_alerts(
+    alerts: DataFrame, path: str, commit: int, session_id: str | None = None, writer: str = MAIN
+) -> None:
+    """Write alert rows as one commit of a writer, enriched and coerced.
 
     Copies of a key are left to the read, which combines them anyway; so a write needs one shuffle.
     """
     session = F.lit(session_id) if session_id is not None else None
-    write_alerts(coerce_alerts(enrich_alerts(alerts, session)), path, commit)
+    write_alerts(coerce_alerts(enrich_alerts(alerts, session)), path, commit, writer)
 
 
 def store_alert(
-    spark: SparkSession, alert: dict, path: str, commit: int, session_id: str
+    spark: SparkSession, alert: dict, path: str, commit: int, session_id: str, writer: str = MAIN
 ) -> None:
     """Write a single alert given as a dictionary; fields it lacks get their defaults."""
     given = {k: v for k, v in alert.items() if v is not None}
     row = spark.createDataFrame([tuple(given.values())], list(given)) if given else spark.range(1).select()
-    store_alerts(row, path, commit, session_id)
+    store_alerts(row, path, commit, session_id, writer)
 
 
-def write_alerts(rows: DataFrame, path: str, commit: int) -> None:
+def write_alerts(rows: DataFrame, path: str, commit: int, writer: str = MAIN) -> None:
     """Write complete alert rows; ``rebalance`` lets AQE split the files of a hot session and
     merge small ones."""
     (
         rows.withColumn("alert_month", F.date_format("alert_time", "yyyy-MM"))
         .hint("rebalance", F.col("session_id"), F.col("alert_month"))
         .sortWithinPartitions("session_id", "alert_month", "alert_time")
+        .select("*", _written())
         .write.mode("overwrite")
         .partitionBy("session_id", "alert_month")
-        .parquet(f"{path}/alerts/commit={commit}")
+        .parquet(_folder(path, "alerts", writer, commit))
     )
 
 
 def read_alerts(
-    spark: SparkSession, path: str, session_id: str | None = None, since: dt.datetime | None = None
+    spark: SparkSession,
+    path: str,
+    session_id: str | None = None,
+    since: dt.datetime | None = None,
+    without: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Live alerts: last write per key, deleted sessions left out.
 
     ``session_id`` and the month of ``since`` select folders; the time itself selects row groups.
+    ``without`` leaves out one commit of one writer.
     """
+    live = _live(spark, path, _stored_alerts(spark, path, session_id, since, without))
+    return last_by_order(live, ALERT_KEY, "written").select(*ALERT_SCHEMA.names)
+
+
+def _stored_alerts(spark, path, session_id=None, since=None, without=None) -> DataFrame:
     stored = spark.read.schema(_ALERT_FILES).parquet(f"{path}/alerts")
     if session_id is not None:
         stored = stored.where(F.col("session_id") == session_id)
@@ -100,20 +148,40 @@ def read_alerts(
         stored = stored.where(
             (F.col("alert_month") >= F.date_format(start, "yyyy-MM")) & (F.col("alert_time") >= start)
         )
-    rows = last_write(_live(spark, path, stored).drop("alert_month"), ALERT_KEY, ["commit"])
-    return rows.select(*ALERT_SCHEMA.names)
+    if without is not None:
+        stored = stored.where((F.col("writer") != without[0]) | (F.col("commit") != without[1]))
+    return stored
+
+
+def latest_alerts(
+    spark: SparkSession, path: str, session_id: str | None = None, n: int = 100, since: dt.datetime | None = None
+) -> DataFrame:
+    """The newest ``n`` live alerts, as ``latest(read_alerts(...), n)`` but with keys only until ``n`` are left.
+
+    The time is part of the key, so copies of a key stand together in the order. The newest ``n`` keys
+    come from key columns alone; their rows, a literal number of keys, are then picked from the table.
+    """
+    live = _live(spark, path, _stored_alerts(spark, path, session_id, since))
+    keys = live.groupBy(*ALERT_KEY).agg(F.max("written").alias("_last"))
+    newest = F.broadcast(latest(keys, n).select(F.col("_last")))
+    rows = live.join(newest, F.col("written") == F.col("_last"), "left_semi")
+    return latest(rows.select(*ALERT_SCHEMA.names), n)
 
 
 def _live(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """Rows not followed by a delete of their session."""
+    """Rows not followed by a delete of their session.
+
+    One row per deleted session is left on the other side; where these are too many to broadcast,
+    AQE splits the alerts of a session that fills a task.
+    """
     deletes = (
         spark.read.schema(_DELETED_FILES)
         .parquet(f"{path}/deleted")
         .groupBy("session_id")
-        .agg(F.max("commit").alias("_deleted"))
+        .agg(F.max("written").alias("_deleted"))
     )
     kept = rows.join(deletes, "session_id", "left")
-    return kept.where(F.col("_deleted").isNull() | (F.col("commit") > F.col("_deleted"))).drop("_deleted")
+    return kept.where(F.col("_deleted").isNull() | (F.col("written") > F.col("_deleted"))).drop("_deleted")
 
 
 def recent_alerts(spark: SparkSession, path: str, cap: int = RECENT_CAP) -> DataFrame:
@@ -126,7 +194,7 @@ def new_session_id() -> str:
     return f"session-{uuid.uuid4().hex[:10]}"
 
 
-def store_sessions(sessions: DataFrame, path: str, commit: int) -> None:
+def store_sessions(sessions: DataFrame, path: str, commit: int, writer: str = MAIN) -> None:
     """Register sessions: a later registration replaces dataset and creation time."""
     rows = sessions.select(
         "session_id",
@@ -134,65 +202,91 @@ def store_sessions(sessions: DataFrame, path: str, commit: int) -> None:
         F.coalesce(F.col("created_at"), F.current_timestamp()).cast("timestamp").alias("created_at"),
     )
     rows = last_write(rows.where(F.col("session_id").isNotNull()), ["session_id"], ["created_at"])
-    rows.write.mode("overwrite").parquet(f"{path}/sessions/commit={commit}")
+    _write_sessions(rows, path, commit, writer)
+
+
+def _write_sessions(rows: DataFrame, path: str, commit: int, writer: str) -> None:
+    rows.select("*", _written()).write.mode("overwrite").parquet(_folder(path, "sessions", writer, commit))
 
 
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.schema(_SESSION_FILES).parquet(f"{path}/sessions")
-    return last_write(_live(spark, path, stored), ["session_id"], ["commit"]).select(*SESSION_SCHEMA.names)
+    return last_by_order(_live(spark, path, stored), ["session_id"], "written").select(*SESSION_SCHEMA.names)
 
 
-def delete_session(spark: SparkSession, path: str, session_id: str, commit: int) -> DataFrame:
+def count_alerts(spark: SparkSession, path: str, session_id: str | None = None) -> DataFrame:
+    """Live alerts per session, from the key columns alone."""
+    live = _live(spark, path, _stored_alerts(spark, path, session_id))
+    return live.select(*ALERT_KEY).distinct().groupBy("session_id").agg(F.count(F.lit(1)).alias("alerts"))
+
+
+def delete_session(spark: SparkSession, path: str, session_id: str, commit: int, writer: str = MAIN) -> DataFrame:
     """Delete one session and its alerts; one row with what was removed."""
-    alerts = read_alerts(spark, path, session_id).count()
+    alerts = count_alerts(spark, path, session_id).agg(F.coalesce(F.sum("alerts"), F.lit(0))).first()[0]
     known = not read_sessions(spark, path).where(F.col("session_id") == session_id).isEmpty()
     gone = spark.createDataFrame([(session_id,)], "session_id string")
-    gone.write.mode("overwrite").parquet(f"{path}/deleted/commit={commit}")
+    gone.select("*", _written()).write.mode("overwrite").parquet(_folder(path, "deleted", writer, commit))
     return spark.createDataFrame(
         [(session_id, alerts, known)], "session_id string, removed_alerts bigint, session_removed boolean"
     )
 
 
-def delete_all(spark: SparkSession, path: str, commit: int) -> DataFrame:
+def delete_all(spark: SparkSession, path: str, commit: int, writer: str = MAIN) -> DataFrame:
     """Delete every session and alert; one row with the counts."""
-    alerts, sessions = read_alerts(spark, path), read_sessions(spark, path)
+    alerts, sessions = count_alerts(spark, path), read_sessions(spark, path)
+    removed = alerts.agg(F.coalesce(F.sum("alerts"), F.lit(0))).first()[0]
     counts = spark.createDataFrame(
-        [(sessions.count(), alerts.count())], "removed_sessions bigint, removed_alerts bigint"
+        [(sessions.count(), removed)], "removed_sessions bigint, removed_alerts bigint"
     )
     gone = alerts.select("session_id").union(sessions.select("session_id")).distinct()
-    gone.write.mode("overwrite").parquet(f"{path}/deleted/commit={commit}")
+    gone.select("*", _written()).write.mode("overwrite").parquet(_folder(path, "deleted", writer, commit))
     return counts
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the live rows as one commit of a new table; the old one stays readable meanwhile."""
+    """Write the live rows as one commit of a new table, under a writer of its own; the old one
+    stays readable meanwhile, and later writes of any writer add to the new one."""
     create_tables(spark, target)
-    write_alerts(read_alerts(spark, path), target, 1)
-    read_sessions(spark, path).write.mode("overwrite").parquet(f"{target}/sessions/commit=1")
+    writer = f"compact-{uuid.uuid4().hex[:12]}"
+    write_alerts(read_alerts(spark, path), target, 1, writer)
+    _write_sessions(read_sessions(spark, path), target, 1, writer)
 
 
-def ingest(payloads: DataFrame, path: str, commit: int, default_session: str, default_dataset: str = "flows") -> None:
+def ingest(
+    payloads: DataFrame, path: str, commit: int, default_session: str, default_dataset: str = "flows", writer: str = MAIN
+) -> None:
     """Store the alerts and sessions of externally computed payloads.
 
     A payload holds ``session_id``, ``alerts`` (array of structs) and ``sessions``. Its session
-    overrides the one in the alert; ids and times of the alerts are kept.
+    overrides the one in the alert; ids and times of the alerts are kept. An alert without an id (null
+    or '') gets one from where it stands: file, place of the payload, place in the payload. So equal
+    alerts stay separate, and reading the same files again gives the same ids.
     """
     session = F.coalesce("session_id", F.lit(default_session)).alias("_session")
-    alerts = payloads.select(session, F.explode("alerts").alias("alert")).select("_session", "alert.*")
-    store_alerts(
-        alerts.drop("session_id").withColumnRenamed("_session", "session_id"), path, commit
+    placed = payloads.select(
+        session, "alerts",
+        F.input_file_name().alias("_file"), F.monotonically_increasing_id().alias("_payload"),
     )
+    alerts = placed.select("_session", "_file", "_payload", F.posexplode("alerts").alias("_place", "alert"))
+    source = record_key(F.col("_file"), F.col("_payload"), F.col("_place"))
+    alerts = alerts.select(F.col("_session"), source.alias("record_id"), "alert.*").drop("session_id")
+    store_alerts(alerts.withColumnRenamed("_session", "session_id"), path, commit, writer=writer)
     sessions = payloads.select(F.explode("sessions").alias("s")).select(
         F.nullif("s.session_id", F.lit("")).alias("session_id"),
         F.coalesce("s.dataset", F.lit(default_dataset)).alias("dataset"),
         F.lit(None).cast("timestamp").alias("created_at"),
     )
-    store_sessions(sessions, path, commit)
+    store_sessions(sessions, path, commit, writer)
 
 
-def replicate(spark: SparkSession, source: str, target: str, session_id: str, commit: int, n: int = 500) -> None:
-    """Copy the newest ``n`` alerts of a session that the target lacks, and all sessions."""
-    newest = latest(read_alerts(spark, source, session_id), n)
-    there = read_alerts(spark, target, session_id)
-    write_alerts(bounded_not_in(newest, there, ALERT_KEY), target, commit)
-    read_sessions(spark, source).write.mode("overwrite").parquet(f"{target}/sessions/commit={commit}")
+def replicate(
+    spark: SparkSession, source: str, target: str, session_id: str, commit: int, n: int = 500, writer: str = "replica"
+) -> None:
+    """Copy the newest ``n`` alerts of a session that the target lacks, and all sessions.
+
+    What the same commit holds already does not count as there, so a repeated run writes it again.
+    """
+    newest = latest_alerts(spark, source, session_id, n)
+    there = read_alerts(spark, target, session_id, without=(writer, commit))
+    write_alerts(bounded_not_in(newest, there, ALERT_KEY), target, commit, writer)
+    _write_sessions(read_sessions(spark, source), target, commit, writer)

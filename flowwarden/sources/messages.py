@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +12,8 @@ JSON_TIMES = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 CORRUPT = "_corrupt_record"
+#: Fields that identify a flow or an alert.
+KEYS = ("record_id", "event_time", "alert_id", "alert_time", "session_id")
 
 
 def to_messages(df: DataFrame, drop: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -28,34 +28,21 @@ def publish(messages: DataFrame, fmt: str, target: str, options: dict[str, str]
     writer.option("topic", target).save() if fmt == "kafka" else writer.save(target)
 
 
-def publish_in_time_order(
-    messages: DataFrame, target: str, time: Column, cuts: list[dt.datetime], files: int = 1
-) -> None:
-    """Replay a table as message files, one time slice after the other.
-
-    File sources take files in order of their age, so slices arrive in time order. Rows on a cut
-    belong to the later slice. Within a slice ``files`` tasks write in parallel.
-    """
-    edges = [None, *cuts, None]
-    for start, end in zip(edges, edges[1:]):
-        part = messages
-        if start is not None:
-            part = part.where(time >= F.lit(start))
-        if end is not None:
-            part = part.where(time < F.lit(end))
-        publish(part.select("value").coalesce(files), "text", target)
-
-
-def parse_messages(df: DataFrame, schema: T.StructType) -> DataFrame:
+def parse_messages(df: DataFrame, schema: T.StructType, required: tuple[str, ...] | None = None) -> DataFrame:
     """Column ``row`` with the parsed struct and ``bad`` for text that does not fit the schema.
 
     The schema carries a corrupt-record field: without it a broken message would come out as a
-    row of nulls and be scored as zeros.
+    row of nulls and be scored as zeros. So would a message without its ``required`` fields (by default
+    key, time and session, where the schema has them): it is bad, too.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIMES}
     parsed = df.where(F.col("value").isNotNull()).withColumn("row", F.from_json("value", full, options))
-    return parsed.withColumn("bad", F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull())
+    bad = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
+    for c in KEYS if required is None else required:
+        if c in schema.names:
+            bad |= F.col(f"row.{c}").isNull()
+    return parsed.withColumn("bad", bad)
 
 
 def good_rows(parsed: DataFrame, schema: T.StructType) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowwarden.operators.analytics import since
 from flowwarden.plans.score import to_alerts
 from flowwarden.schemas import ALERT_SCHEMA
-from flowwarden.sources.alert_table import store_alerts
+from flowwarden.sources.alert_table import MAIN, store_alerts
 from flowwarden.sources.messages import bad_rows, good_rows, parse_messages
 from flowwarden.streaming.sources import DEFAULT_DELAY, DEFAULT_TRIGGER, trigger_options
 
@@ -54,12 +54,12 @@ def run_to_end(query: StreamingQuery, timeout: int | None = None) -> None:
 
 
 def scoring_batch(
-    schema: T.StructType, score: Callable[[DataFrame], DataFrame], path: str
+    schema: T.StructType, score: Callable[[DataFrame], DataFrame], path: str, writer: str = MAIN
 ) -> Callable[[DataFrame, int], None]:
     """Per batch: parse, score, write the attack alerts, put broken messages aside, record counts.
 
-    Everything is written by the executors under the batch id; a batch that is run again replaces
-    its own output. The parsed batch is kept for the three passes over it. (An ``Observation``
+    Everything is written by the executors under the writer (see ``writer_of``) and the batch id; a
+    batch that is run again replaces its own output and no other. The parsed batch is kept for the three passes over it. (An ``Observation``
     would save one, but a session that holds one can no longer ship fitted models.) ``score``
     returns attack rows with the score columns.
     """
@@ -69,17 +69,17 @@ def scoring_batch(
         parsed = parse_messages(batch, schema).persist()
         try:
             seen = parsed.agg(F.count_if(~F.col("bad")).alias("rows"), F.count_if("bad").alias("bad")).first()
-            store_alerts(to_alerts(score(good_rows(parsed, schema))), path, batch_id)
+            store_alerts(to_alerts(score(good_rows(parsed, schema))), path, batch_id, writer=writer)
             if seen["bad"]:
-                bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/commit={batch_id}")
+                bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/writer={writer}/commit={batch_id}")
         finally:
             parsed.unpersist()
         # A count of written files comes from their footers.
-        attacks = spark.read.schema(ALERT_SCHEMA).parquet(f"{path}/alerts/commit={batch_id}").count()
+        attacks = spark.read.schema(ALERT_SCHEMA).parquet(f"{path}/alerts/writer={writer}/commit={batch_id}").count()
         counts = {**seen.asDict(), "attacks": attacks}
         row = [F.lit(n).cast("bigint").alias(c) for c, n in counts.items()]
         one = spark.range(0, 1, 1, 1).select(*row)
-        one.write.mode("overwrite").parquet(f"{path}/metrics/commit={batch_id}")
+        one.write.mode("overwrite").parquet(f"{path}/metrics/writer={writer}/commit={batch_id}")
 
     return on_batch
 
@@ -91,7 +91,7 @@ def running_stats(alerts: DataFrame) -> DataFrame:
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Write each batch under its id: a batch that is run again replaces itself, and of counts
-    written in update mode the newest batch holds the truth for its keys."""
+    written in update mode the newest batch holds the truth for its keys. One folder, one stream."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/commit={batch_id}")
@@ -99,6 +99,16 @@ def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return on_batch
 
 
+def alert_writer(path: str, writer: str = MAIN) -> Callable[[DataFrame, int], None]:
+    """Store each batch of alerts in the alert table; a key that comes again is the same alert, in
+    whatever batch or stream it comes."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        store_alerts(batch, path, batch_id, writer=writer)
+
+    return on_batch
+
+
 def timeline(alerts: DataFrame, interval: int = 60, delay: str = DEFAULT_DELAY) -> DataFrame:
     """Alerts per session and tumbling window; a window is final once the watermark passes it,
     and rows later than that are dropped."""

@@ -4,7 +4,7 @@ from flowwarden.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         **{
@@ -12,6 +12,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -8,11 +8,12 @@ from flowwarden.operators import labels, metrics, quantiles, ranking, sampling
 from flowwarden.plans import score
 
 
-@pytest.mark.parametrize("kind", ["even", "ties", "tail", "constant"])
+@pytest.mark.parametrize("kind", ["even", "ties", "tail", "constant", "two"])
 def test_exact_quantiles_by_brackets(spark, kind):
-    """Forced through the brackets, the quantiles equal numpy's; nulls and NaN are left out."""
+    """Whatever a bracket may hold, the quantiles equal numpy's; nulls and NaN are left out."""
     draw = random.Random(7)
     make = {
+        "two": lambda: float(draw.random() < 0.5),
         "even": lambda: draw.random(),
         "ties": lambda: 5.0 if draw.random() < 0.4 else draw.random() * 10,
         "tail": lambda: draw.paretovariate(0.5),
@@ -22,8 +23,8 @@ def test_exact_quantiles_by_brackets(spark, kind):
     rows = [(v, -v) for v in values] + [(None, float("nan"))] * 10
     df = spark.createDataFrame(rows, "a double, b double").repartition(6).cache()
     probs = [0.0, 0.01, 0.37, 0.5, 0.99, 1.0]
-    for limit in (quantiles.DIRECT_ROWS, 50):
-        got = quantiles.exact_quantiles(df, ["a", "b"], probs, direct_rows=limit)
+    for limit in (quantiles.BRACKET_ROWS, 50, 1):
+        got = quantiles.exact_quantiles(df, ["a", "b"], probs, bracket_rows=limit)
         assert got["a"] == pytest.approx(list(np.quantile(values, probs)), rel=1e-12)
         assert got["b"] == pytest.approx(list(np.quantile([-v for v in values], probs)), rel=1e-12)
     df.unpersist()
@@ -74,12 +75,17 @@ def test_sort_for_display(spark):
     assert ids(ranking.sort_for_display(df, "severity", True)) == ["3", "2", "1"]
 
 
-def test_label_codes_by_range(spark):
-    """The path for large label sets numbers like the path for small ones."""
+def test_label_codes(spark):
     df = spark.range(2000).select(F.concat(F.lit("v"), ((F.col("id") * 31) % 400).cast("string")).alias("c"))
-    small = {r.c: r.code for r in labels.label_codes(df, "c").collect()}
-    large = {r.c: r.code for r in labels.label_codes(df, "c", max_rows=10).collect()}
-    assert small == large == {v: i for i, v in enumerate(sorted(small))}
+    codes = {r.c: r.code for r in labels.label_codes(df, "c").collect()}
+    assert codes == {v: i for i, v in enumerate(sorted(codes))} and len(codes) == 400
+    assert labels.label_codes(df.where("false"), "c").collect() == []
+
+
+def test_fallback_codes(spark):
+    df = spark.createDataFrame([("tcp", None), (None, "ssh"), ("none such", "-")], "proto string, service string")
+    rows = labels.with_fallback_codes(df, ["proto", "service", "state"]).collect()
+    assert {(r.proto_code, r.service_code, r.state_code) for r in rows} == {(1.0, 0.0, 0.0), (0.0, 7.0, 0.0), (0.0, 1.0, 0.0)}
 
 
 def test_encode_keeps_null(spark):
@@ -88,32 +94,36 @@ def test_encode_keeps_null(spark):
     assert {r.c: r.code for r in encoded.collect()} == {"a": 0, "b": 1, None: None}
 
 
-@pytest.mark.parametrize(
-    "layout, expected",
-    [
-        ({"reverse_mapping": {"0": "Normal", "1": "DoS"}}, {0: "Normal", 1: "DoS"}),
-        ({"attack_mapping": {"Normal": 0, "DoS": 1}}, {0: "Normal", 1: "DoS"}),
-        ({"0": "Normal", "x": "skipped", "1": "DoS"}, {0: "Normal", 1: "DoS"}),
-        ({}, {}),
-        (None, {}),
-    ],
-)
-def test_label_map_layouts(layout, expected):
-    assert labels.normalise_label_map(layout) == expected
-
-
-@pytest.mark.parametrize("direct", [10, 1_000_000])
-def test_exact_split(spark, direct):
-    df = spark.range(5000).select("id", F.when(F.col("id") % 7 == 0, "rare").otherwise("common").alias("s"))
-    train, test = sampling.split_train_test(df, "id", "s", 0.2, direct)
+def test_exact_split(spark):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 7 == 0, "rare").when(F.col("id") % 7 > 1, "common").alias("s"))
+    train, test = sampling.split_train_test(df, "id", "s", 0.2)
     counts = {r.s: r["count"] for r in test.groupBy("s").count().collect()}
-    assert counts == sampling.strata_test_sizes({"rare": 715, "common": 4285}, 0.2)
+    assert counts == {"rare": 143, "common": 714, None: 143}
     assert train.count() + test.count() == 5000 and train.join(test, "id").count() == 0
-    assert sampling.split_train_test(df, "id", "absent", 0.2, direct)[1].count() == 1000
+    assert sampling.split_train_test(df, "id", "absent", 0.2)[1].count() == 1000
+    assert sampling.split_train_test(df.where("false"), "id", "s", 0.2)[1].count() == 0
+
+
+def test_equal_hashes_split_by_key(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "hash_rank", lambda key: F.lit(7).cast("bigint"))
+    df = spark.range(100).select("id", (F.col("id") % 2).alias("s"))
+    test = sampling.split_train_test(df, "id", "s", 0.2)[1]
+    assert sorted(r.id for r in test.collect()) == list(range(20))
+
+
+def test_many_strata(spark):
+    df = spark.range(6000).select("id", (F.col("id") % 2000).alias("s"))
+    assert sampling.split_train_test(df, "id", "s", 0.2)[1].count() == 1200
+
+
+def test_strata_sizes_add_up(spark):
+    counts = spark.createDataFrame([("a", 3), ("b", 3), ("c", 5)], "s string, n bigint")
+    assert {r.s: r.wanted for r in sampling.strata_test_sizes(counts, 0.2).collect()} == {"a": 1, "b": 1, "c": 1}
 
 
-def test_strata_sizes_add_up():
-    assert sampling.strata_test_sizes({"a": 3, "b": 3, "c": 5}, 0.2) == {"a": 1, "b": 1, "c": 1}
+def test_last_by_order(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("b", 2, "y"), (None, 4, "u"), (None, 5, "v")], "k string, seq bigint, v string")
+    assert sorted(r.v for r in ranking.last_by_order(df, ["k"], "seq").collect()) == ["v", "y", "z"]
 
 
 def test_attack_filters(spark):

@@ -38,12 +38,13 @@ def test_trigger_options():
 
 
 def test_broken_messages(spark):
-    given = ['{"rate": 1.5}', '{"rate": NaN}', '{"rate": "x"}', "not json", None]
+    key = '"record_id": "1", "event_time": "2026-01-01T00:00:00.000000Z", "session_id": "s"'
+    given = [f'{{"rate": 1.5, {key}}}', f'{{"rate": NaN, {key}}}', '{"rate": "x"}', "not json", None, "{}", '{"rate": 1.0}']
     rows = spark.createDataFrame([(v,) for v in given], "value string")
     parsed = messages.parse_messages(rows, MESSAGE_SCHEMA)
     good = [r.rate for r in messages.good_rows(parsed, MESSAGE_SCHEMA).collect()]
     assert good[0] == 1.5 and good[1] != good[1] and len(good) == 2
-    assert sorted(r.value for r in messages.bad_rows(parsed).collect()) == ["not json", '{"rate": "x"}']
+    assert sorted(r.value for r in messages.bad_rows(parsed).collect()) == sorted(["not json", '{"rate": "x"}', "{}", '{"rate": 1.0}'])
 
 
 def test_failed_batch_is_run_again(spark):
