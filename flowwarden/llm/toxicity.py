@@ -56,7 +56,7 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.frombuffer(marked.buffers()[1], dtype=np.int64)[marked.offset : marked.offset + len(marked) + 1]
     data = np.frombuffer(marked.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64) if len(marked) else np.empty(0, np.uint64)
     offsets = offsets - offsets[0]
-    owner = np.repeat(np.arange(len(marked)), np.diff(offsets))
+    owner = np.repeat(np.arange(len(marked), dtype=np.int32), np.diff(offsets))
     data = mix(data + np.uint64(1))
     words_out, buckets_out = [], []
     for n in GRAMS:
@@ -68,15 +68,15 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             total = total * np.uint64(0x2545F4914F6CDD1D) + data[k : k + last]
         inside = owner[:last] == owner[n - 1 :]
         words_out.append(owner[:last][inside])
-        buckets_out.append(mix(total[inside] + np.uint64(n)) % np.uint64(BUCKETS))
+        buckets_out.append((mix(total[inside] + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.int32))
     if len(marked):
         place = np.arange(len(data)) - offsets[owner]
         whole = np.add.reduceat(mix(data + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), offsets[:-1])
-        words_out.append(np.arange(len(marked)))
-        buckets_out.append(mix(whole) % np.uint64(BUCKETS))
+        words_out.append(np.arange(len(marked), dtype=np.int32))
+        buckets_out.append((mix(whole) % np.uint64(BUCKETS)).astype(np.int32))
     if not words_out:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(words_out), np.concatenate(buckets_out).astype(np.int64)
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    return np.concatenate(words_out), np.concatenate(buckets_out)
 
 
 def windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +87,35 @@ def windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return offsets[rows] + (np.arange(len(rows)) - first[rows]) * WINDOW, rows
 
 
+class Bags:
+    """The buckets of every word, in blocks of words, so that work arrays stay small."""
+
+    BLOCK = 20_000
+
+    def __init__(self, words: pa.Array):
+        self.blocks = []
+        for a in range(0, len(words), self.BLOCK):
+            part = words.slice(a, self.BLOCK)
+            owner, bucket = subwords(part)
+            order = np.argsort(owner, kind="stable")
+            starts = np.searchsorted(owner[order], np.arange(len(part)))
+            self.blocks.append((bucket[order], starts, np.diff(np.r_[starts, len(bucket)])))
+
+    def mean(self, table: np.ndarray) -> np.ndarray:
+        """Per word the mean of ``table`` over its buckets; every word has at least one."""
+        parts = [np.add.reduceat(table[bucket], starts) / size for bucket, starts, size in self.blocks]
+        return np.concatenate(parts) if parts else np.empty(0)
+
+    def spread(self, by_word: np.ndarray) -> np.ndarray:
+        """Per bucket the sum of what its words pass on: the transpose of ``mean``."""
+        out, a = np.zeros(BUCKETS), 0
+        for bucket, _, size in self.blocks:
+            part = by_word[a : a + len(size)] / size
+            out += np.bincount(bucket, weights=np.repeat(part, size), minlength=BUCKETS)
+            a += len(size)
+        return out
+
+
 @dataclass
 class ToxicityModel:
     """One weight per bucket, a bias for texts with words, and the prior for the others (all as log odds)."""
@@ -100,9 +129,7 @@ class ToxicityModel:
         out = np.full(len(offsets) - 1, self.prior)
         if not len(index):
             return out
-        owner, bucket = subwords(words)
-        size = np.bincount(owner, minlength=len(words))
-        value = np.bincount(owner, weights=self.weights[bucket], minlength=len(words)) / np.maximum(size, 1)
+        value = Bags(words).mean(self.weights)
         starts, rows = windows(offsets)
         lengths = np.diff(np.r_[starts, len(index)])
         score = np.add.reduceat(value[index], starts) / lengths
@@ -115,14 +142,13 @@ def fit(texts: pa.Array, labels: np.ndarray, prior: float, epochs: int = EPOCHS,
     """Gradient descent (Adam) over all texts; classes weigh the same, ``prior`` (log odds) is put back at the end."""
     rng = np.random.default_rng(seed)
     words, index, offsets = split_words(texts)
-    owner, bucket = subwords(words)
-    order = np.argsort(owner, kind="stable")
-    owner, bucket = owner[order], bucket[order]
-    per_word = np.maximum(np.bincount(owner, minlength=len(words)), 1)
+    bags, n_words = Bags(words), len(words)
+    del words
     starts, rows = windows(offsets)
     if not len(starts):
         return ToxicityModel(np.zeros(BUCKETS), prior, prior)
     lengths = np.diff(np.r_[starts, len(index)])
+    ends = np.diff(np.r_[np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]), len(rows)])
     first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     texts_with = rows[first]
     y = labels[texts_with].astype(np.float64)
@@ -134,18 +160,17 @@ def fit(texts: pa.Array, labels: np.ndarray, prior: float, epochs: int = EPOCHS,
     state = [(p, np.zeros_like(p), np.zeros_like(p)) for p in (vectors, softmax, bias)]
     for step in range(1, epochs + 1):
         way = softmax[1] - softmax[0]
-        value = np.bincount(owner, weights=(vectors @ way)[bucket], minlength=len(words)) / per_word
+        value = bags.mean(vectors @ way)
         score = np.add.reduceat(value[index], starts) / lengths
         top = np.maximum.reduceat(score, first)
         # The first window that reaches the text's highest score carries its gradient.
-        hit = np.flatnonzero(score == np.repeat(top, np.diff(np.r_[first, len(score)])))
+        hit = np.flatnonzero(score == np.repeat(top, ends))
         hit = hit[np.unique(rows[hit], return_index=True)[1]]
         odds = top + bias[0]
         error = (1 / (1 + np.exp(-odds)) - y) * share
         spread = np.repeat(error / lengths[hit], lengths[hit])
         inside = np.repeat(starts[hit] - (np.cumsum(lengths[hit]) - lengths[hit]), lengths[hit]) + np.arange(len(spread))
-        by_word = np.bincount(index[inside], weights=spread, minlength=len(words)) / per_word
-        by_bucket = np.bincount(bucket, weights=by_word[owner], minlength=BUCKETS)
+        by_bucket = bags.spread(np.bincount(index[inside], weights=spread, minlength=n_words))
         g_way = by_bucket @ vectors
         gradients = (by_bucket[:, None] * way, np.vstack([-g_way, g_way]), np.array([error.sum()]))
         for (p, m, v), g in zip(state, gradients):
