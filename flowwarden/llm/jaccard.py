@@ -14,7 +14,8 @@ of sizes and the estimated list lengths. Any order and any boundary give the sam
 Lists are not expanded into pairs. Every entry of a list is compared with the list's first entry only (the one whose rare tokens
 are fewest); links are merged into components; only entries that are still in another component than the first one's meet the other
 entries of their list, and pairs within a component never do. So a group of copies costs as many comparisons as it has members,
-and no link between components is missed. Every pair is checked on whole sets.
+and no link between components is missed. Every pair is checked on whole sets. A list that the frequency table takes for
+long is dealt into parts of bounded length, each with a first entry of its own, and these are compared with the first of all.
 
 Defined results: words are split at space and control white space, A-Z are lower-cased; a text with fewer than n words is one shingle;
 null, empty and blank texts have no shingles and link with nothing; rows with equal ids are separate texts, a component's id is the smallest id in
@@ -43,6 +44,8 @@ NODE_BITS = 24
 #: The tables are combined in so many slices.
 TABLE_SLICES = 64
 CHUNK_BYTES = 1_000_000
+#: A longer list is dealt into parts.
+LIST_ROWS = 20_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -236,13 +239,23 @@ def best_boundary(histogram: dict[int, int], list_entries: float, percent: int =
     return min(range(largest + 1), key=lambda b: (cost(b), b))
 
 
-def _postings(words: int, percent: int, boundary: int, table):
-    """(sig, node, n, pos) of the subsets of light sets and the list entries of the others."""
-    schema = pa.schema([("sig", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
+def _postings(words: int, percent: int, boundary: int, list_rows: int, table):
+    """(sig, node, n, pos) of the subsets of light sets and the list entries of the others.
+
+    A list that may be longer than ``list_rows`` is dealt into ``parts`` parts; ``part`` is the entry's.
+    """
+    schema = pa.schema([(c, pa.int64() if c in ("sig", "node") else pa.int32()) for c in ("sig", "node", "n", "pos", "part", "parts")])
     first, second = mix(np.array([101, 211], dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
+        usual = int(np.median(counts[counts > 0])) if counts.any() else 0
+
+        def dealt(sig, who, many, pos, often):
+            parts = 1 + np.maximum(often - usual, 0) // list_rows
+            part = (mix(who.view(np.uint64) ^ sig) % parts.astype(np.uint64)).astype(np.int64)
+            return sig, who, many, pos, part, parts
+
         for batch in batches:
             for _, sets, bounds, node in _chunks(batch, words):
                 size = np.diff(bounds)
@@ -252,25 +265,26 @@ def _postings(words: int, percent: int, boundary: int, table):
                 kept = np.zeros(len(size), dtype=bool)
                 kept[once] = True
                 sets, owner = sets[kept[owner]], owner[kept[owner]]
-                order = np.lexsort((sets, counts[slot(sets)], owner))
-                sets = sets[order]
+                often = counts[slot(sets)].astype(np.int64)
+                order = np.lexsort((sets, often, owner))
+                sets, often = sets[order], often[order]
                 starts = np.searchsorted(owner, np.arange(len(size)))
                 place = np.arange(len(sets)) - starts[owner]
                 n = size[owner]
                 listed = (100 * n >= percent * (boundary + 1)) & (place < n - -(-percent * n // 100) + 1)
-                out = [(sets[listed], node[owner[listed]], n[listed], place[listed])]
+                out = [dealt(sets[listed], node[owner[listed]], n[listed], place[listed], often[listed])]
                 for k in np.unique(size[kept & (size > 1) & (size <= boundary)]):
                     rows = np.flatnonzero(kept & (size == k))
                     prefix = light_prefix(int(k), percent)
-                    tokens = sets[starts[rows][:, None] + np.arange(prefix)]
+                    at = starts[rows][:, None] + np.arange(prefix)
                     i, j = np.triu_indices(prefix, 1)
-                    pairs = mix(tokens[:, i] * first + tokens[:, j] * second).ravel()
-                    out.append((pairs, np.repeat(node[rows], len(i)), np.full(len(pairs), k), np.zeros(len(pairs), np.int64)))
-                sig, who, many, pos = (np.concatenate(c) for c in zip(*out))
-                if len(sig):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(sig.view(np.int64)), pa.array(who), pa.array(many.astype(np.int32)), pa.array(pos.astype(np.int32))], schema=schema
-                    )
+                    pairs = mix(sets[at][:, i] * first + sets[at][:, j] * second).ravel()
+                    rarer = np.minimum(often[at][:, i], often[at][:, j]).ravel()
+                    out.append(dealt(pairs, np.repeat(node[rows], len(i)), np.full(len(pairs), k), np.zeros(len(pairs), np.int64), rarer))
+                columns = [np.concatenate(c) for c in zip(*out)]
+                if len(columns[0]):
+                    columns[0] = columns[0].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)).cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
 
@@ -367,7 +381,7 @@ def _may_link(n, pos, m, other, percent: int):
 
 
 def jaccard_components(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, list_rows: int = LIST_ROWS
 ) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest id reachable over links) of every row."""
     spark = df.sparkSession
@@ -378,25 +392,41 @@ def jaccard_components(
     # Sizes up to the largest light size decide; larger sets cost the same under any boundary.
     sizes = {r["n"]: r["count"] for r in rows.where("n between 1 and 128").groupBy("n").count().collect()}
     boundary = best_boundary(sizes, list_length(table), percent)
+    everywhere = spark.sparkContext.broadcast(table)
     postings = docs.mapInArrow(
-        _postings(words, percent, boundary, spark.sparkContext.broadcast(table)), "sig long, node long, n int, pos int"
+        _postings(words, percent, boundary, list_rows, everywhere), "sig long, node long, n int, pos int, part int, parts int"
     )
-    in_list = Window.partitionBy("sig").orderBy("pos", "node")
+    in_part = Window.partitionBy("sig", "part").orderBy("pos", "node")
     lists = saved(
         postings.select(
-            "*", *[F.first(c).over(in_list).alias(f"hub_{c}") for c in ("node", "n", "pos")]
-        ).where("node <> hub_node"),
+            "*", *[F.first(c).over(in_part).alias(f"hub_{c}") for c in ("node", "n", "pos")]
+        ).where("node <> hub_node or parts > 1"),
         "lists",
     )
+    # The first entry of a whole list: for a list in parts it is the first of the parts' first entries.
+    in_list = Window.partitionBy("sig").orderBy("hub_pos", "hub_node")
+    firsts = saved(
+        lists.where("parts > 1 and node = hub_node").select("sig", "hub_node", "hub_n", "hub_pos").distinct().select(
+            "*", *[F.first(f"hub_{c}").over(in_list).alias(c) for c in ("node", "n", "pos")]
+        ),
+        "firsts",
+    )
+    near = _may_link(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"), percent) & (F.col("node") != F.col("hub_node"))
     pair = (F.least("node", "hub_node").alias("a"), F.greatest("node", "hub_node").alias("b"))
-    with_hub = lists.where(_may_link(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"), percent)).select(*pair).distinct()
+    with_hub = lists.where(near).select(*pair).union(firsts.where(near).select(*pair)).distinct()
     links = verified(docs, saved(with_hub, "pairs"), words, percent)
     joined = components(links)
 
-    named = lists.join(joined.select("node", F.col("component").alias("c")), "node", "left").join(
-        joined.select(F.col("node").alias("hub_node"), F.col("component").alias("hub_c")), "hub_node", "left"
-    ).select("sig", "node", "n", "pos", F.coalesce("c", "node").alias("c"), F.coalesce("hub_c", "hub_node").alias("hub_c"))
-    named = saved(named.distinct(), "named")
+    whole = firsts.groupBy(F.col("sig").alias("first_sig")).agg(F.min("node").alias("first_node"))
+    named = (
+        lists.select("sig", "node", "n", "pos", "hub_node").distinct()
+        .join(whole, F.col("sig") == F.col("first_sig"), "left")
+        .select("sig", "node", "n", "pos", F.coalesce("first_node", "hub_node").alias("hub_node"))
+        .join(joined.select("node", F.col("component").alias("c")), "node", "left")
+        .join(joined.select(F.col("node").alias("hub_node"), F.col("component").alias("hub_c")), "hub_node", "left")
+        .select("sig", "node", "n", "pos", F.coalesce("c", "node").alias("c"), F.coalesce("hub_c", "hub_node").alias("hub_c"))
+    )
+    named = saved(named, "named")
     apart = named.where("c <> hub_c").select(*[F.col(c).alias(f"x_{c}") for c in named.columns])
     rest = apart.join(
         named,

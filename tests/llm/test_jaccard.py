@@ -76,6 +76,15 @@ def test_planted_groups(spark, monkeypatch, boundary):
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+@pytest.mark.parametrize("boundary", [0, 40])
+def test_lists_in_parts(spark, monkeypatch, boundary):
+    monkeypatch.setattr(jaccard, "best_boundary", lambda *a, **k: boundary)
+    rows = planted(11)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.jaccard_components(df, list_rows=2).collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows)
+
+
 def test_documents(spark, sf):
     df = table(ready(spark), sf, "documents")
     assert got(df) == brute([(r["doc_id"], r["text"]) for r in df.collect()])
