@@ -49,7 +49,7 @@ class Fitted:
 
 
 #: Partitions of the tables a model is fitted on: fixed, so that the model does not depend on the cluster.
-FIT_PARTITIONS = 4
+FIT_PARTITIONS = 2
 
 
 def bounded(df: DataFrame, max_rows: int, seed: int = SEED) -> DataFrame:
