@@ -29,6 +29,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ TABLE_BITS = 20
 NODE_BITS = 24
 #: The tables are combined in so many slices.
 TABLE_SLICES = 64
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 500_000
 #: A longer list is dealt into parts.
 LIST_ROWS = 20_000
 
@@ -293,17 +294,22 @@ def _bit(node: np.ndarray) -> np.ndarray:
     return (mix(node.view(np.uint64)) >> np.uint64(64 - NODE_BITS)).astype(np.int64)
 
 
-def _node_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bit per node of a pair, as slices of packed bits."""
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bit per number in any column, as slices of packed bits."""
     bits = np.zeros(1 << NODE_BITS, dtype=bool)
     for batch in batches:
-        for c in ("a", "b"):
-            bits[_bit(batch.column(c).to_numpy())] = True
+        for column in batch.columns:
+            bits[_bit(column.to_numpy())] = True
     table = _table_rows(np.packbits(bits))
     if table:
         yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in table], pa.int32()), pa.array([c for _, c in table], pa.binary())], ["part", "counts"])
 
 
+def marked(numbers: DataFrame) -> np.ndarray:
+    """A table of 2^24 packed bits in which every number of a DataFrame of longs is marked (and others, by chance)."""
+    return merged_table(numbers.mapInArrow(_marks, "part int, counts binary"), (1 << NODE_BITS) // 8, np.uint8, np.bitwise_or)
+
+
 def _members(words: int, wanted):
     """(node, members) of the sets that some pair needs; the bits may let others pass, which the join then drops."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,7 +344,7 @@ def _linked(percent: int):
 def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that link, by whole sets; ``docs`` has doc_id and text."""
     spark = docs.sparkSession
-    wanted = merged_table(pairs.mapInArrow(_node_bits, "part int, counts binary"), (1 << NODE_BITS) // 8, np.uint8, np.bitwise_or)
+    wanted = marked(pairs.select("a", "b"))
     sets = docs.mapInArrow(_members(words, spark.sparkContext.broadcast(wanted)), "node long, members binary")
     # One set per content; both joins share this shuffle.
     sets = sets.dropDuplicates(["node"])
@@ -458,13 +464,20 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = df.withColumn("_key", key)
     found = jaccard_components(keyed, "_key", text_col, **options)
     found = saved(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows")), "kept")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    several = found.where("rows > 1").select(F.col("doc_id").alias("_several"))
-    left = keyed.join(gone, keyed["_key"] == gone["_gone"], "left_anti")
-    if not several.limit(1).count():
-        return left.select(*df.columns)
-    marked = left.join(several, left["_key"] == several["_several"], "left")
-    unique = marked.where("_several is null").select(*df.columns)
-    order = Window.partitionBy("_key").orderBy(text_col)
-    first = marked.where("_several is not null").withColumn("_rank", F.row_number().over(order)).where("_rank = 1").select(*df.columns)
-    return unique.unionAll(first)
+    # Rows to decide on: those that go, and those that share an id. The others, most of them, pass by a
+    # look at a bit table of fixed size; only rows with a mark are shuffled to be compared exactly.
+    decided = found.where("component_id <> doc_id or rows > 1")
+    bits = df.sparkSession.sparkContext.broadcast(marked(decided.select("doc_id")))
+
+    @F.pandas_udf("boolean")
+    def has_mark(keys: pd.Series) -> pd.Series:
+        at = _bit(keys.to_numpy(dtype=np.int64))
+        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+
+    flagged = keyed.withColumn("_mark", has_mark("_key"))
+    clear = flagged.where("not _mark").select(*df.columns)
+    first = Window.partitionBy("_key").orderBy(text_col)
+    kept = found.where("component_id = doc_id").select(F.col("doc_id").alias("_kept"))
+    doubtful = flagged.where("_mark").join(kept, F.col("_key") == F.col("_kept"), "left_semi")
+    one = doubtful.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").select(*df.columns)
+    return clear.unionAll(one)
