@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 #: The published pre-tokenization pattern of byte-level BPE. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A worker remembers between once and twice as many words.
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 #: Characters of a longer word are not worth remembering.
 LONG_WORD = 64
 
@@ -198,6 +198,7 @@ def _digests(batches, path: str, columns: list[str], text_col: str):
             [*(batch.column(c) for c in columns), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
             [*columns, "n_tokens", "ids_sha256", "decoded_sha256"],
         )
+    bpe.older = {}  # a worker that waits for other work holds less
 
 
 def _token_ids(batches, path: str, columns: list[str], text_col: str):
@@ -216,6 +217,7 @@ def _token_ids(batches, path: str, columns: list[str], text_col: str):
                 [*(rows.column(c) for c in columns), pa.array(lengths, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))],
                 [*columns, "n_tokens", "ids"],
             )
+    bpe.older = {}
 
 
 def _schema(df: DataFrame, columns: list[str], extra: str) -> str:

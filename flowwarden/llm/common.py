@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from flowwarden.session import materialise, ship_package
 
 #: Rows and bytes of one Arrow batch, so that a batch of long texts stays small.
-BATCH_ROWS = 2000
-BATCH_BYTES = "16m"
+BATCH_ROWS = 1000
+BATCH_BYTES = "4m"
 
 #: Separators of words: space, tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -28,13 +28,13 @@ BUCKETS = 1 << 16
 DIMENSIONS = 8
 GRAMS = (3, 4, 5)
 WINDOW = 2
-MAX_TRAIN = 2500
-MAX_TRAIN_BYTES = 24_000_000
+MAX_TRAIN = 2000
+MAX_TRAIN_BYTES = 14_000_000
 EPOCHS = 60
 #: Pull of all weights towards zero.
 DECAY = 1e-4
 THRESHOLD = 0.3
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 1_000_000
 EDGES = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
 
@@ -206,7 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if size > MAX_TRAIN_BYTES:
         texts = texts.where(F.pmod(F.xxhash64(F.lit(1), "_id"), F.lit(1_000_000)) < int(1e6 * MAX_TRAIN_BYTES / size))
     held = texts.orderBy("_id", "text").toArrow()
-    return fit(held["text"].combine_chunks(), held["_label"].to_numpy(), float(np.log(bad / good)))
+    model = fit(held["text"].combine_chunks(), held["_label"].to_numpy(), float(np.log(bad / good)))
+    del held
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def _scores(model, columns: list[str]):
