@@ -1,6 +1,8 @@
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,30 @@ def test_recall(spark):
     assert 0.3 * len(want) < len(few & want) < len(want)  # the forest, not a scan, gives the candidates
 
 
+def many_vectors(spark, tmp_path, x):
+    column = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": column}), tmp_path / "many.parquet", row_group_size=25_000)
+    return spark.read.parquet(str(tmp_path / "many.parquet"))
+
+
+def recall(df, x, queries, k=5):
+    got = {(r["query_id"], r["vec_id"]) for r in ann.nearest(df, lambda i: i.isin(queries), k=k).collect()}
+    u, found = ann.unit(x.astype(float)), 0
+    for q in queries:
+        score = ann.cosines(u, u[q])
+        score[q] = -2
+        found += sum((q, int(j)) in got for j in np.lexsort((np.arange(len(x)), -score))[:k])
+    return found / (k * len(queries))
+
+
+def test_recall_on_many_vectors(spark, tmp_path, monkeypatch):
+    measured, budget = [], ann.budget
+    monkeypatch.setattr(ann, "budget", lambda *a: measured.append(budget(*a)) or measured[-1])
+    x = np.random.default_rng(7).normal(size=(200_000, 64)).astype(np.float32)
+    assert recall(many_vectors(ready(spark), tmp_path, x), x, list(range(0, 200_000, 2985))) >= 0.9
+    assert 0 < measured[0][1] < 0.6 * len(x)  # rows looked at: no scan
+
+
 def test_queries_are_rows_of_the_table(spark, sf):
     df = table(spark, sf, "embeddings")
     got = topk.top_products(df, lambda i: i % 100 == 0).groupBy("query_id").count().collect()
