@@ -1,13 +1,14 @@
 """Approximate nearest neighbours by cosine in a forest of random-projection trees.
 
-Trees are fitted on at most ``MAX_SAMPLE`` rows chosen by a hash (the documented bound; every row is indexed): each node splits its
-rows at the median of a projection on the difference of two of them. A query walks all trees through one priority queue,
-nearest hyperplane first, until the leaves it has met hold enough rows, by the exact leaf counts. The rows of these leaves are
-the candidates; exact cosines in double precision rank them.
+Equal vectors are one entry of the index, with the k + 1 smallest of their ids: no query can return more of them, so this is exact
+and a vector that many rows share fills no leaf. Trees are fitted on at most ``MAX_SAMPLE`` different vectors chosen by a hash (the
+documented bound; every vector is indexed): each node splits its rows at the median of a projection on the difference of two of them. A query walks all trees through one priority queue,
+nearest hyperplane first, to a leaf of every tree at least and until the leaves it has met hold enough different vectors, by the exact
+leaf counts. The rows of these leaves are the candidates; exact cosines in double precision rank them.
 
 How many rows are enough is measured in the table itself: the true neighbours of at most ``CALIBRATION`` queries are found by brute force
 over all rows, and the budget is the least with which the walk meets ``RECALL`` of them. Where walks would look at as many
-rows as the table has, one tree is searched in all leaves instead, which gives the exact result for less.
+vectors as the table has, one tree is searched in all leaves instead, which gives the exact result for less.
 
 Queries meet the rows of neighbouring leaves in groups of bounded size: a leaf with many rows is dealt into slices
 by place, and its queries go to each of them. Only the k best ids per query leave a group.
@@ -122,10 +123,10 @@ def walk(forest: list[Tree], query: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def visit(forest: list[Tree], counts: list[np.ndarray], query: np.ndarray, enough: int) -> list[tuple[int, int]]:
-    """The leaves of a walk until they hold ``enough`` rows."""
+    """The leaves of a walk until they hold ``enough`` rows; the first of every tree in any case."""
     met, rows = [], 0
-    for i, leaf in walk(forest, query):
-        if rows >= enough:
+    for i, leaf in walk(forest, query):  # begins with one leaf of every tree
+        if rows >= enough and len(met) >= len(forest):
             break
         met.append((i, leaf))
         rows += int(counts[i][leaf])
@@ -148,6 +149,13 @@ def needed(forest: list[Tree], counts: list[np.ndarray], query: np.ndarray, near
     return budget
 
 
+def collapsed(rows: DataFrame, k: int) -> DataFrame:
+    """id, vector, nth: the k + 1 smallest ids of every vector, numbered from 1. Tasks keep k + 1 rows a vector before they shuffle."""
+    by_vector = Window.partitionBy("h", "vector").orderBy("id")
+    hashed = rows.select("id", "vector").distinct().withColumn("h", F.xxhash64("vector"))
+    return hashed.withColumn("nth", F.row_number().over(by_vector)).where(F.col("nth") <= k + 1).drop("h")
+
+
 def _leaves(forest):
     def run(batches):
         for batch in batches:
@@ -299,33 +307,38 @@ def nearest(
     sizes = rows.groupBy("length").count().orderBy(F.desc("count"), "length").head()
     if sizes is None:
         return spark.createDataFrame([], schema)
-    length, n = sizes["length"], sizes["count"]
+    length = sizes["length"]
     rows, queries = (d.where(F.col("length") == length).select("id", "vector") for d in (rows, queries))
-    # About max_sample rows, whatever the table's size; ids that repeat are told apart by their place.
-    chance = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(1_000_000)) < int(1e6 * min(1.0, max_sample / n))
-    sample = unit(vectors(rows.where(chance).orderBy("id").select("vector").toArrow()["vector"]).reshape(-1, length))
+    rows, queries = saved(collapsed(rows, k), "vectors"), queries.distinct()
+    different = rows.where("nth = 1")
+    n = different.count()
+    # About max_sample vectors, whatever the table's size.
+    chance = F.pmod(F.xxhash64("vector"), F.lit(1_000_000)) < int(1e6 * min(1.0, max_sample / n))
+    sample = unit(vectors(different.where(chance).orderBy("id", "vector").select("vector").toArrow()["vector"]).reshape(-1, length))
     if not len(sample):
         sample = np.eye(1, length)
     rng = np.random.default_rng(seed)
     in_leaf = max(8, int(leaf_rows * len(sample) / n))
     forest = [grow(sample, in_leaf, rng) for _ in range(trees)]
     everywhere = spark.sparkContext.broadcast
-    placed = saved(rows.mapInArrow(_leaves(everywhere(forest)), f"id long, {_vector(rows)}, leaves array<int>"), "leaves")
-    counts = [np.zeros(t.leaves, dtype=np.int64) for t in forest]
+    placed = saved(rows.mapInArrow(_leaves(everywhere(forest)), f"id long, {_vector(rows)}, nth int, leaves array<int>"), "leaves")
+    counts = [np.zeros(t.leaves, dtype=np.int64) for t in forest]  # different vectors
+    held = [np.zeros(t.leaves, dtype=np.int64) for t in forest]  # rows
     # As many rows as the forest has leaves, which the sample bounds.
-    for r in placed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect():
-        counts[r["tree"]][r["leaf"]] = r["count"]
+    by_leaf = placed.select("nth", F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf")
+    for r in by_leaf.agg(F.count("*").alias("rows"), F.count_if(F.col("nth") == 1).alias("different")).collect():
+        counts[r["tree"]][r["leaf"]], held[r["tree"]][r["leaf"]] = r["different"], r["rows"]
     if search_rows is None:
         search_rows, looked_at = budget(placed, queries, forest, counts, k)
         if looked_at >= n:  # the whole table costs no more
-            forest, counts, search_rows = forest[:1], counts[:1], n
+            forest, counts, held, search_rows = forest[:1], counts[:1], held[:1], n
     # Leaves are numbered from left to right, so those of a part are neighbours.
-    parts = [(np.cumsum(c) - c) // SLICE for c in counts]
+    parts = [(np.cumsum(c) - c) // SLICE for c in held]
     probes = queries.mapInArrow(
         _probes(everywhere(forest), everywhere(counts), everywhere(parts), search_rows),
         f"id long, tree int, part int, leaves array<int>, {_vector(rows)}",
     )
-    in_part = [np.bincount(p, weights=c) for p, c in zip(parts, counts)]
+    in_part = [np.bincount(p, weights=c) for p, c in zip(parts, held)]
     split = [
         (t, leaf, int(p), max(1, -(-int(in_part[t][p]) // (2 * SLICE)))) for t, of in enumerate(parts) for leaf, p in enumerate(of)
     ]

@@ -139,6 +139,22 @@ def test_recall_on_many_vectors(spark, tmp_path, monkeypatch):
     assert 0 < measured[0][1] < 0.6 * len(x)  # rows looked at: no scan
 
 
+def test_recall_of_the_others_when_a_third_is_equal(spark, tmp_path, monkeypatch):
+    measured, budget = [], ann.budget
+    monkeypatch.setattr(ann, "budget", lambda *a: measured.append(budget(*a)) or measured[-1])
+    x = np.random.default_rng(8).normal(size=(200_000, 64)).astype(np.float32)
+    x[2::3] = x[2]
+    assert recall(many_vectors(ready(spark), tmp_path, x), x, list(range(0, 200_000, 4998))) >= 0.9
+    assert 0 < measured[0][1] < 0.6 * len(x)
+
+
+def test_every_tree_is_descended():
+    sample = np.random.default_rng(9).normal(size=(500, 8))
+    forest = [ann.grow(sample, 50, np.random.default_rng(i)) for i in range(6)]
+    counts = [np.full(t.leaves, 1000) for t in forest]
+    assert [t for t, _ in ann.visit(forest, counts, sample[0], 1)] == list(range(6))
+
+
 def test_queries_are_rows_of_the_table(spark, sf):
     df = table(spark, sf, "embeddings")
     got = topk.top_products(df, lambda i: i % 100 == 0).groupBy("query_id").count().collect()
