@@ -3,10 +3,10 @@
 Every vector is cut into segments whose means and deviations give a lower bound of the distance of two vectors, and, as
 2 q.x = |q|^2 + |x|^2 - d^2, an upper bound of their inner product. Bounds of a few segments are taken for all pairs of a block,
 those of more segments for the pairs that survive, exact products for the survivors of the last level. A query's threshold is
-the k-th best exact product among the candidates with the best coarse bounds, so nothing of the result can be cut off.
+the least exact product of k different ids with the best coarse bounds, so nothing of the result can be cut off.
 
 Queries and candidates meet in blocks: candidates are dealt into slices and queries into blocks of bounded size, every pair of
-a slice and a block is one group, and only its k best rows per query leave it.
+a slice and a block is one group, and only its k best ids per query leave it.
 
 Components become floor(scale * x), so products are whole numbers. Defined results: vectors that are null, hold null or
 non-finite components, or components of 2^28 and more after scaling, take no part, nor do rows with a null id; only vectors of equal length are
@@ -55,6 +55,7 @@ def best_products(queries: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids:
     # Rounding of a bound, far below one unit of a product unless the numbers are huge.
     norm = np.sqrt((x**2).sum(axis=1).max(initial=0))
     slack = 0.5 + 1e-9 * norm * np.sqrt((queries**2).sum(axis=1))
+    repeated = len(np.unique(x_ids)) < len(x_ids)
     rows, cols, values = [], [], []
     for begin in range(0, len(queries), 128):
         part = slice(begin, begin + 128)
@@ -67,14 +68,17 @@ def best_products(queries: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids:
                 continue
             alive = np.arange(len(x))
             if others > k:
-                seeds = np.argpartition(bound, -k)[-k:]
-                least = (xi[seeds] @ qi[r]).min() - slack[r]
+                seeds = _seeds(bound, x_ids, k) if repeated else np.argpartition(bound, -k)[-k:]
+                least = (xi[seeds] @ qi[r]).min() - slack[r] if len(seeds) >= k else -np.inf
                 alive = np.flatnonzero(bound >= least)
                 for f_q, f_x in features[1:]:
                     alive = alive[f_x[alive] @ f_q[r] >= least]
             alive = alive[~own[alive]]
             score = (xi[alive] @ qi[r]).astype(np.int64)
-            order = np.lexsort((x_ids[alive], -score))[: _enough(score, x_ids[alive], k)]
+            order = np.lexsort((x_ids[alive], -score))
+            if repeated:
+                order = order[np.sort(np.unique(x_ids[alive][order], return_index=True)[1])]
+            order = order[:k]
             rows.append(np.full(len(order), r))
             cols.append(alive[order])
             values.append(score[order])
@@ -83,14 +87,16 @@ def best_products(queries: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids:
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
 
 
-def _enough(score: np.ndarray, ids: np.ndarray, k: int) -> int:
-    """How many of the best rows hold k different ids."""
-    if len(np.unique(ids)) == len(ids):
-        return k
-    order = np.lexsort((ids, -score))
-    _, first = np.unique(ids[order], return_index=True)
-    first.sort()
-    return int(first[k - 1]) + 1 if len(first) >= k else len(order)
+def _seeds(bound: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Rows of the k ids with the best bounds, one each; fewer where there are fewer ids."""
+    m, rows = k, int((bound > -np.inf).sum())
+    while True:
+        m = min(4 * m, rows)
+        some = np.argpartition(bound, -m)[-m:]
+        some = some[np.argsort(-bound[some], kind="stable")]
+        first = np.sort(np.unique(ids[some], return_index=True)[1])[:k]
+        if len(first) == k or m == rows:
+            return some[first]
 
 
 def _quantised(column, scale: float) -> np.ndarray:
@@ -125,6 +131,7 @@ def top_products(
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k highest products of every query. ``pick_queries`` is a condition on the id."""
     rows, queries = dealt(df, id_col, vector_col, pick_queries)
+    queries = queries.distinct()
     sizes = rows.agg(F.count("*").alias("n"), F.count_if(pick_queries(F.col("id"))).alias("q")).head()
     blocks, slices = max(1, -(-sizes["q"] // QUERY_BLOCK)), max(1, -(-sizes["n"] // SLICE))
     # Rows are dealt by their place, so that neither a frequent id nor a frequent vector fills a slice.

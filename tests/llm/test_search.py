@@ -155,6 +155,37 @@ def test_every_tree_is_descended():
     assert [t for t, _ in ann.visit(forest, counts, sample[0], 1)] == list(range(6))
 
 
+@pytest.fixture
+def one_id_many_times():
+    rng = np.random.default_rng(10)
+    rows = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(60)]
+    rows += [(77, rows[0][1])] * 12 + [(78, (np.array(rows[0][1]) + rng.normal(0, 0.01, 6)).tolist()) for _ in range(30)]
+    return rows + [(20, (np.array(rows[20][1]) * s).tolist()) for s in (1.1, 1.2, 1.3, 1.4, 1.5, 1.6, 1.7, 1.8)]
+
+
+def test_products_with_one_id_many_times(spark, one_id_many_times):
+    got = topk.top_products(frame(ready(spark), one_id_many_times), lambda i: i % 10 == 0, k=7).collect()
+    assert sorted(map(tuple, got)) == brute_products(one_id_many_times, 10, 7)
+
+
+def test_seeds_are_different_ids():
+    rng = np.random.default_rng(11)
+    x = rng.normal(0, 300, (2000, 64)).round()
+    ids = np.arange(2000)
+    x[100:150], ids[100:150] = (x[0] + rng.normal(0, 3, (50, 64))).round(), 100
+    r, c, v = topk.best_products(x[:1], ids[:1], x, ids, 10)
+    whole = {}
+    for j, s in zip(ids[1:], x[1:] @ x[0]):
+        whole[int(j)] = max(whole.get(int(j), -(10**18)), int(s))
+    want = sorted(whole.items(), key=lambda p: (-p[1], p[0]))[:10]
+    assert [(int(ids[j]), int(s)) for j, s in zip(c, v)] == want
+
+
+def test_neighbours_with_one_id_many_times(spark, one_id_many_times):
+    got = ann.nearest(frame(ready(spark), one_id_many_times), lambda i: i % 10 == 0).collect()
+    assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in got) == brute_cosines(one_id_many_times, 10, 5)
+
+
 def test_queries_are_rows_of_the_table(spark, sf):
     df = table(spark, sf, "embeddings")
     got = topk.top_products(df, lambda i: i % 100 == 0).groupBy("query_id").count().collect()
