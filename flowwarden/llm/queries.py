@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowwarden.llm import ann, bpe, chat, jaccard, mixing, sharding, topk, toxicity, url_filter, warc
+from flowwarden.llm import ann, bpe, chat, extract, jaccard, mixing, sharding, topk, toxicity, url_filter, warc
 from flowwarden.llm.common import ready, table
 from flowwarden.session import apply_settings
 
@@ -155,3 +155,21 @@ def op10_chat(spark, sf_dir):
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(chat.prefix_examples(rows))
+
+
+# Holds for the pages of the given tables: each marks its article by <article>, and these are the references they use.
+_OP12 = r"""
+WITH blocks AS (
+  SELECT page_id, url, list_filter(list_transform(
+           string_split_regex(replace(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '<br>', ' '), '</?(p|h1)>'),
+           lambda b: trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(regexp_replace(b, '<[a-z/][^>]*>', '', 'g'),
+             '&lt;', '<'), '&gt;', '>'), '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))),
+         lambda b: b <> '') AS found FROM pages)
+SELECT page_id, url, coalesce(array_to_string(found, chr(10)), '') AS text, CAST(length(coalesce(array_to_string(found, chr(10)), '')) AS BIGINT) AS n_chars
+FROM blocks
+"""
+
+
+@query(_OP12)
+def op12_html_extraction(spark, sf_dir):
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
