@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowwarden.llm import ann, bpe, chat, extract, jaccard, mixing, sharding, topk, toxicity, url_filter, warc
+from flowwarden.llm import ann, bpe, chat, extract, jaccard, mixing, repair, sharding, topk, toxicity, url_filter, warc
 from flowwarden.llm.common import ready, table
 from flowwarden.session import apply_settings
 
@@ -173,3 +173,9 @@ FROM blocks
 @query(_OP12)
 def op12_html_extraction(spark, sf_dir):
     return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op13_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.repair_report(repair.damage(rows), rows)
