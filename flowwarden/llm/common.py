@@ -84,3 +84,37 @@ def usable(column: str, nonzero: bool = False):
     if nonzero:
         kept &= F.exists(column, lambda x: x != 0)
     return kept
+
+
+#: Scaled components and scores are held within these.
+LARGEST_COMPONENT = 1e150
+LONG_MIN, LONG_MAX = -(1 << 63), (1 << 63) - 1
+
+
+def whole(x: np.ndarray, scale: float) -> np.ndarray:
+    """floor(scale * x), held within numbers whose products can be handled."""
+    with np.errstate(over="ignore"):
+        return np.clip(np.floor(x * scale), -LARGEST_COMPONENT, LARGEST_COMPONENT)
+
+
+def exact_products(x: np.ndarray, y: np.ndarray, largest: np.ndarray | None = None) -> np.ndarray:
+    """Inner products of the rows of ``x`` with ``y``, whole numbers in double precision, exactly; beyond 64 bits the nearest 64-bit number.
+
+    ``largest`` has the largest absolute component of every row, where it is known.
+    """
+    if not len(x):
+        return np.empty(0, np.int64)
+    largest = np.abs(x).max(axis=1, initial=0) if largest is None else largest
+    bound = largest * (np.abs(y).max(initial=0) * max(1, len(y)))
+    if bound.max() < 2.0**52:
+        return (x @ y).astype(np.int64)
+    out = np.empty(len(x), np.int64)
+    small, fits = bound < 2.0**52, bound < 2.0**62
+    out[small] = (x[small] @ y).astype(np.int64)
+    # A component that meets only zeros may be too large for an integer of 64 bits.
+    middle = fits & ~small & (largest < 2.0**62)
+    if middle.any():
+        out[middle] = x[middle].astype(np.int64) @ y.astype(np.int64)
+    for i in np.flatnonzero(~small & ~middle):
+        out[i] = min(LONG_MAX, max(LONG_MIN, sum(int(a) * int(b) for a, b in zip(x[i], y))))
+    return out
