@@ -152,14 +152,9 @@ class Steps:
         return step
 
 
-def checkpoints(matrices: np.ndarray) -> np.ndarray:
-    """Cost vectors behind every block of a conversation, from the blocks' matrices in order."""
-    out = np.empty((len(matrices), 4), dtype=np.int64)
-    costs = np.array(END, dtype=np.int64)
-    for i in range(len(matrices) - 1, -1, -1):
-        out[i] = costs
-        costs = (matrices[i].reshape(4, 4) + costs[:, None]).min(axis=0)
-    return out
+def before_block(matrix: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Costs before a block, from its matrix and those behind it."""
+    return (matrix.reshape(4, 4) + behind[:, None]).min(axis=0)
 
 
 # --- its steps over the table
@@ -223,10 +218,18 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
 
-def _vectors(heads: pa.Table) -> pa.Table:
-    heads = heads.sort_by("block")
-    matrices = heads["matrix"].combine_chunks().flatten().to_numpy().reshape(-1, 16)
-    return pa.table({"block": heads["block"], "behind": pa.array(checkpoints(matrices).tolist(), pa.list_(pa.int64()))})
+def _checkpoints(batches):
+    """The cost vector behind every block, from blocks that come last to first."""
+    conversation, costs, begun = None, None, False
+    for batch in batches:
+        out = []
+        matrices = batch.column("matrix").flatten().to_numpy().reshape(-1, 16)
+        for conv, matrix in zip(batch.column("conv_id").to_pylist(), matrices):
+            if not begun or conv != conversation:
+                conversation, costs, begun = conv, np.array(END, dtype=np.int64), True
+            out.append(costs.tolist())
+            costs = before_block(matrix, costs)
+        yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(out, pa.list_(pa.int64()))], ["block", "behind"])
 
 
 def _walk(schema: pa.Schema):
@@ -294,7 +297,9 @@ def edited_turns(rows: DataFrame, conversations: DataFrame | None = None) -> Dat
     )
     longest = max(LEAST_BLOCK, math.isqrt(n))
     blocks = saved(ordered.mapInArrow(_blocks(longest, arrow), f"{keys}, block long, codes binary, matrix array<long>"), "repair-blocks")
-    behind = blocks.groupBy("conv_id").applyInArrow(_one_conversation, "block long, behind array<long>")
+    # One conversation's blocks come in one task, the last first; each leaves a vector and only the newest is held.
+    backwards = blocks.select("conv_id", "block", "matrix").repartition("conv_id").sortWithinPartitions("conv_id", F.desc("block"))
+    behind = backwards.mapInArrow(_checkpoints, "block long, behind array<long>")
     heads = blocks.drop("matrix").join(behind, "block").select(
         *_ORDER, F.lit(1).alias("kind"), F.lit(None).cast("string").alias("text"), "codes", "behind"
     )
@@ -315,10 +320,6 @@ def edited_turns(rows: DataFrame, conversations: DataFrame | None = None) -> Dat
     )
 
 
-def _one_conversation(heads: pa.Table) -> pa.Table:
-    return _vectors(heads.select(["block", "matrix"]))
-
-
 def _arrow(name: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "string": pa.string()}[name]
 

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,15 +121,13 @@ def test_matrices_agree_with_single_rows():
     draw, steps = random.Random(5), repair.Steps()
     codes = bytes(draw.randrange(16) for _ in range(300))
     cuts = [0, 1, 7, 8, 150, 300]
-    import numpy as np
-
-    blocks = np.array([steps.matrix(codes[a:b]) for a, b in zip(cuts, cuts[1:])])
-    behind = repair.checkpoints(blocks)
-    costs = repair.END
-    for i in range(300, 0, -1):
-        if i in cuts:
-            assert tuple(behind[cuts.index(i) - 1]) == costs
-        costs = repair.back(codes[i - 1], costs)
+    behind = np.array(repair.END)
+    for a, b in reversed(list(zip(cuts, cuts[1:]))):
+        costs = tuple(behind.tolist())
+        for code in reversed(codes[a:b]):
+            costs = repair.back(code, costs)
+        behind = repair.before_block(np.array(steps.matrix(codes[a:b])), behind)
+        assert tuple(behind.tolist()) == costs
 
 
 def test_one_conversation_holds_most_rows(spark, monkeypatch):
