@@ -7,19 +7,19 @@ nearest hyperplane first, to a leaf of every tree at least and until the leaves
 leaf counts. The rows of these leaves are the candidates; exact cosines in double precision rank them.
 
 How many rows are enough is measured in the table itself: the true neighbours of at most ``CALIBRATION`` queries are found by brute force
-over all rows, and the budget is the least with which the walk meets ``RECALL`` of them. Where walks would look at as many
-vectors as the table has, one tree is searched in all leaves instead, which gives the exact result for less.
+over all rows, and the budget is the least with which the walk meets ``RECALL`` of them. Vectors of each length have a forest of their own.
 
 Queries meet the rows of neighbouring leaves in groups of bounded size: a leaf with many rows is dealt into slices
 by place, and its queries go to each of them. Only the k best ids per query leave a group.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do rows with a null id; only vectors
-of the most frequent length are indexed and searched; a row is never its own candidate, and rows that share its id aren't
+of equal length are compared; a row is never its own candidate, and rows that share its id aren't
 either; ties go to the smaller id; with few rows all are candidates; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import math
 from collections.abc import Iterator
@@ -43,6 +43,8 @@ CALIBRATION = 100
 #: Rows of neighbouring leaves that make a group, about, and queries of one matrix product.
 SLICE = 8192
 CHUNK = 256
+#: Queries of a task, at least, that walk the forest.
+WALKS = 64
 
 
 @dataclass
@@ -301,15 +303,24 @@ def nearest(
     trees: int = TREES, search_rows: int | None = None, leaf_rows: int = LEAF_ROWS, max_sample: int = MAX_SAMPLE, seed: int = 5,
 ) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found for every query. ``pick_queries`` is a condition on the id."""
-    spark = df.sparkSession
     rows, queries = dealt(df, id_col, vector_col, pick_queries, nonzero=True)
-    schema = "query_id long, rank int, vec_id long, score double"
-    sizes = rows.groupBy("length").count().orderBy(F.desc("count"), "length").head()
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    length = sizes["length"]
-    rows, queries = (d.where(F.col("length") == length).select("id", "vector") for d in (rows, queries))
-    rows, queries = saved(collapsed(rows, k), "vectors"), queries.distinct()
+    # As many rows as there are different lengths. Lengths without a query have nothing to search for.
+    lengths = [r["length"] for r in queries.select("length").distinct().orderBy("length").collect()]
+    found = [
+        _nearest(*(d.where(F.col("length") == n).select("id", "vector") for d in (rows, queries)), n, k, trees, search_rows, leaf_rows, max_sample, seed)
+        for n in lengths
+    ]
+    if not found:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionAll, found)
+
+
+def _nearest(
+    rows: DataFrame, queries: DataFrame, length: int, k: int, trees: int, search_rows: int | None, leaf_rows: int, max_sample: int, seed: int
+) -> DataFrame:
+    """The search among vectors of one length."""
+    spark = rows.sparkSession
+    rows, queries = saved(collapsed(rows, k), "vectors"), saved(queries.distinct(), "queries")
     different = rows.where("nth = 1")
     n = different.count()
     # About max_sample vectors, whatever the table's size.
@@ -329,12 +340,12 @@ def nearest(
     for r in by_leaf.agg(F.count("*").alias("rows"), F.count_if(F.col("nth") == 1).alias("different")).collect():
         counts[r["tree"]][r["leaf"]], held[r["tree"]][r["leaf"]] = r["different"], r["rows"]
     if search_rows is None:
-        search_rows, looked_at = budget(placed, queries, forest, counts, k)
-        if looked_at >= n:  # the whole table costs no more
-            forest, counts, held, search_rows = forest[:1], counts[:1], held[:1], n
+        search_rows, _ = budget(placed, queries, forest, counts, k)
     # Leaves are numbered from left to right, so those of a part are neighbours.
     parts = [(np.cumsum(c) - c) // SLICE for c in held]
-    probes = queries.mapInArrow(
+    # Walks are work for the processor, so queries are dealt by number, not by bytes.
+    tasks = min(1 + queries.count() // WALKS, 4 * spark.sparkContext.defaultParallelism)
+    probes = queries.repartition(tasks, "id").mapInArrow(
         _probes(everywhere(forest), everywhere(counts), everywhere(parts), search_rows),
         f"id long, tree int, part int, leaves array<int>, {_vector(rows)}",
     )
@@ -345,7 +356,7 @@ def nearest(
     slices = F.broadcast(spark.createDataFrame(split, "tree int, leaf int, part int, slices int"))
     left = probes.join(F.broadcast(spark.createDataFrame(sorted({(t, p, s) for t, _, p, s in split}), "tree int, part int, slices int")), ["tree", "part"])
     left = left.withColumn("slice", F.explode(F.expr("sequence(0, slices - 1)")))
-    right = placed.select("id", "vector", F.posexplode(F.slice("leaves", 1, len(forest))).alias("tree", "leaf")).join(slices, ["tree", "leaf"])
+    right = placed.select("id", "vector", F.posexplode("leaves").alias("tree", "leaf")).join(slices, ["tree", "leaf"])
     right = right.withColumn("slice", F.expr("cast(pmod(monotonically_increasing_id(), slices) as int)"))
     keys = ("tree", "part", "slice")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_group(k), "query_id long, vec_id long, score double")
@@ -356,17 +367,3 @@ def nearest(
 
 def _vector(rows: DataFrame) -> str:
     return f"vector {rows.schema['vector'].dataType.simpleString()}"
-
-
-def exact_nearest(df: DataFrame, pick_queries, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> list[tuple[int, int]]:
-    """(query_id, vec_id) by brute force on one machine, to measure recall on small tables."""
-    rows = df.select(id_col, vector_col).toArrow()
-    ids, x = rows[id_col].to_numpy(), unit(vectors(rows[vector_col]))
-    picked = {r[0] for r in df.where(pick_queries(F.col(id_col))).select(id_col).collect()}
-    out = []
-    for i in range(len(ids)):
-        if ids[i] in picked:
-            score = cosines(x, x[i])
-            order = [j for j in np.lexsort((ids, -score)) if ids[j] != ids[i]][:k]
-            out += [(int(ids[i]), int(ids[j])) for j in order]
-    return out

@@ -118,3 +118,22 @@ def exact_products(x: np.ndarray, y: np.ndarray, largest: np.ndarray | None = No
     for i in np.flatnonzero(~small & ~middle):
         out[i] = min(LONG_MAX, max(LONG_MIN, sum(int(a) * int(b) for a, b in zip(x[i], y))))
     return out
+
+
+def with_lookup(rows: DataFrame, side: DataFrame, key: str, members: str, n: int) -> DataFrame:
+    """``rows`` with the columns of ``side``, which has one row per key and says by how many of the ``n`` rows it is shared; nulls where it has none.
+
+    Keys of more than a thousandth of the rows (so fewer than a thousand) are broadcast, the others joined; rows that the broadcast settles, and null keys, are
+    spread by keys of their own. So no task gets more than a thousandth of the rows under one key.
+    """
+    limit = max(1000, n // 1000)
+    columns = [c for c in side.columns if c not in (key, members)]
+    renamed = lambda d, p: d.select(F.col(key).alias(f"{p}_key"), *(F.col(c).alias(f"{p}_{c}") for c in columns))
+    rows = rows.join(F.broadcast(renamed(side.where(F.col(members) > limit), "hot")), F.col(key) == F.col("hot_key"), "left")
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    rows = rows.withColumn("own_key", F.when(F.col("hot_key").isNotNull() | F.col(key).isNull(), alone).otherwise(F.col(key).cast("string")))
+    rest = renamed(side.where(F.col(members) <= limit), "rest").withColumn("rest_key", F.col("rest_key").cast("string"))
+    rows = rows.join(rest, F.col("own_key") == F.col("rest_key"), "left")
+    looked_up = [F.coalesce(f"hot_{c}", f"rest_{c}").alias(c) for c in columns]
+    helpers = {"hot_key", "own_key", "rest_key", *(f"{p}_{c}" for p in ("hot", "rest") for c in columns)}
+    return rows.select(*(c for c in rows.columns if c not in helpers), *looked_up)

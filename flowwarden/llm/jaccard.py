@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowwarden.llm.common import mix, row_chunks, saved, text_bytes
+from flowwarden.llm.common import mix, row_chunks, saved, text_bytes, with_lookup
 
 WORDS = 5
 PERCENT = 75
@@ -449,35 +449,42 @@ def jaccard_components(
     )
     placed = saved(placed.select("doc_id", "n", "component"), "placed")
     smallest = placed.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("members"))
-    several = smallest.where("members > 1").select("component", "component_id")
-    return placed.join(several, "component", "left").select(
+    named = with_lookup(placed, smallest.where("members > 1"), "component", "members", placed.count())
+    return named.select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of df without near copies: of each component the one with the smallest id stays.
+    """The rows of df without near copies: of each component one row stays, one of those with the smallest id.
 
-    Rows with equal ids count as one document, of which one row stays; rows without an id get one from their text.
+    Every row is decided by itself, whatever its id: rows with equal ids and different texts are different documents. Rows without
+    shingles all stay. Rows without an id stay where their component has no row with one. A row's key is a 64-bit hash of id and text.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), -1 - F.pmod(F.xxhash64(F.col(text_col)), F.lit((1 << 62))))
-    keyed = df.withColumn("_key", key)
-    found = jaccard_components(keyed, "_key", text_col, **options)
-    found = saved(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows")), "kept")
-    # Rows to decide on: those that go, and those that share an id. The others, most of them, pass by a
+    key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.coalesce(text_col, F.lit("")))
+    keyed = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
+    found = jaccard_components(keyed, "key", "text", **options).where("n_shingles > 0")
+    found = found.groupBy("doc_id").agg(F.min("component_id").alias("component"), F.count("*").alias("rows"))
+    ids = df.select(key.alias("doc_id"), F.col(id_col).cast("long").alias("id")).distinct()
+    found = saved(found.join(ids, "doc_id"), "kept")
+    first = F.min(F.struct(F.col("id").isNull(), "id", "doc_id")).alias("first")
+    kept = found.groupBy("component").agg(first).select(F.col("first.doc_id").alias("kept"))
+    # Rows to decide on: those of components with several rows. The others, most of them, pass by a
     # look at a bit table of fixed size; only rows with a mark are shuffled to be compared exactly.
-    decided = found.where("component_id <> doc_id or rows > 1")
-    bits = df.sparkSession.sparkContext.broadcast(marked(decided.select("doc_id")))
+    apart = found.where("component <> doc_id")
+    several = apart.select("doc_id").union(apart.select("component").distinct()).union(found.where("rows > 1").select("doc_id"))
+    bits = df.sparkSession.sparkContext.broadcast(marked(several))
 
     @F.pandas_udf("boolean")
     def has_mark(keys: pd.Series) -> pd.Series:
         at = _bit(keys.to_numpy(dtype=np.int64))
         return pd.Series((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
-    flagged = keyed.withColumn("_mark", has_mark("_key"))
-    clear = flagged.where("not _mark").select(*df.columns)
-    first = Window.partitionBy("_key").orderBy(text_col)
-    kept = found.where("component_id = doc_id").select(F.col("doc_id").alias("_kept"))
-    doubtful = flagged.where("_mark").join(kept, F.col("_key") == F.col("_kept"), "left_semi")
-    one = doubtful.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").select(*df.columns)
-    return clear.unionAll(one)
+    flagged = keyed.select("row", "key", has_mark("key").alias("mark"))
+    clear = flagged.where("not mark").select("row.*")
+    doubtful = flagged.where("mark")
+    known = found.select(F.col("doc_id").alias("known"))
+    silent = doubtful.join(known, F.col("key") == F.col("known"), "left_anti").select("row.*")
+    order = Window.partitionBy("key").orderBy(F.xxhash64("row"))
+    one = doubtful.join(kept, F.col("key") == F.col("kept"), "left_semi").withColumn("rank", F.row_number().over(order))
+    return clear.unionAll(silent).unionAll(one.where("rank = 1").select("row.*"))

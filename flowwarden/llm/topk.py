@@ -8,8 +8,8 @@ the least exact product of k different ids with the best coarse bounds, so nothi
 Queries and candidates meet in blocks: candidates are dealt into slices and queries into blocks of bounded size, every pair of
 a slice and a block is one group, and only its k best ids per query leave it.
 
-Components become floor(scale * x), so products are whole numbers. Defined results: vectors that are null, hold null or
-non-finite components, or components of 2^28 and more after scaling, take no part, nor do rows with a null id; only vectors of equal length are
+Components become floor(scale * x), so products are whole numbers, counted exactly; beyond 64 bits they count as the nearest 64-bit number. Defined
+results: vectors that are null or hold null or non-finite components take no part, nor do rows with a null id; only vectors of equal length are
 compared; a row is never its own candidate, and rows that share its id aren't either; an id with several vectors counts
 with its best product; ties go to the smaller id; empty tables give no rows; other columns are ignored.
 """
@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowwarden.llm.common import usable, vectors
+from flowwarden.llm.common import exact_products, usable, vectors, whole
 
 SCALE = 1024
 LEVELS = (4, 16)
 QUERY_BLOCK = 1024
 SLICE = 8192
-LARGEST = float(1 << 28)
 
 
 def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
@@ -47,10 +46,7 @@ def best_products(queries: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids:
     """(query row, candidate row, product) of the k best candidates of every query, ties to the smaller id."""
     if not len(queries) or not len(x):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    largest = max(np.abs(queries).max(initial=0), np.abs(x).max(initial=0))
-    exact_in_double = largest * largest * max(1, x.shape[1]) < 2.0**52
-    xi = x if exact_in_double else x.astype(np.int64)
-    qi = queries if exact_in_double else queries.astype(np.int64)
+    largest = np.abs(x).max(axis=1, initial=0)
     features = [(segment_features(queries, s), segment_features(x, s)) for s in levels]
     # Rounding of a bound, far below one unit of a product unless the numbers are huge.
     norm = np.sqrt((x**2).sum(axis=1).max(initial=0))
@@ -69,12 +65,12 @@ def best_products(queries: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids:
             alive = np.arange(len(x))
             if others > k:
                 seeds = _seeds(bound, x_ids, k) if repeated else np.argpartition(bound, -k)[-k:]
-                least = (xi[seeds] @ qi[r]).min() - slack[r] if len(seeds) >= k else -np.inf
+                least = exact_products(x[seeds], queries[r], largest[seeds]).min() - slack[r] if len(seeds) >= k else -np.inf
                 alive = np.flatnonzero(bound >= least)
                 for f_q, f_x in features[1:]:
                     alive = alive[f_x[alive] @ f_q[r] >= least]
             alive = alive[~own[alive]]
-            score = (xi[alive] @ qi[r]).astype(np.int64)
+            score = exact_products(x[alive], queries[r], largest[alive])
             order = np.lexsort((x_ids[alive], -score))
             if repeated:
                 order = order[np.sort(np.unique(x_ids[alive][order], return_index=True)[1])]
@@ -99,19 +95,13 @@ def _seeds(bound: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
             return some[first]
 
 
-def _quantised(column, scale: float) -> np.ndarray:
-    return np.floor(vectors(column) * scale)
-
-
 def _group(scale: float, k: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64())}
         if not left.num_rows or not right.num_rows:
             return pa.table(empty)
-        q, x = _quantised(left["vector"], scale), _quantised(right["vector"], scale)
+        q, x = whole(vectors(left["vector"]), scale), whole(vectors(right["vector"]), scale)
         q_ids, x_ids = left["id"].to_numpy(), right["id"].to_numpy()
-        fit_q, fit_x = (np.abs(q) < LARGEST).all(axis=1), (np.abs(x) < LARGEST).all(axis=1)
-        q, q_ids, x, x_ids = q[fit_q], q_ids[fit_q], x[fit_x], x_ids[fit_x]
         r, c, v = best_products(q, q_ids, x, x_ids, k)
         return pa.table({"query_id": q_ids[r], "vec_id": x_ids[c], "score": v})
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowwarden.llm import ann, topk
-from flowwarden.llm.common import ready, table
+from flowwarden.llm.common import ready, table, vectors
 
 VECTORS = "vec_id long, embedding array<float>, score string, slice int, length int"
 
@@ -21,14 +21,15 @@ def usable(v, nonzero=False):
 
 
 def brute_products(rows, every, k):
-    rows = [(i, np.floor(1024 * np.array(v, dtype=np.float32).astype(float)).astype(int)) for i, v in rows if i is not None and usable(v)]
+    rows = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and usable(v)]
     out = []
     for q in sorted({i for i, _ in rows if i % every == 0}):
         best = {}
         for i, v in rows:
             for j, w in rows:
                 if i == q and j != q and len(v) == len(w):
-                    best[j] = max(best.get(j, -(10**18)), int(v @ w))
+                    score = min(2**63 - 1, max(-(2**63), sum(a * b for a, b in zip(v, w))))
+                    best[j] = max(best.get(j, score), score)
         out += [(q, r + 1, j, s) for r, (j, s) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k])]
     return sorted(out)
 
@@ -45,9 +46,8 @@ def odd_rows():
 
 def test_products_on_edges(spark, odd_rows):
     ready(spark)
-    fine = [r for r in odd_rows if r[0] != 330]
     got = topk.top_products(frame(spark, odd_rows), lambda i: i % 10 == 0, k=7).collect()
-    assert sorted(map(tuple, got)) == brute_products(fine, 10, 7)
+    assert sorted(map(tuple, got)) == brute_products(odd_rows, 10, 7)
     assert topk.top_products(frame(spark, []), lambda i: i % 10 == 0).collect() == []
 
 
@@ -78,13 +78,13 @@ def test_large_numbers_stay_exact():
 
 
 def brute_cosines(rows, every, k):
-    rows = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows if i is not None and usable(v, True) and len(v) == 6]
+    rows = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in rows if i is not None and usable(v, True)]
     out = []
     for q in sorted({i for i, _ in rows if i % every == 0}):
         best = {}
         for i, v in rows:
             for j, w in rows:
-                if i == q and j != q:
+                if i == q and j != q and len(v) == len(w):
                     best[j] = max(best.get(j, -2.0), float(v @ w / np.linalg.norm(v) / np.linalg.norm(w)))
         out += [(q, r + 1, j, round(s, 9)) for r, (j, s) in enumerate(sorted(best.items(), key=lambda x: (-round(x[1], 9), x[0]))[:k])]
     return sorted(out)
@@ -106,10 +106,45 @@ def test_one_vector_holds_a_third(spark, monkeypatch):
     assert hot == {1000: [1001, 1002, 1003, 1004, 1005], 1050: [1000, 1001, 1002, 1003, 1004]}
 
 
+def exact_nearest(df, pick_queries, k=5):
+    """(query_id, vec_id) by brute force."""
+    rows = df.select("vec_id", "embedding").toArrow()
+    ids, x = rows["vec_id"].to_numpy(), ann.unit(vectors(rows["embedding"]))
+    picked = {r[0] for r in df.where(pick_queries(F.col("vec_id"))).select("vec_id").collect()}
+    out = []
+    for i in range(len(ids)):
+        if ids[i] in picked:
+            order = [j for j in np.lexsort((ids, -ann.cosines(x, x[i]))) if ids[j] != ids[i]][:k]
+            out += [(int(ids[i]), int(ids[j])) for j in order]
+    return out
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_small_tables_go_through_the_forest(spark, sf):
+    df = table(ready(spark), f"/root/testdata/{sf}", "embeddings")
+    got = {(r["query_id"], r["vec_id"]) for r in ann.nearest(df, lambda i: i % 50 == 0).collect()}
+    want = set(exact_nearest(df, lambda i: i % 50 == 0))
+    assert 0.9 * len(want) <= len(got & want) and len(got) == len(want)
+
+
+def test_every_length_is_searched(spark):
+    rows = [(50, [1.0, 0.0, 0.0]), (51, [0.9, 0.1, 0.0]), *((100 + i, [1.0, i / 10]) for i in range(12)), (200, [1.0])]
+    got = ann.nearest(frame(ready(spark), rows), lambda i: i % 50 == 0).collect()
+    assert sorted((r[0], r[1], r[2], round(r[3], 9)) for r in got) == brute_cosines(rows, 50, 5)
+
+
+def test_large_components_take_part(spark):
+    rows = [(0, [1.0, 2.0]), (1, [300000.0, 1.0]), (2, [3.0, 4.0]), (10, [-3e30, 1.0]), (11, [3e38, 3e38]), (20, [1e9, -1e9])]
+    got = {(r[0], r[2]): r[3] for r in topk.top_products(frame(ready(spark), rows), lambda i: i % 10 == 0).collect()}
+    exact = {i: [math.floor(1024 * float(np.float32(c))) for c in v] for i, v in rows}
+    clip = lambda s: min(2**63 - 1, max(-(2**63), s))
+    assert got == {(q, j): clip(sum(a * b for a, b in zip(exact[q], exact[j]))) for q in (0, 10, 20) for j in exact if j != q}
+
+
 def test_recall(spark):
     df = table(spark, "/root/testdata/sf0.1", "embeddings")
     got = {(r["query_id"], r["vec_id"]) for r in ann.nearest(df, lambda i: i % 50 == 0).collect()}
-    want = set(ann.exact_nearest(df, lambda i: i % 50 == 0))
+    want = set(exact_nearest(df, lambda i: i % 50 == 0))
     assert len(got & want) >= 0.9 * len(want)
     few = {(r["query_id"], r["vec_id"]) for r in ann.nearest(df, lambda i: i % 50 == 0, search_rows=1500).collect()}
     assert 0.3 * len(want) < len(few & want) < len(want)  # the forest, not a scan, gives the candidates
