@@ -1,13 +1,14 @@
 """Toxicity scores from subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its byte n-grams (3 to 5, with word marks) and of itself, hashed into a fixed number of vectors; its vector is
-their mean, so a misspelling shares most of it. The words of a window of ``WINDOW`` words are averaged, a softmax over two
+their mean, so a misspelling shares most of it. The words of a window of ``WINDOW`` words, one from every word on, are averaged, a softmax over two
 classes reads the average, and a text is as toxic as its worst window: whole texts count, and a long one doesn't thin out one
 toxic passage. Vectors and softmax are trained jointly by gradient descent in numpy on at most ``MAX_TRAIN`` labelled texts per class
 (and ``MAX_TRAIN_BYTES`` of text); scoring needs one number per bucket, the vector's part in the difference of both classes.
 
 Inputs of a score are the words only. Defined results: null, empty and blank texts get the score of no window, which is the
-prior; with labels of one kind every text gets that kind's share; with no labels the score is 0; repeated texts get equal scores;
+prior; with labels of one kind, or none, every text gets
+log odds of 50 or -50; repeated texts get equal scores;
 rows with a null label are not learned from; other columns are ignored.
 """
 
@@ -19,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowwarden.llm.common import mix, row_chunks, saved, text_bytes
@@ -79,12 +80,22 @@ def subwords(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(words_out), np.concatenate(buckets_out)
 
 
-def windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First word and row of every window; rows without words have none."""
-    counts = -(-np.diff(offsets) // WINDOW)
+def windows(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, row and length of every window: one begins at every word but the last ones of its row; a row of fewer words is one window, and
+    rows without words have none."""
+    words = np.diff(offsets)
+    counts = np.where(words > 0, np.maximum(words - WINDOW + 1, 1), 0)
     rows = np.repeat(np.arange(len(counts)), counts)
-    first = np.cumsum(counts) - counts
-    return offsets[rows] + (np.arange(len(rows)) - first[rows]) * WINDOW, rows
+    place = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return offsets[rows] + place, rows, np.minimum(words, WINDOW)[rows]
+
+
+def window_means(value: np.ndarray, index: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    total = value[index[starts]]
+    for k in range(1, WINDOW):
+        more = lengths > k
+        total[more] += value[index[starts[more] + k]]
+    return total / lengths
 
 
 class Bags:
@@ -130,9 +141,8 @@ class ToxicityModel:
         if not len(index):
             return out
         value = Bags(words).mean(self.weights)
-        starts, rows = windows(offsets)
-        lengths = np.diff(np.r_[starts, len(index)])
-        score = np.add.reduceat(value[index], starts) / lengths
+        starts, rows, lengths = windows(offsets)
+        score = window_means(value, index, starts, lengths)
         best = np.maximum.reduceat(score, np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]))
         out[np.unique(rows)] = best + self.bias
         return out
@@ -144,10 +154,9 @@ def fit(texts: pa.Array, labels: np.ndarray, prior: float, epochs: int = EPOCHS,
     words, index, offsets = split_words(texts)
     bags, n_words = Bags(words), len(words)
     del words
-    starts, rows = windows(offsets)
+    starts, rows, lengths = windows(offsets)
     if not len(starts):
         return ToxicityModel(np.zeros(BUCKETS), prior, prior)
-    lengths = np.diff(np.r_[starts, len(index)])
     ends = np.diff(np.r_[np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]]), len(rows)])
     first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     texts_with = rows[first]
@@ -161,7 +170,7 @@ def fit(texts: pa.Array, labels: np.ndarray, prior: float, epochs: int = EPOCHS,
     for step in range(1, epochs + 1):
         way = softmax[1] - softmax[0]
         value = bags.mean(vectors @ way)
-        score = np.add.reduceat(value[index], starts) / lengths
+        score = window_means(value, index, starts, lengths)
         top = np.maximum.reduceat(score, first)
         # The first window that reaches the text's highest score carries its gradient.
         hit = np.flatnonzero(score == np.repeat(top, ends))
@@ -185,26 +194,34 @@ def fit(texts: pa.Array, labels: np.ndarray, prior: float, epochs: int = EPOCHS,
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> ToxicityModel:
     """Fit on the texts of labelled rows. Texts come to the driver only up to the documented bounds.
 
-    Rows are chosen by a hash of the id and their place in the label table, first up to ``MAX_TRAIN`` per class, then up to
-    ``MAX_TRAIN_BYTES`` in all; both are met in expectation, whatever the table's size.
+    Ids are chosen by a hash, up to ``MAX_TRAIN`` per class; of the different texts under these ids, rows are chosen by a hash of id and text, up to ``MAX_TRAIN``
+    and half of ``MAX_TRAIN_BYTES`` per class. The bounds are met in expectation, whatever the table's size and however often an id
+    occurs; each class keeps one row at least.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("_id"), (F.col(label_col) == 1).cast("int").alias("_label")
+        F.col(id_col).alias("id"), (F.col(label_col) == 1).cast("int").alias("label")
     )
-    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
+    counts = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad or not good:
         odds = -50.0 if not bad else 50.0
         return ToxicityModel(np.zeros(BUCKETS), odds, odds)
-    place = F.pmod(F.xxhash64("_id", F.monotonically_increasing_id()), F.lit(1_000_000))
-    part = F.when(F.col("_label") == 1, min(1.0, MAX_TRAIN / bad)).otherwise(min(1.0, MAX_TRAIN / good))
-    chosen = saved(known.where(place < part * 1_000_000), "label-sample")
-    # At most about 2 * MAX_TRAIN rows.
-    texts = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select("_id", "_label", F.col(text_col).alias("text"))
-    texts = saved(texts, "toxicity-sample")
-    size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    if size > MAX_TRAIN_BYTES:
-        texts = texts.where(F.pmod(F.xxhash64(F.lit(1), "_id"), F.lit(1_000_000)) < int(1e6 * MAX_TRAIN_BYTES / size))
+
+    def place(*columns: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(1_000_000))
+
+    part = F.when(F.col("label") == 1, min(1.0, MAX_TRAIN / bad)).otherwise(min(1.0, MAX_TRAIN / good))
+    chosen = saved(known.distinct().where(place("id") < part * 1_000_000), "label-sample")
+    # At most about 2 * MAX_TRAIN ids.
+    source = docs.select(F.col(id_col).alias("doc"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = source.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "label", "text").distinct()
+    texts = saved(texts.withColumn("place", place("id", "text")), "toxicity-sample")
+    of_class = texts.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"), F.min("place").alias("least")).collect()
+    kept = F.lit(False)
+    for r in of_class:
+        share = min(1.0, MAX_TRAIN / r["n"], MAX_TRAIN_BYTES / 2 / max(1, r["size"]))
+        kept |= (F.col("label") == r["label"]) & ((F.col("place") < int(1e6 * share)) | (F.col("place") == r["least"]))
+    texts = texts.where(kept).select(F.col("id").alias("_id"), F.col("label").alias("_label"), "text")
     held = texts.orderBy("_id", "text").toArrow()
     model = fit(held["text"].combine_chunks(), held["_label"].to_numpy(), float(np.log(bad / good)))
     del held

@@ -97,3 +97,28 @@ def test_score_ignores_other_columns(spark, model):
     rows = [(1, "idiot trash", "src0", "en"), (2, "idiot trash", "src9", "fr")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
     assert len({r["score"] for r in toxicity.score(df, model).collect()}) == 1
+
+
+def test_place_of_a_phrase_changes_nothing(model):
+    odds = model.log_odds(pa.array(["idiot trash of", "the idiot trash of", "a the idiot trash of", "of a the idiot trash of"]))
+    assert (odds[1:] >= odds[0] - 1e-9).all() and odds[0] > 0
+    assert abs(odds[2] - odds[3]) < 1e-9
+
+
+def test_one_id_on_many_rows_keeps_both_classes(spark, monkeypatch):
+    """Rows are sampled one by one: a repeated id neither fills the sample nor leaves it."""
+    ready(spark)
+    docs = spark.range(6000).select(
+        F.when(F.col("id") < 5000, 1).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("stupid idiot number "), "id").alias("text"), "id"
+    )
+    docs = docs.withColumn("text", F.when(F.col("id") < 5000, F.col("text")).otherwise(F.concat(F.lit("the clear day "), "id"))).withColumnRenamed("id", "_id")
+    labels = docs.select("doc_id", (F.col("doc_id") == 1).cast("int").alias("toxic")).distinct()
+    seen = []
+    monkeypatch.setattr(toxicity, "MAX_TRAIN", 500)
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels, prior: seen.append((len(texts), labels.sum())))
+    toxicity.train(docs, labels)
+    rows, bad = seen[0]
+    assert 350 < bad < 650 and 350 < rows - bad < 650
+    monkeypatch.setattr(toxicity, "MAX_TRAIN_BYTES", 10)
+    toxicity.train(docs, labels)
+    assert 2 <= seen[1][0] < 10 and 1 <= seen[1][1] < seen[1][0]
