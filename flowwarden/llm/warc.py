@@ -4,9 +4,10 @@ An ARC file begins with a file description whose second line names the version;
 fields of that version, ending in the declared length, then so many bytes, then a line feed. The converter reads records by these
 lengths and gives each an identifier (a UUID from URL, date, place and digest), an ISO date, a type and SHA-1 digests in base32.
 
-Of records with equal payloads the one with the largest key stays a response, the others become revisits that refer to it. Writing
-uses the text sink with the blank line that ends a WARC record as separator, so files are plain (or gzipped) WARC files;
-reading parses them by their declared lengths.
+Of records with equal payloads the one with the largest key stays a response, the others become revisits that refer to it. Tasks
+pack records into files of about ``WARC_BYTES``, begun by a ``warcinfo`` record; a file is written as one row of the text sink (gzipped as a whole).
+Reading takes a file as one row and parses it by declared lengths. So a worker holds one file of that size, whatever the number of its records;
+only a single record can be larger.
 
 Defined results: a null payload is empty; a null URL is written as "-"; white space and controls in URLs are percent-encoded;
 records with equal payload and equal largest key all stay responses; a null key counts as smallest; broken headers raise; empty tables
@@ -34,8 +35,8 @@ ARC_FIELDS = {
 }
 #: Bytes of payload of one ARC file that ``arc_files`` packs.
 ARC_BYTES = 4_000_000
-#: Records of one WARC file; a file is read as a whole.
-WARC_RECORDS = 1000
+#: Bytes of records, before compression, at which a WARC file is closed.
+WARC_BYTES = 16_000_000
 #: Field of the archived HTTP header with the row's key, so that rows are found again after a round trip.
 KEY_FIELD = "X-Record-Key"
 
@@ -207,18 +208,57 @@ def warc_text(marked: DataFrame) -> DataFrame:
             line("WARC-Refers-To", F.col("refers_to_id")),
             line("WARC-Refers-To-Key", F.col("refers_to").cast("string")),
         )).otherwise(F.lit("")),
-        F.lit("Content-Type: application/http; msgtype=response\r\n"),
+        line("Content-Type", F.when(F.col("type") == "response", "application/http; msgtype=response").otherwise("application/octet-stream")),
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit("\r\n"),
     )
     return marked.select(F.concat(header.cast("binary"), block).cast("string").alias("value"))
 
 
-def write_warc(marked: DataFrame, path: str, compression: str = "gzip", records: int = WARC_RECORDS) -> None:
-    """WARC files under ``path``, each of so many records at most."""
+WARC_INFO = (
+    b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:%s>\r\nWARC-Date: %s\r\nContent-Type: application/warc-fields\r\n"
+    b"Content-Length: %d\r\n\r\n%s"
+)
+INFO_FIELDS = b"format: WARC File Format 1.0\r\ndescription: converted from ARC\r\n"
+
+
+def _with_block_digest(record: bytes) -> bytes:
+    """The record with the digest of its block in the header."""
+    end = record.index(b"\r\n\r\n")
+    return b"%s\r\nWARC-Block-Digest: sha1:%s%s" % (record[:end], digest32(record[end + 4 :]).encode(), record[end:])
+
+
+def _files(limit: int):
+    """Records to the contents of files without the closing blank line."""
+
+    def file(parts: list[bytes]) -> pa.RecordBatch:
+        first = parts[0]
+        made = uuid.uuid5(uuid.NAMESPACE_URL, hashlib.sha1(first).hexdigest())
+        date = re.search(rb"\r\nWARC-Date: ([^\r]*)", first)[1]
+        info = WARC_INFO % (str(made).encode(), date, len(INFO_FIELDS), INFO_FIELDS)
+        return pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join([info, *parts])], pa.binary())], ["content"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for value in batch.column("value"):
+                parts.append(_with_block_digest(value.as_py()))
+                size += len(parts[-1])
+                if size >= limit:
+                    yield file(parts)
+                    parts, size = [], 0
+        if parts:
+            yield file(parts)
+
+    return run
+
+
+def write_warc(marked: DataFrame, path: str, compression: str = "gzip", limit: int = WARC_BYTES) -> None:
+    """WARC files under ``path``, each closed at ``limit`` bytes of records."""
+    contents = warc_text(marked).select(F.col("value").cast("binary").alias("value")).mapInArrow(_files(limit), "content binary")
     (
-        warc_text(marked).write.option("lineSep", "\r\n\r\n").option("compression", compression)
-        .option("maxRecordsPerFile", records).text(path)
+        contents.select(F.col("content").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n")
+        .option("compression", compression).option("maxRecordsPerFile", 1).text(path)
     )
 
 
@@ -255,6 +295,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 data = zlib.decompress(data, wbits=31)
             rows = []
             for own, block in warc_records(data):
+                if own["warc-type"] == "warcinfo":
+                    continue
+                if own.get("warc-block-digest", said_block := f"sha1:{digest32(block)}") != said_block:
+                    raise ValueError(f"block and digest differ in {own['warc-record-id']}")
                 head, payload = split_http(block)
                 key, kind = _field(head, KEY_FIELD), own["warc-type"]
                 said = own.get("warc-payload-digest", "sha1:").removeprefix("sha1:")

@@ -2,6 +2,7 @@ import base64
 import collections
 import hashlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,20 @@ def test_ids_are_unique_and_dates_kept(spark, sf):
     records = warc.convert(warc.arc_files(pages, "page_id", "url", "html", 2, "20110309080706"))
     rows = records.select("record_id", "date", "type").collect()
     assert len({r["record_id"] for r in rows}) == len(rows) and {(r["date"], r["type"]) for r in rows} == {("2011-03-09T08:07:06Z", "response")}
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, "u", f"{i}" * 20_000) for i in range(60)] + [(100, "u", "x" * 1_000_000)]
+    df = ready(spark).createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    records = warc.convert(warc.arc_files(df, "page_id", "url", "html"))
+    warc.write_warc(warc.revisits(records, records), f"{tmp_path}/out", compression="none", limit=200_000)
+    files = [f.read_bytes() for f in (tmp_path / "out").glob("part-*")]
+    assert len(files) > 5 and all(len(f) < 200_000 + 50_000 or f.count(b"WARC/1.0") <= 7 for f in files)
+    for f in files:
+        (info, _), *others = warc.warc_records(f)
+        assert info["warc-type"] == "warcinfo" and others
+        assert all(own["warc-block-digest"] == f"sha1:{warc.digest32(block)}" for own, block in others)
+    assert warc.read_warc(spark, f"{tmp_path}/out").count() == len(rows)
+    broken = files[0].replace(b"0000", b"0001", 1)
+    with pytest.raises(ValueError):
+        list(warc._read([pa.RecordBatch.from_arrays([pa.array([broken])], ["content"])]))
