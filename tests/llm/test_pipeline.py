@@ -5,10 +5,11 @@ import collections
 import duckdb
 import public_tokenizers
 import pyarrow as pa
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from flowwarden.llm import toxicity
+from flowwarden.llm import jaccard, toxicity
 from flowwarden.llm.common import ready, table
 from flowwarden.llm.queries import ORACLES, held_out
 from tests.llm.test_jaccard import brute
@@ -46,3 +47,22 @@ def test_stages_keep_the_columns(spark, sf):
     empty = docs.where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_rows_are_decided_by_themselves(spark):
+    """Equal ids, equal rows, rows without words or ids, and columns named like helpers."""
+    long = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [
+        (1, "one two three four five six", "a"), (1, "quite another text of seven words here", "b"), (2, long, "c"), (3, long, "d"),
+        (3, "unlinked words that belong to nobody else at all", "e"), (4, "", "f"), (4, "", "f"), (5, None, "g"), (None, None, "h"), (None, long, "i"),
+        (None, "only this one has no id and its own words", "j"), (6, "twice the very same row with words", "k"), (6, "twice the very same row with words", "k"),
+    ]
+    df = ready(spark).createDataFrame(
+        [(*r, "x", True, 1, "y", "z") for r in rows], "doc_id long, text string, _rank string, _mark string, _key boolean, key int, row string, rank string"
+    )
+    kept = sorted(((r.doc_id, r.text, r._rank) for r in jaccard.one_per_component(df).collect()), key=str)
+    assert kept == sorted([r for i, r in enumerate(rows) if i not in (3, 9, 12)], key=str)
+    docs = df.withColumn("_id", F.lit("s")).withColumn("_label", F.lit("t"))
+    labels = df.select("doc_id", (F.col("doc_id") == 1).cast("int").alias("toxic"))
+    model = toxicity.train(docs, labels)
+    assert toxicity.keep_clean(docs, model).columns == docs.columns
