@@ -194,7 +194,7 @@ class Pack:
 
 def first_ids(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Rows of the k ids with the best scores, ties to the smaller id."""
-    order = np.lexsort((ids, -scores))
+    order = np.lexsort((ids, ~scores))  # -scores may not fit
     return order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
 
 

@@ -71,7 +71,7 @@ def best_products(queries: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids:
                     alive = alive[f_x[alive] @ f_q[r] >= least]
             alive = alive[~own[alive]]
             score = exact_products(x[alive], queries[r], largest[alive])
-            order = np.lexsort((x_ids[alive], -score))
+            order = np.lexsort((x_ids[alive], ~score))  # -score may not fit
             if repeated:
                 order = order[np.sort(np.unique(x_ids[alive][order], return_index=True)[1])]
             order = order[:k]
