@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowwarden.operators import analytics, ranking
+from flowwarden.operators import analytics
 from flowwarden.operators.cleanse import clean_features
 from flowwarden.plans import bindings, score
 from flowwarden.queries.preparation import SCORED_SQL
@@ -15,8 +15,10 @@ from flowwarden.queries.registry import query
 from flowwarden.schemas import ATTACK_TYPES
 from flowwarden.session import work_path
 from flowwarden.sources import alert_table, messages
+from flowwarden.sources.folders import stored_commits
 from flowwarden.streaming import jobs
 from flowwarden.streaming.sources import message_stream
+from flowwarden.streaming.state import evictions, keyed_state
 
 SLICES = 4
 #: Files of one slice: so many tasks write it, and a trigger takes so many.
@@ -188,13 +190,14 @@ def r05_quarantine(spark, d):
 
 
 @query(
-    f"""SELECT {_slice_sql('event_time')} AS batch, count(*) AS rows, CAST(sum(binary_prediction) AS BIGINT) AS attacks
+    f"""SELECT {_slice_sql('event_time')} AS batch, count(*) AS rows, CAST(sum(binary_prediction) AS BIGINT) AS attacks, true AS timed
         FROM ({SCORED_SQL}) s GROUP BY 1""",
     ("messages",),
 )
 def r07_batch_metrics(spark, d):
     path = _scored_table(spark, d)
-    return spark.read.parquet(f"{path}/metrics").select(F.col("commit").cast("bigint").alias("batch"), "rows", "attacks")
+    found = spark.read.parquet(f"{path}/metrics")
+    return found.select(F.col("commit").cast("bigint").alias("batch"), "rows", "attacks", (F.col("write_seconds") > 0).alias("timed"))
 
 
 @query(
@@ -224,10 +227,28 @@ def r08_late_rows_dropped(spark, d):
 @query("SELECT session_id, severity, attack_type, count(*) AS alerts FROM alerts GROUP BY ALL", ("alerts",))
 def r09_running_stats(spark, d):
     folder = _replay(spark, _alert_rows(spark, d), "alert_time")
-    stats = jobs.running_stats(_alert_stream(spark, folder))
-    out = spark.read.parquet(_to_parquet(spark, stats, "stats", mode="update"))
-    newest = ranking.last_write(out, ["session_id", "severity", "attack_type"], ["commit"])
-    return newest.drop("commit")
+    return jobs.read_folded_stats(spark, _to_parquet(spark, _alert_stream(spark, folder), "stats", on_batch=jobs.folded_stats))
+
+
+@query(
+    """SELECT session_id, severity, attack_type, count(*) AS alerts, CAST(4 AS BIGINT) AS bases FROM alerts, range(2) writers
+       GROUP BY session_id, severity, attack_type""",
+    ("alerts",),
+)
+def r09_folded_after_replays(spark, d):
+    """Two writers fold the same alerts; each of them runs its last batch once more, as after a failure. Two bases a writer are left."""
+    out, folder = work_path(spark, "stats"), _replay(spark, _alert_rows(spark, d), "alert_time")
+    for writer in ("a", "b"):
+        fold, batches = jobs.folded_stats(out, writer), []
+
+        def twice(batch, batch_id):
+            for _ in range(1 + (batch_id == SLICES - 1)):
+                fold(batch, batch_id)
+            batches.append(batch_id)
+
+        jobs.run_to_end(jobs.start(_alert_stream(spark, folder), twice, work_path(spark, "stats-offsets"), trigger=None))
+    bases = sum(len(stored_commits(spark, f"{out}/writer={w}")) for w in ("a", "b"))
+    return jobs.read_folded_stats(spark, out).withColumn("bases", F.lit(bases).cast("bigint"))
 
 
 @query(
@@ -267,6 +288,36 @@ def r12_expiry(spark, d):
     return jobs.unexpired(rows, analytics.newest_time(rows), hours=1)
 
 
+#: Entries that the cache of one key holds at most, and its lifetime.
+CACHE_ENTRIES, CACHE_SECONDS = 20, 3600
+
+
+@query(
+    f"""WITH steps AS (
+          SELECT session_id, attack_type, alert_time,
+                 coalesce(alert_time - lag(alert_time) OVER w >= to_seconds({CACHE_SECONDS}), true) AS opens
+          FROM alerts WINDOW w AS (PARTITION BY session_id, attack_type ORDER BY alert_time)),
+        runs AS (
+          SELECT session_id, attack_type, alert_time,
+                 count(*) FILTER (WHERE opens) OVER (PARTITION BY session_id, attack_type ORDER BY alert_time RANGE UNBOUNDED PRECEDING) AS run FROM steps),
+        held AS (
+          SELECT session_id, attack_type, run, max(alert_time) + to_seconds({CACHE_SECONDS}) AS evicted_at,
+                 least(count(*), {CACHE_ENTRIES}) AS entries,
+                 run < max(run) OVER (PARTITION BY session_id, attack_type) AS followed
+          FROM runs GROUP BY session_id, attack_type, run)
+        SELECT session_id, attack_type, evicted_at, entries FROM held
+        WHERE followed OR (epoch_us(evicted_at) + 999) // 1000 <= (SELECT epoch_us(max(alert_time)) // 1000 FROM alerts) - 30000""",
+    ("alerts",),
+)
+def r12_cache_expiry_in_stream(spark, d):
+    # The stream's state holds what a cache with a lifetime of an hour holds, and gives a row when a key goes.
+    folder = _replay(spark, _alert_rows(spark, d), "alert_time")
+    with keyed_state(spark):
+        gone = evictions(_alert_stream(spark, folder), ["session_id", "attack_type"], CACHE_SECONDS, "30 seconds", CACHE_ENTRIES)
+        out = spark.read.parquet(_to_parquet(spark, gone, "evicted"))
+    return out.select("session_id", "attack_type", F.col("evicted_at").cast("timestamp_ntz").alias("evicted_at"), "entries")
+
+
 @query(f"SELECT {', '.join(_ALERT_ROW.names)} FROM alerts", ("alerts",))
 def r13_exactly_once(spark, d):
     # Every alert is sent twice and some many times more, over two streams. The table has each once.
@@ -283,38 +334,15 @@ def r13_exactly_once(spark, d):
     return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
 
 
-@query(
-    f"""SELECT {', '.join(_ALERT_ROW.names)} FROM alerts
-        WHERE alert_time <= (SELECT max(ts) FROM events) - INTERVAL 31 SECOND""",
-    ("alerts",),
-)
+@query(f"SELECT {', '.join(_ALERT_ROW.names)} FROM alerts", ("alerts",))
 def r13_once_per_key_in_stream(spark, d):
-    # Within one stream: rows within the delay of the newest time are still held back at the end of the run.
+    # Every alert is sent twice, in whatever files, and one type many times: the first of each comes out at once, the newest ones too.
     rows = _alert_rows(spark, d)
-    folder = _replay(spark, rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(2)))).drop("_copy"), "alert_time")
-    once = jobs.once_per_key(_alert_stream(spark, folder), ["session_id", "alert_time", "alert_id"])
+    copies = F.explode(F.sequence(F.lit(1), F.when(F.col("attack_type") == "DoS", 9).otherwise(2)))
+    folder = _replay(spark, rows.withColumn("_copy", copies).drop("_copy"), "alert_time")
+    once = jobs.first_per_key(_alert_stream(spark, folder), ["session_id", "alert_time", "alert_id"])
     out = spark.read.parquet(_to_parquet(spark, once, "once")).select(*_ALERT_ROW.names)
-    last = analytics.newest_time(rows)
-    return out.where(F.col("alert_time") <= F.lit(last - dt.timedelta(seconds=31))).withColumn(
-        "alert_time", F.col("alert_time").cast("timestamp_ntz")
-    )
-
-
-@query(
-    f"""SELECT {_slice_sql('event_time')} AS batch, count(*) AS messages, min(event_time) AS first_time,
-               max(event_time) AS last_time FROM messages GROUP BY 1""",
-    ("messages",),
-)
-def r14_replay_in_time_order(spark, d):
-    folder, schema = _flow_messages(spark, d)
-    stream = message_stream(spark, folder, fmt="text", cap=FILES)
-    flows = messages.good_rows(messages.parse_messages(stream, schema), schema)
-    out = spark.read.parquet(_to_parquet(spark, flows, "replayed"))
-    return out.groupBy(F.col("commit").cast("bigint").alias("batch")).agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.min("event_time").cast("timestamp_ntz").alias("first_time"),
-        F.max("event_time").cast("timestamp_ntz").alias("last_time"),
-    )
+    return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
 
 
 # --- options, restarts, several writers
@@ -336,6 +364,38 @@ def s02_starting_order(spark, d):
     return out.where("commit = 0").agg(F.count(F.lit(1)).alias("oldest_first"))
 
 
+@query(
+    f"""SELECT record_id, CASE WHEN {_slice_sql('event_time')} < 2 THEN 'earliest' WHEN {_slice_sql('event_time')} = 2 THEN 'latest' ELSE 'restart' END AS came
+        FROM messages WHERE {_slice_sql('event_time')} >= 2 OR CAST(record_id AS BIGINT) % 2 = 0""",
+    ("messages",),
+)
+def s02_start_positions(spark, d):
+    """A stream that starts at the latest file leaves out the files before, and after a restart takes those that came meanwhile.
+
+    The first two slices are there before it starts; another stream, which starts at the earliest file, tells them (rows with even ids).
+    """
+    rows = bindings.messages(spark, d)
+    folder, out, offsets = (work_path(spark, n) for n in ("positions-in", "positions-out", "positions-offsets"))
+    value = F.to_json(F.struct(*rows.columns), messages.JSON_TIMES).alias("value")
+    text, cuts = rows.select(value, "event_time"), _cuts(rows, "event_time")
+    begins, ends = [F.lit(True), *(F.col("event_time") >= F.lit(c) for c in cuts)], [*(F.col("event_time") < F.lit(c) for c in cuts), F.lit(True)]
+    for i in range(2):
+        messages.publish(text.where(begins[i] & ends[i]).select("value").repartition(FILES), "text", folder)
+    early = _to_parquet(spark, message_stream(spark, folder, fmt="text", starting="earliest", cap=0), "positions-early")
+    for i in range(2, SLICES):
+        stream = message_stream(spark, folder, fmt="text", starting="latest", cap=0, checkpoint=offsets)
+        if i == 2:  # there is nothing new yet
+            jobs.run_to_end(jobs.start(stream, jobs.batch_writer(out), offsets, trigger=None, skip_empty=True))
+        messages.publish(text.where(begins[i] & ends[i]).select("value").repartition(FILES), "text", folder)
+        jobs.run_to_end(jobs.start(stream, jobs.batch_writer(out), offsets, trigger=None, skip_empty=True))
+    record = F.get_json_object("value", "$.record_id").alias("record_id")
+    late = spark.read.parquet(out)
+    first = late.agg(F.min("commit")).first()[0]
+    late = late.select(record, F.when(F.col("commit") == first, "latest").otherwise("restart").alias("came"))
+    early = spark.read.parquet(early).select(record, F.lit("earliest").alias("came")).where(F.col("record_id").cast("bigint") % 2 == 0)
+    return early.unionAll(late)
+
+
 @query(f"SELECT {', '.join(_ALERT_ROW.names)} FROM alerts", ("alerts",))
 def r03_checkpointed_restart(spark, d):
     # The same query runs, stops and runs again after more files have come: each file is taken once, batches are appended.

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -13,10 +14,14 @@ from flowwarden.operators.analytics import since
 from flowwarden.plans.score import to_alerts
 from flowwarden.schemas import ALERT_SCHEMA
 from flowwarden.sources.alert_table import MAIN, store_alerts
+from flowwarden.sources.folders import folders, remove_folder, stored_commits
 from flowwarden.sources.messages import bad_rows, good_rows, parse_messages
 from flowwarden.streaming.sources import DEFAULT_DELAY, DEFAULT_TRIGGER, trigger_options
 
 
+STATS_KEY = ("session_id", "severity", "attack_type")
+
+
 def start(
     stream: DataFrame,
     on_batch: Callable[[DataFrame, int], None],
@@ -56,37 +61,65 @@ def run_to_end(query: StreamingQuery, timeout: int | None = None) -> None:
 def scoring_batch(
     schema: T.StructType, score: Callable[[DataFrame], DataFrame], path: str, writer: str = MAIN
 ) -> Callable[[DataFrame, int], None]:
-    """Per batch: parse, score, write the attack alerts, put broken messages aside, record counts.
+    """Per batch: parse, score, write the attack alerts, put broken messages aside, record counts and the seconds of the write.
 
-    Everything is written by the executors under the writer (see ``writer_of``) and the batch id; a
-    batch that is run again replaces its own output and no other. The parsed batch is kept for the three passes over it. (An ``Observation``
-    would save one, but a session that holds one can no longer ship fitted models.) ``score``
-    returns attack rows with the score columns.
+    One pass: good and broken messages are counted while the alerts are written (a task that a lost executor makes Spark repeat may count
+    twice), the alerts from the footers of their files. Only a batch with broken messages is parsed again, for these. Everything is written by the executors under the writer (see ``writer_of``) and the batch id; a
+    batch that is run again replaces its own output and no other. ``score`` returns attack rows with the score columns.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        parsed = parse_messages(batch, schema).persist()
-        try:
-            seen = parsed.agg(F.count_if(~F.col("bad")).alias("rows"), F.count_if("bad").alias("bad")).first()
-            store_alerts(to_alerts(score(good_rows(parsed, schema))), path, batch_id, writer=writer)
-            if seen["bad"]:
-                bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/writer={writer}/commit={batch_id}")
-        finally:
-            parsed.unpersist()
+        spark, seen = batch.sparkSession, Observation()
+        parsed = parse_messages(batch, schema)
+        counted = parsed.observe(seen, F.count_if(~F.col("bad")).alias("rows"), F.count_if("bad").alias("bad"))
+        started = time.monotonic()
+        store_alerts(to_alerts(score(good_rows(counted, schema))), path, batch_id, writer=writer)
+        write_seconds = time.monotonic() - started
+        if seen.get["bad"]:
+            bad_rows(parsed).write.mode("overwrite").text(f"{path}/quarantine/writer={writer}/commit={batch_id}")
         # A count of written files comes from their footers.
         attacks = spark.read.schema(ALERT_SCHEMA).parquet(f"{path}/alerts/writer={writer}/commit={batch_id}").count()
-        counts = {**seen.asDict(), "attacks": attacks}
+        counts = {**seen.get, "attacks": attacks}
         row = [F.lit(n).cast("bigint").alias(c) for c, n in counts.items()]
-        one = spark.range(0, 1, 1, 1).select(*row)
+        one = spark.range(0, 1, 1, 1).select(*row, F.lit(write_seconds).alias("write_seconds"))
         one.write.mode("overwrite").parquet(f"{path}/metrics/writer={writer}/commit={batch_id}")
 
     return on_batch
 
 
 def running_stats(alerts: DataFrame) -> DataFrame:
-    """Counts per session, severity and type that grow with the stream (update mode)."""
-    return alerts.groupBy("session_id", "severity", "attack_type").agg(F.count(F.lit(1)).alias("alerts"))
+    """Counts per session, severity and type; of a stream, counts that grow with it (update mode)."""
+    return alerts.groupBy(*STATS_KEY).agg(F.count(F.lit(1)).alias("alerts"))
+
+
+def folded_stats(path: str, writer: str = MAIN) -> Callable[[DataFrame, int], None]:
+    """Counts per session, severity and type that each batch is folded into.
+
+    A batch is counted by itself, without state in the stream; the counts of the base it finds are added and written as the base of this batch. Then
+    the bases before its predecessor go, so a writer has two folders at most, of as many rows as there are keys. A batch that is run again
+    finds its predecessor's base and replaces its own: nothing is counted twice.
+    """
+    folder = f"{path}/writer={writer}"
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        bases = stored_commits(spark, folder)
+        counts = running_stats(batch)
+        if before := [b for b in bases if b < batch_id]:
+            counts = counts.unionByName(spark.read.schema(counts.schema).parquet(f"{folder}/commit={max(before)}"))
+            counts = counts.groupBy(*STATS_KEY).agg(F.sum("alerts").alias("alerts"))
+        counts.coalesce(1).write.mode("overwrite").parquet(f"{folder}/commit={batch_id}")
+        for old in before[:-1]:
+            remove_folder(spark, f"{folder}/commit={old}")
+
+    return on_batch
+
+
+def read_folded_stats(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of all writers, each from its newest base."""
+    newest = [f"{w}/commit={max(found)}" for w in folders(spark, f"{path}/writer=*") if (found := stored_commits(spark, w))]
+    counts = spark.read.schema("session_id string, severity string, attack_type string, alerts long").parquet(*newest)
+    return counts.groupBy(*STATS_KEY).agg(F.sum("alerts").alias("alerts"))
 
 
 def batch_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -125,6 +158,16 @@ def notifications(alerts: DataFrame, severity: str = "high") -> DataFrame:
     return alerts.where(F.lower("severity") == severity).select(F.to_json(F.struct("*")).alias("value"))
 
 
+def first_per_key(alerts: DataFrame, key: list[str], delay: str = DEFAULT_DELAY) -> DataFrame:
+    """The first row of every key as soon as it comes. Copies that come within the delay of the key's time are dropped by the stream's state, later
+    ones by the watermark; the state of a key goes when the watermark has passed it.
+
+    Tasks drop the copies they hold themselves before the shuffle, by a state of their own, so a key that fills a batch does not fill a task.
+    """
+    part = alerts.withWatermark("alert_time", delay).withColumn("_part", F.spark_partition_id())
+    return part.dropDuplicatesWithinWatermark([*key, "_part"]).drop("_part").dropDuplicatesWithinWatermark(key)
+
+
 def once_per_key(alerts: DataFrame, key: list[str], delay: str = DEFAULT_DELAY) -> DataFrame:
     """One row per key; the event time must be part of the key.
 

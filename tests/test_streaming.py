@@ -1,3 +1,6 @@
+import datetime as dt
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +10,7 @@ from flowwarden.schemas import MESSAGE_SCHEMA
 from flowwarden.session import work_path
 from flowwarden.sources import alert_table, messages
 from flowwarden.streaming import jobs, sources
+from flowwarden.streaming.state import evictions, keyed_state
 
 
 def rules(flows):
@@ -27,6 +31,7 @@ def lines(spark, count, start=0, extra=()):
 def test_source_options():
     assert sources.source_options("kafka") == {"startingOffsets": "latest", "maxOffsetsPerTrigger": "100"}
     assert sources.source_options("kafka", "earliest", 0) == {"startingOffsets": "earliest"}
+    assert sources.source_options("kafka", dt.datetime(2026, 1, 1), 0) == {"startingTimestamp": "1767225600000"}
     assert sources.source_options("text", cap=5) == {"latestFirst": "false", "maxFilesPerTrigger": "5"}
     assert "maxFilesPerTrigger" not in sources.source_options("text", cap=0)
 
@@ -105,3 +110,86 @@ def test_fitted_models_score_a_stream(spark):
     assert found.count() == 40 and {r.severity for r in found.collect()} == {"high"}
     counts = spark.read.parquet(f"{path}/metrics").select("rows", "bad", "attacks").collect()
     assert list(map(tuple, counts)) == [(20, 1, 20)] * 2
+
+
+def texts(spark, out):
+    return sorted(r.value for r in spark.read.schema("value string").parquet(out).collect())
+
+
+def test_folder_from_a_time_on(spark):
+    folder, out, offsets = (work_path(spark, n) for n in ("in", "out", "offsets"))
+    publish = lambda word: messages.publish(spark.createDataFrame([(word,)], "value string").coalesce(1), "text", folder)
+    publish("old")
+    time.sleep(0.1)
+    since = dt.datetime.now(dt.timezone.utc)
+    publish("new")
+    stream = sources.message_stream(spark, folder, fmt="text", starting=since)
+    jobs.run_to_end(jobs.start(stream, jobs.batch_writer(out), work_path(spark, "offsets"), trigger=None))
+    assert texts(spark, out) == ["new"]
+    with pytest.raises(ValueError, match="checkpoint"):
+        sources.message_stream(spark, folder, fmt="text", starting="latest")
+    first = sources.start_of(spark, offsets)
+    time.sleep(0.05)
+    assert sources.start_of(spark, offsets) == first > since
+
+
+def test_each_message_is_scored_once(spark):
+    folder, path = work_path(spark, "in"), work_path(spark, "out")
+    alert_table.create_tables(spark, path)
+    messages.publish(lines(spark, 30, extra=["broken"]), "text", folder)
+    looked_at = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def counting(rates):
+        looked_at.add(len(rates))
+        return rates
+
+    once = counting.asNondeterministic()  # else the optimizer may repeat the expression itself
+    job = jobs.scoring_batch(MESSAGE_SCHEMA, lambda flows: rules(flows.withColumn("rate", once("rate"))), path)
+    jobs.run_to_end(jobs.start(sources.message_stream(spark, folder, fmt="text", cap=0), job, work_path(spark, "offsets"), trigger=None))
+    row = spark.read.parquet(f"{path}/metrics").first()
+    assert looked_at.value == 30 and (row.rows, row.bad, row.attacks) == (30, 1, 30) and row.write_seconds > 0
+
+
+START = dt.datetime(2026, 1, 1)
+SEEN = "name string, alert_time timestamp"
+
+
+def batches_of(spark, *batches):
+    """A stream that gives these (name, seconds) one batch after the other."""
+    folder = work_path(spark, "batches")
+    for rows in batches:
+        frame = spark.createDataFrame([(n, START + dt.timedelta(seconds=s)) for n, s in rows], SEEN)
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.02)
+    return spark.readStream.schema(SEEN).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_first_per_key_comes_at_once_and_once(spark):
+    stream = batches_of(spark, [("a", 0), ("a", 0), ("b", 5)], [("a", 0), ("c", 20)], [("b", 5), ("d", 25)], [("e", 500), ("a", 0)], [("b", 5), ("f", 501)])
+    out = work_path(spark, "first")
+    jobs.run_to_end(jobs.start(jobs.first_per_key(stream, ["name", "alert_time"]), jobs.batch_writer(out), work_path(spark, "o"), trigger=None, skip_empty=False))
+    found = sorted((r.name, r.commit) for r in spark.read.parquet(out).collect())
+    assert [n for n, _ in found] == ["a", "b", "c", "d", "e", "f"]
+    assert dict(found)["f"] == 4  # the newest is not held back
+
+
+@pytest.mark.parametrize("cut", [[2, 4, 6, 8], [8], [1, 2, 3, 4, 5, 6, 7, 8]])
+def test_evictions_do_not_depend_on_batches(spark, cut):
+    rows = [("a", 0), ("b", 10), ("a", 50), ("a", 149), ("b", 110), ("a", 300), ("c", 320), ("z", 1000)]
+    parts = [rows[a:b] for a, b in zip([0, *cut], cut)]
+    out = work_path(spark, "evicted")
+    with keyed_state(spark):
+        gone = evictions(batches_of(spark, *parts), ["name"], 100, "60 seconds", cap=2)
+        jobs.run_to_end(jobs.start(gone, jobs.batch_writer(out), work_path(spark, "o"), trigger=None, skip_empty=False))
+    found = sorted((r.name, (r.evicted_at - START).total_seconds(), r.entries) for r in spark.read.parquet(out).collect())
+    assert found == [("a", 249, 2), ("a", 400, 1), ("b", 110, 1), ("b", 210, 1), ("c", 420, 1)]
+
+
+def test_state_of_evicted_keys_is_gone(spark):
+    out, offsets = work_path(spark, "evicted"), work_path(spark, "o")
+    with keyed_state(spark):
+        gone = evictions(batches_of(spark, [("a", 0)], [("z", 1000)]), ["name"], 100, "60 seconds", cap=2)
+        jobs.run_to_end(jobs.start(gone, jobs.batch_writer(out), offsets, trigger=None, skip_empty=False))
+        held = spark.read.format("statestore").option("stateVarName", "held").load(offsets)
+        assert [r.key.name for r in held.collect()] == ["z"]
