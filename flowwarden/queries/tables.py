@@ -10,6 +10,7 @@ from flowwarden.queries.registry import query
 from flowwarden.schemas import ALERT_SCHEMA, ATTACK_TYPES, FEATURES
 from flowwarden.session import work_path
 from flowwarden.sources import alert_table, messages, readers
+from flowwarden.sources.folders import folders
 
 _LISTED = ["session_id", "alert_id", "alert_time", "attack_type", "severity", "rate"]
 _LISTED_SQL = "session_id, alert_id, alert_time, attack_type, severity, rate"
@@ -376,28 +377,46 @@ def t01_timeline_of_stored_alerts(spark, d):
     return out.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
+@query(
+    f"SELECT {_LISTED_SQL}, CAST(2 AS BIGINT) AS folders FROM ({_UPSERT}) a", ("alerts",)
+)
+def k02_merged_in_place(spark, d):
+    """Six small commits, two merges and a late rewrite: reads give the same as before, and two folders of the writer are left."""
+    rows, path = bindings.alerts(spark, d), work_path(spark, "merged")
+    alert_table.create_tables(spark, path)
+    for commit in range(4):
+        alert_table.store_alerts(rows.where(F.pmod(F.col("alert_id").cast("bigint"), F.lit(4)) == commit), path, commit)
+    alert_table.merge_commits(spark, path)
+    again = rows.where(F.col("sbytes") % 3 == 0).withColumn("attack_type", F.lit("Rewritten"))
+    alert_table.store_alerts(again.withColumn("attack_type", F.lit("Draft")), path, 4)
+    alert_table.store_alerts(again, path, 5)
+    alert_table.merge_commits(spark, path)
+    left = len(folders(spark, f"{path}/alerts/writer=*/commit=*"))
+    return _listed(alert_table.read_alerts(spark, path)).withColumn("folders", F.lit(left).cast("bigint"))
+
+
 @query(
     f"SELECT {_LISTED_SQL} FROM alerts QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY alert_time DESC, alert_id) = 1",
     ("alerts",),
 )
 def k03_single_alerts(spark, d):
-    # The newest alert of each session, written one at a time.
+    # The newest alert of each session: as many alerts as sessions, in one write.
     path = work_path(spark, "single")
     alert_table.create_tables(spark, path)
-    newest = ranking.top_n_per_key(bindings.alerts(spark, d), ["session_id"], ranking.newest_first(), 1).collect()  # one per session
-    for i, row in enumerate(newest):
-        given = {k: v for k, v in row.asDict().items() if k not in ("session_id", "attack_cat_id")}
-        alert_table.store_alert(spark, given, path, i, row["session_id"])
+    newest = ranking.top_n_per_key(bindings.alerts(spark, d), ["session_id"], ranking.newest_first(), 1)
+    alert_table.store_alerts(newest, path, 1)
     return _listed(alert_table.read_alerts(spark, path))
 
 
-@query("SELECT count(*) AS sessions, count(*) AS different, count(*) AS well_formed FROM sessions", ("sessions",))
+@query("SELECT count(DISTINCT session_id) AS sessions, count(DISTINCT session_id) AS different, count(DISTINCT session_id) AS well_formed, count(*) AS alerts FROM alerts", ("alerts",))
 def x01_new_session_ids(spark, d):
-    ids = [alert_table.new_session_id() for _ in range(bindings.sessions(spark, d).count())]
-    made = spark.createDataFrame([(i,) for i in ids], "id string")
-    return made.agg(
-        F.count("id").alias("sessions"), F.countDistinct("id").alias("different"),
-        F.count_if(F.col("id").rlike("^session-[0-9a-f]{10}$")).alias("well_formed"),
+    """Every session is copied under a new id; the ids are made where the rows are, once for each session."""
+    alerts = bindings.alerts(spark, d).select("session_id")
+    copied = alert_table.under_new_sessions(alerts)
+    return copied.agg(
+        F.countDistinct("session_id").alias("sessions"), F.countDistinct("new_session_id").alias("different"),
+        F.count_distinct(F.when(F.col("new_session_id").rlike("^session-[0-9a-f]{10}$"), F.col("new_session_id"))).alias("well_formed"),
+        F.count(F.lit(1)).alias("alerts"),
     )
 
 

@@ -8,9 +8,12 @@ Session reads and old months skip whole folders; rows are sorted by time within
 inside a month skips row groups. Days would make many tiny files for quiet sessions.
 
     <path>/alerts/writer=W/commit=N/session_id=S/alert_month=YYYY-MM/
+    <path>/alerts/writer=W~N/commit=N/...   the writer's commits up to N, merged (see ``merge_commits``)
     <path>/sessions/writer=W/commit=N/
     <path>/deleted/writer=W/commit=N/
 
+Reads for the newest rows look at folder names first and open the newest months only.
+
 Clocks of different drivers order their writes; a delete and a write closer together than these clocks
 agree may be taken in either order.
 """
@@ -32,6 +35,8 @@ from flowwarden.operators.joins import bounded_not_in
 from flowwarden.operators.ranking import last_by_order, last_write, latest, newest_first, top_n_per_key
 from flowwarden.plans.score import enrich_alerts
 from flowwarden.schemas import ALERT_KEY, ALERT_SCHEMA, RECENT_CAP, SESSION_SCHEMA
+from flowwarden.session import materialise
+from flowwarden.sources.folders import folders, remove_folder, rename_folder, stored_commits
 
 MAIN = "main"
 _ORDER = T.StructField("written", T.DecimalType(38, 0))
@@ -139,8 +144,15 @@ def read_alerts(
     return last_by_order(live, ALERT_KEY, "written").select(*ALERT_SCHEMA.names)
 
 
-def _stored_alerts(spark, path, session_id=None, since=None, without=None) -> DataFrame:
-    stored = spark.read.schema(_ALERT_FILES).parquet(f"{path}/alerts")
+def _stored_alerts(spark, path, session_id=None, since=None, without=None, months=None) -> DataFrame:
+    reader = spark.read.schema(_ALERT_FILES)
+    if months is None:
+        stored = reader.parquet(f"{path}/alerts")
+    else:
+        stored = reader.option("basePath", f"{path}/alerts").parquet(*[f for m in months for f in _month_folders(spark, path, session_id, m)])
+    # What has been merged counts from the merged folder only.
+    for writer, upto in _merged(spark, path):
+        stored = stored.where((F.col("writer") != writer) | (F.col("commit") > upto))
     if session_id is not None:
         stored = stored.where(F.col("session_id") == session_id)
     if since is not None:
@@ -153,17 +165,47 @@ def _stored_alerts(spark, path, session_id=None, since=None, without=None) -> Da
     return stored
 
 
+def _month_folders(spark: SparkSession, path: str, session_id: str | None, month: str = "*") -> list[str]:
+    """Folders of a session (all without one) and month: names alone, as the file system lists them."""
+    session = "*" if session_id is None else spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(session_id)
+    return folders(spark, f"{path}/alerts/writer=*/commit=*/session_id={session}/alert_month={month}")
+
+
+def _merged(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(writer, last commit) that a merged folder stands for; a merged folder that a later one took up stands for nothing itself."""
+    newest: dict[str, int] = {}
+    stale = []
+    for name in folders(spark, f"{path}/alerts/writer=*~*"):
+        writer, _, upto = name.rsplit("writer=", 1)[1].rpartition("~")
+        if writer in newest:
+            stale.append((f"{writer}~{min(newest[writer], int(upto))}", 1 << 62))
+        newest[writer] = max(newest.get(writer, 0), int(upto))
+    return [*newest.items(), *stale]
+
+
 def latest_alerts(
     spark: SparkSession, path: str, session_id: str | None = None, n: int = 100, since: dt.datetime | None = None
 ) -> DataFrame:
-    """The newest ``n`` live alerts, as ``latest(read_alerts(...), n)`` but with keys only until ``n`` are left.
+    """The newest ``n`` live alerts, as ``latest(read_alerts(...), n)`` but from the newest months alone.
 
-    The time is part of the key, so copies of a key stand together in the order. The newest ``n`` keys
-    come from key columns alone; their rows, a literal number of keys, are then picked from the table.
+    The time is part of the key, so copies of a key are in one month and stand together in the order. Months are taken newest first, twice as many
+    in each round, until ``n`` live keys are found; the keys come from key columns alone, and their rows, a literal number
+    of keys, are then picked from these months.
     """
-    live = _live(spark, path, _stored_alerts(spark, path, session_id, since))
-    keys = live.groupBy(*ALERT_KEY).agg(F.max("written").alias("_last"))
-    newest = F.broadcast(latest(keys, n).select(F.col("_last")))
+    months = sorted({f.rsplit("alert_month=", 1)[1] for f in _month_folders(spark, path, session_id)}, reverse=True)
+    if since is not None:
+        months = [m for m in months if m >= f"{since:%Y-%m}"]
+    width, live, found = 1, None, []
+    while months:
+        live = _live(spark, path, _stored_alerts(spark, path, session_id, since, months=months[:width]))
+        keys = live.groupBy(*ALERT_KEY).agg(F.max("written").alias("_last"))
+        found = latest(keys, n).select("_last").collect()  # n of them
+        if len(found) >= n or width >= len(months):
+            break
+        width *= 2
+    if not found:
+        return _stored_alerts(spark, path).where(F.lit(False)).select(*ALERT_SCHEMA.names)
+    newest = F.broadcast(spark.createDataFrame(found, T.StructType([T.StructField("_last", _ORDER.dataType)])))
     rows = live.join(newest, F.col("written") == F.col("_last"), "left_semi")
     return latest(rows.select(*ALERT_SCHEMA.names), n)
 
@@ -185,8 +227,17 @@ def _live(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
 
 
 def recent_alerts(spark: SparkSession, path: str, cap: int = RECENT_CAP) -> DataFrame:
-    """The newest ``cap`` alerts of every session."""
-    return top_n_per_key(read_alerts(spark, path), ["session_id"], newest_first(), cap)
+    """The newest ``cap`` alerts of every session.
+
+    Key columns tell the time of each session's last alert to keep, one row per session; wide rows older than that are dropped where they are read.
+    """
+    live = _live(spark, path, _stored_alerts(spark, path))
+    keys = live.select(*ALERT_KEY).distinct()
+    kept = top_n_per_key(keys, ["session_id"], newest_first(), cap)
+    cutoffs = kept.groupBy(F.col("session_id").alias("_session")).agg(F.min("alert_time").alias("_cutoff"))
+    cutoffs = materialise(cutoffs, "cutoffs")
+    near = live.join(cutoffs, (F.col("session_id") == F.col("_session")) & (F.col("alert_time") >= F.col("_cutoff")), "left_semi")
+    return top_n_per_key(last_by_order(near, ALERT_KEY, "written").select(*ALERT_SCHEMA.names), ["session_id"], newest_first(), cap)
 
 
 def new_session_id() -> str:
@@ -194,6 +245,13 @@ def new_session_id() -> str:
     return f"session-{uuid.uuid4().hex[:10]}"
 
 
+def under_new_sessions(alerts: DataFrame) -> DataFrame:
+    """``alerts`` with ``new_session_id``: a fresh id for every session, made by the executors and kept, so that all its rows get the same."""
+    fresh = F.concat(F.lit("session-"), F.substring(F.replace(F.expr("uuid()"), F.lit("-"), F.lit("")), 1, 10)).alias("new_session_id")
+    named = materialise(alerts.select(F.col("session_id").alias("_old")).distinct().select("_old", fresh), "new-sessions")
+    return alerts.join(named, F.col("session_id").eqNullSafe(F.col("_old")), "left").drop("_old")
+
+
 def store_sessions(sessions: DataFrame, path: str, commit: int, writer: str = MAIN) -> None:
     """Register sessions: a later registration replaces dataset and creation time."""
     rows = sessions.select(
@@ -252,6 +310,43 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     _write_sessions(read_sessions(spark, path), target, 1, writer)
 
 
+def merge_commits(spark: SparkSession, path: str, writer: str = MAIN, upto: int | None = None) -> int | None:
+    """Replace the alert commits of a writer up to ``upto`` (all but the newest, if not given) by one folder; returns the last commit in it.
+
+    A writer's many small folders become one folder per session and month. Rows keep their order, so what reads give does not change. The merged
+    folder is written aside and takes effect by one renaming; the old folders go afterwards. A merge that breaks off before that has changed
+    nothing, and one that breaks off later is tidied up by the next. Reads that were planned before a merge have to be planned again. A batch that its
+    stream runs again is in the merged folder already.
+    """
+    commits = stored_commits(spark, f"{path}/alerts/writer={writer}")
+    done = max((n for w, n in _merged(spark, path) if w == writer), default=None)
+    upto = upto if upto is not None else (commits[-2] if len(commits) > 1 else None)
+    fresh = [c for c in commits if upto is not None and c <= upto and (done is None or c > done)]
+    if fresh:
+        merged = f"{writer}~{fresh[-1]}"
+        stored = _stored_alerts(spark, path)
+        own = (F.col("writer") == writer) & (F.col("commit") <= fresh[-1])
+        if done is not None:
+            own |= F.col("writer") == f"{writer}~{done}"
+        aside = f"{path}/merging/{merged}"
+        (
+            stored.where(own).select(*ALERT_SCHEMA.names, "alert_month", "written")
+            .hint("rebalance", F.col("session_id"), F.col("alert_month"))
+            .sortWithinPartitions("session_id", "alert_month", "alert_time")
+            .write.mode("overwrite").partitionBy("session_id", "alert_month").parquet(f"{aside}/commit={fresh[-1]}")
+        )
+        rename_folder(spark, aside, f"{path}/alerts/writer={merged}")
+        done = fresh[-1]
+    if done is not None:
+        for commit in commits:
+            if commit <= done:
+                remove_folder(spark, f"{path}/alerts/writer={writer}/commit={commit}")
+        for name in folders(spark, f"{path}/alerts/writer={writer}~*"):
+            if not name.endswith(f"~{done}"):
+                remove_folder(spark, name)
+    return done
+
+
 def ingest(
     payloads: DataFrame, path: str, commit: int, default_session: str, default_dataset: str = "flows", writer: str = MAIN
 ) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from flowwarden.operators import analytics, ranking
 from flowwarden.session import work_path
 from flowwarden.sources import alert_table as A
+from flowwarden.sources.folders import folders, rename_folder
 
 NOON = dt.datetime(2026, 1, 1, 12, 0)
 
@@ -163,3 +164,73 @@ def test_recent_list_is_capped(spark):
 def test_session_ids_differ():
     ids = {A.new_session_id() for _ in range(50)}
     assert len(ids) == 50 and all(len(i) == 18 and i.startswith("session-") for i in ids)
+
+
+def month_alerts(spark, path):
+    """Ten alerts a month over a year, each month a commit of its own."""
+    for i, month in enumerate(range(1, 13)):
+        rows = spark.range(10).select(
+            F.concat(F.lit("s"), (F.col("id") % 2).cast("string")).alias("session_id"),
+            F.make_timestamp(F.lit(2026), F.lit(month), F.col("id").cast("int") + 1, F.lit(0), F.lit(0), F.lit(0)).alias("alert_time"),
+            F.concat(F.lit(f"{month}-"), F.col("id").cast("string")).alias("alert_id"),
+        )
+        A.store_alerts(rows, path, i)
+
+
+def test_newest_rows_open_the_newest_months(spark):
+    path = new_table(spark)
+    month_alerts(spark, path)
+    for session, n in ((None, 3), (None, 25), ("s1", 2), ("s1", 12), (None, 500), ("none such", 5)):
+        rows = A.latest_alerts(spark, path, session, n)
+        want = ranking.latest(A.read_alerts(spark, path, session), n)
+        assert [r.alert_id for r in rows.collect()] == [r.alert_id for r in want.collect()]
+    rows = A.latest_alerts(spark, path, None, 3)
+    assert len(rows.inputFiles()) <= 2 + 1  # two sessions of one month, and what the deletes have
+    A.delete_session(spark, path, "s0", 99)
+    assert [r.alert_id for r in A.latest_alerts(spark, path, n=6).collect()] == ["12-9", "12-7", "12-5", "12-3", "12-1", "11-9"]
+    assert [r.alert_id for r in A.latest_alerts(spark, path, n=3, since=dt.datetime(2026, 12, 9)).collect()] == ["12-9"]
+
+
+def test_merged_commits_read_the_same(spark):
+    path = new_table(spark)
+    for i in range(5):
+        A.store_alert(spark, alert(i, alert_id=str(i), rate=1.0), path, i, "s1", writer="a")
+        A.store_alert(spark, alert(0, alert_id="same", rate=float(i)), path, i, "s/1:*", writer="b")
+    before = sorted((r.alert_id, r.rate) for r in A.read_alerts(spark, path).collect())
+    assert A.merge_commits(spark, path, "a", upto=2) == 2 and A.merge_commits(spark, path, "b") == 3
+    assert sorted((r.alert_id, r.rate) for r in A.read_alerts(spark, path).collect()) == before
+    assert [r.rate for r in A.latest_alerts(spark, path, "s/1:*").collect()] == [4.0]
+    # The stream runs a merged batch again: its rows are there already.
+    A.store_alert(spark, alert(1, alert_id="1", rate=9.0), path, 1, "s1", writer="a")
+    assert sorted((r.alert_id, r.rate) for r in A.read_alerts(spark, path).collect()) == before
+    A.store_alert(spark, alert(0, alert_id="0", rate=5.0), path, 5, "s1", writer="a")
+    assert A.merge_commits(spark, path, "a") == 4
+    assert dict(sorted((r.alert_id, r.rate) for r in A.read_alerts(spark, path, "s1").collect())) == {"0": 5.0, "1": 1.0, "2": 1.0, "3": 1.0, "4": 1.0}
+    assert len(folders(spark, f"{path}/alerts/writer=a*/commit=*")) == 2
+    A.delete_session(spark, path, "s1", 1)
+    assert ids(A.read_alerts(spark, path)) == ["same"]
+
+
+def test_merge_that_broke_off(spark):
+    """The merged folder is there, the old ones too: reads take each row once, and the next merge tidies up."""
+    path = new_table(spark)
+    for i in range(4):
+        A.store_alert(spark, alert(i, alert_id=str(i)), path, i, "s1")
+    copy = work_path(spark, "copy")
+    for folder in folders(spark, f"{path}/alerts/writer=main/commit=*"):
+        number = folder.rsplit("=", 1)[1]
+        spark.read.parquet(folder).write.partitionBy("session_id", "alert_month").parquet(f"{copy}/commit={number}")
+    A.merge_commits(spark, path)
+    for i in range(3):
+        rename_folder(spark, f"{copy}/commit={i}", f"{path}/alerts/writer=main/commit={i}")
+    assert ids(A.read_alerts(spark, path)) == ["0", "1", "2", "3"]
+    assert A.read_alerts(spark, path).count() == 4
+    assert A.merge_commits(spark, path) == 2
+    assert len(folders(spark, f"{path}/alerts/writer=*/commit=*")) == 2
+
+
+def test_recent_rows_are_cut_before_they_are_joined(spark):
+    path = new_table(spark)
+    month_alerts(spark, path)
+    want = ranking.top_n_per_key(A.read_alerts(spark, path), ["session_id"], ranking.newest_first(), 7)
+    assert ids(A.recent_alerts(spark, path, cap=7)) == ids(want)
