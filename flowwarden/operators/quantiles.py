@@ -1,23 +1,28 @@
 """Exact quantiles whose memory does not grow with the table.
 
-Spark's ``percentile`` keeps every distinct value of a column in one aggregation buffer. Here the
-wanted ranks are bracketed with the mergeable sketch behind ``percentile_approx``, the rows below
-and on the ends of each bracket are counted exactly, and the next round looks inside the bracket
-only. Ends that are frequent values drop out, so a bracket shrinks in every round. Nothing but
+Spark's ``percentile`` keeps every distinct value of a column in one aggregation buffer. Here three scans do, whatever the number of columns:
+
+1. a mergeable KLL sketch of every column brackets the wanted ranks;
+2. the rows below and inside each bracket are counted exactly, and a sketch of the inside narrows it;
+3. what is left inside is grouped by value and picked from.
+
+Where a narrowed bracket would still hold more rows than one task should sort, step 2 is repeated inside it; each time it shrinks by two orders of
+magnitude. Sketches only propose: a rank that isn't where its sketch says is looked for in the wider bracket again. Nothing but
 counts and bracket ends reaches the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows a bracket may hold at last; so many are sorted in one task.
-BRACKET_ROWS = 1_000
+#: Rows a bracket may hold at last; so many are sorted in one task.
+BRACKET_ROWS = 1_000_000
+#: Size of a sketch, a margin above its rank error, and the steps at which the inside of a bracket is looked at.
+SKETCH, MARGIN, STEPS = 4096, 0.002, 512
 
 
 def exact_quantiles(
@@ -29,26 +34,28 @@ def exact_quantiles(
     """Interpolated quantiles (``percentile`` semantics) of several columns; NaN counts as null."""
     if not columns:
         return {}
-    values = {c: _number(F.col(c)) for c in columns}
-    counts = df.agg(*[F.count(v).alias(c) for c, v in values.items()]).first()
-    spots = {(c, p): p * (counts[c] - 1) for c in columns for p in probs if counts[c]}
-    ranks = {
-        c: sorted(
-            {r for p in probs for r in (math.floor(spots[c, p]), math.ceil(spots[c, p]))}
-        )
-        for c in columns
-        if counts[c]
-    }
-    stats = order_statistics(
-        df, {c: values[c] for c in ranks}, ranks, {c: counts[c] for c in ranks}, bracket_rows
-    )
+    values = {c: _number(F.col(f"`{c}`")) for c in columns}
+    ends = sorted({e for p in probs for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0))})
+    seen = df.agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(values.values())],
+        *[_at(F.lit(True), v, ends).alias(f"q{i}") for i, v in enumerate(values.values())],
+    ).first()
+    counts = {c: seen[f"n{i}"] for i, c in enumerate(columns)}
+    targets: dict[tuple[str, int], _Target] = {}
+    for i, c in enumerate(columns):
+        for p in probs if counts[c] else ():
+            low, high = (seen[f"q{i}"][ends.index(e)] for e in (max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)))
+            for rank in {math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1))}:
+                targets[c, rank] = _Target(c, rank, low, high)
+    _find(df, values, list(targets.values()), bracket_rows)
 
     def interpolate(c: str, p: float) -> float | None:
         if not counts[c]:
             return None
-        low, high = math.floor(spots[c, p]), math.ceil(spots[c, p])
-        a, b = stats[c, low], stats[c, high]
-        return a if low == high or a == b else (high - spots[c, p]) * a + (spots[c, p] - low) * b
+        spot = p * (counts[c] - 1)
+        low, high = math.floor(spot), math.ceil(spot)
+        a, b = targets[c, low].value, targets[c, high].value
+        return a if low == high or a == b else (high - spot) * a + (spot - low) * b
 
     return {c: [interpolate(c, p) for p in probs] for c in columns}
 
@@ -68,127 +75,110 @@ def approx_quantiles(
 
 @dataclass
 class _Target:
-    """A wanted rank and the open interval that holds it, until its value is found."""
+    """A wanted rank and the closed interval that should hold it; ``below`` rows are left of the interval, by exact count."""
 
     key: str
     rank: int
-    inside: int
-    low: float | None = None
-    high: float | None = None
+    low: float | None
+    high: float | None
     below: int = 0
+    near: tuple[float | None, float | None] = (None, None)  # the narrowed interval
     value: float | None = None
-    margin: float = 0.0
 
-    def within(self, value: Column) -> Column:
-        cond = value.isNotNull()
-        if self.low is not None:
-            cond &= value > F.lit(self.low)
-        if self.high is not None:
-            cond &= value < F.lit(self.high)
-        return cond
+    @property
+    def interval(self) -> tuple[str, float | None, float | None]:
+        return self.key, self.low, self.high
 
 
-def order_statistics(
-    df: DataFrame,
-    values: Mapping[str, Column],
-    ranks: Mapping[str, list[int]],
-    counts: Mapping[str, int],
-    bracket_rows: int = BRACKET_ROWS,
-    accuracy: int = 10_000,
-) -> dict[tuple[str, int], float]:
-    """The values at the given zero-based ranks of each column expression."""
-    targets = [
-        _Target(key, rank, counts[key], margin=4.0 / accuracy)
-        for key, wanted in ranks.items()
-        for rank in wanted
-    ]
-    while wide := [t for t in targets if t.value is None and t.inside > bracket_rows]:
-        _narrow(df, values, wide, accuracy)
-    found = {(t.key, t.rank): t.value for t in targets if t.value is not None}
-    return found | _pick(df, values, [t for t in targets if t.value is None])
-
-
-def _narrow(df: DataFrame, values, targets: list[_Target], accuracy: int) -> None:
-    brackets = _brackets(targets)
-    # One sketch per bracket serves all ranks asked of it.
-    asked = []
-    for i, group in enumerate(brackets):
-        value = values[group[0].key]
-        spots = [((t.rank - t.below) / max(t.inside - 1, 1), t.margin) for t in group]
-        probs = [p for s, m in spots for p in (max(s - m, 0.0), min(s + m, 1.0))]
-        asked.append(
-            F.percentile_approx(F.when(group[0].within(value), value), probs, accuracy).alias(f"b{i}")
-        )
-    found = df.agg(*asked).first()
-    ends = [
-        (t, found[f"b{i}"][2 * j], found[f"b{i}"][2 * j + 1])
-        for i, group in enumerate(brackets)
-        for j, t in enumerate(group)
-    ]
-    checks = []
-    for i, (t, low, high) in enumerate(ends):
-        value, inside = values[t.key], t.within(values[t.key])
-        checks.append(F.count_if(inside & (value < F.lit(low))).alias(f"l{i}"))
-        checks.append(F.count_if(value == F.lit(low)).alias(f"a{i}"))
-        checks.append(F.count_if(inside & (value > F.lit(low)) & (value < F.lit(high))).alias(f"m{i}"))
-        checks.append(F.count_if(value == F.lit(high)).alias(f"z{i}"))
-    seen = df.agg(*checks).first()
-    for i, (t, low, high) in enumerate(ends):
-        # Ranks at which the low end, the inside, the high end and what lies above it begin.
-        at_low = t.below + seen[f"l{i}"]
-        at_inside = at_low + seen[f"a{i}"]
-        at_high = at_inside + seen[f"m{i}"]
-        behind = at_high + (seen[f"z{i}"] if high != low else 0)
-        if at_low <= t.rank < at_inside:
-            t.value = low
-        elif at_inside <= t.rank < at_high:
-            t.low, t.high, t.below, t.inside = low, high, at_inside, seen[f"m{i}"]
-        elif at_high <= t.rank < behind:
-            t.value = high
-        else:  # the sketch only proposes; ask again with a wider margin
-            t.margin *= 4
-
-
-def _brackets(targets: list[_Target]) -> list[list[_Target]]:
-    """Targets that look at the same rows of the same column, together."""
-    found: dict[tuple, list[_Target]] = {}
-    for t in targets:
-        found.setdefault((t.key, t.low, t.high), []).append(t)
-    return list(found.values())
+def _within(value: Column, low: float | None, high: float | None) -> Column:
+    inside = value.isNotNull()
+    if low is not None:
+        inside &= value >= F.lit(low)
+    if high is not None:
+        inside &= value <= F.lit(high)
+    return inside
 
 
-def _pick(df: DataFrame, values, targets: list[_Target]) -> dict[tuple[str, int], float]:
-    if not targets:
-        return {}
-    groups = _brackets(targets)
-    inside = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    g[0].within(values[g[0].key]),
-                    F.struct(F.lit(i).alias("bracket"), values[g[0].key].alias("value")),
-                )
-                for i, g in enumerate(groups)
-            ]
-        )
-    )
-    wanted = F.create_map(
-        *[x for i, g in enumerate(groups) for x in (F.lit(i), F.array(*[F.lit(t.rank - t.below) for t in g]))]
-    )
-    ordered = Window.partitionBy("bracket").orderBy("value")
+def _at(inside: Column, value: Column, fractions: list[float]) -> Column:
+    """Values at fractions of the ranks of the rows inside, from one sketch; null where there are none."""
+    kept = F.when(inside, value)
+    sketch = F.kll_sketch_agg_double(kept, SKETCH)
+    return F.when(F.count(kept) > 0, F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(f) for f in fractions])))
+
+
+def _grouped(targets: list[_Target], name: str) -> dict[tuple, list[_Target]]:
+    found: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        found.setdefault((*t.interval, *(t.near if name == "near" else ())), []).append(t)
+    return found
+
+
+def _find(df: DataFrame, values: dict[str, Column], targets: list[_Target], bracket_rows: int) -> None:
+    """Sets the values of all targets."""
+    left = targets
+    while left:
+        left = _narrow(df, values, left, bracket_rows)
+    _pick(df, values, targets)
+    if missed := [t for t in targets if t.value is None]:  # the sketch misplaced them; the counted interval holds them for certain
+        for t in missed:
+            t.near = (t.low, t.high)
+        _pick(df, values, missed)
+
+
+def _narrow(df: DataFrame, values, targets: list[_Target], bracket_rows: int) -> list[_Target]:
+    """One scan over the intervals of the targets; those that have to be narrowed further are returned."""
+    groups = list(_grouped(targets, "interval").items())
+    steps = [i / STEPS for i in range(STEPS + 1)]
+    asked = []
+    for i, ((key, low, high), _) in enumerate(groups):
+        inside = _within(values[key], low, high)
+        below = F.count_if(values[key] < F.lit(low)) if low is not None else F.lit(0).cast("bigint")
+        asked += [below.alias(f"b{i}"), F.count_if(inside).alias(f"n{i}"), _at(inside, values[key], steps).alias(f"q{i}")]
+    seen = df.agg(*asked).first()
+    again = []
+    for i, ((_, low, high), group) in enumerate(groups):
+        below, n, at = seen[f"b{i}"], seen[f"n{i}"], seen[f"q{i}"]
+        for t in group:
+            if not below <= t.rank < below + n:
+                t.low = t.high = None
+                again.append(t)
+                continue
+            t.below = below
+            spot = (t.rank - below) / max(n - 1, 1) * STEPS
+            first, last = max(0, math.floor(spot - 2 * MARGIN * STEPS)), min(STEPS, math.ceil(spot + 2 * MARGIN * STEPS))
+            t.near = (at[first], at[last])
+            if n * (last - first) / STEPS > bracket_rows and at[first] < at[last] and t.near != (low, high):
+                t.low, t.high = t.near
+                again.append(t)
+    return again
+
+
+def _pick(df: DataFrame, values, targets: list[_Target]) -> None:
+    """One scan: the narrowed intervals grouped by value, with what their wider ones have below them as one more value."""
+    groups = list(_grouped(targets, "near").items())
+    entries, wanted = [], []
+    for i, ((key, low, high, near_low, near_high), group) in enumerate(groups):
+        value = values[key]
+        shown = F.when(value < F.lit(near_low), F.lit(float("-inf"))).otherwise(value) if near_low is not None else value
+        kept = _within(value, low, near_high)
+        entries.append(F.when(kept, F.struct(F.lit(i).alias("bracket"), (value < F.lit(near_low) if near_low is not None else F.lit(False)).alias("before"), shown.alias("value"))))
+        wanted += [F.lit(i), F.array(*[F.lit(t.rank - t.below) for t in group])]
+    ordered = Window.partitionBy("bracket").orderBy(F.desc("before"), "value")
     upto, n = F.col("upto"), F.col("n")
     rows = (
-        df.select(F.inline(inside))
-        .groupBy("bracket", "value")
+        df.select(F.inline(F.array_compact(F.array(*entries))))
+        .groupBy("bracket", "before", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum("n").over(ordered))
-        .select("bracket", "value", "upto", "n", F.explode(wanted[F.col("bracket")]).alias("rank"))
-        .where((upto > F.col("rank")) & (upto - n <= F.col("rank")))
+        .select("bracket", "before", "value", "upto", "n", F.explode(F.create_map(*wanted)[F.col("bracket")]).alias("rank"))
+        .where(~F.col("before") & (upto > F.col("rank")) & (upto - n <= F.col("rank")))
         .select("bracket", "rank", "value")
-        .collect()
+        .collect()  # one row per rank
     )
     found = {(r["bracket"], r["rank"]): r["value"] for r in rows}
-    return {(t.key, t.rank): found[i, t.rank - t.below] for i, g in enumerate(groups) for t in g}
+    for i, (_, group) in enumerate(groups):
+        for t in group:
+            t.value = found.get((i, t.rank - t.below))
 
 
 def _number(col: Column) -> Column:

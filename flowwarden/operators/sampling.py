@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowwarden.functions.scalars import hash_rank
@@ -49,32 +49,49 @@ def strata_test_sizes(counts: DataFrame, test_size: float) -> DataFrame:
     return shares.select("s", "n", (F.col("base") + (F.col("_place") < left).cast("bigint")).alias("wanted"))
 
 
+#: Bits of the 52-bit hash that a histogram counts by, and the histograms that are nested. What is left inside the last bucket is a
+#: stratum's rows divided by 2^26.
+LEVEL_BITS, LEVELS = 13, 2
+
+
 def with_test_flag(
     df: DataFrame, key: str, stratum: str | None, out: str = "in_test", test_size: float = 0.2
 ) -> DataFrame:
     """``out`` marks exactly the wanted number of rows per stratum: those with the smallest key
     hashes, equal hashes in the order of the key; ``key`` must be unique.
 
-    Only (stratum, hash, key) is sorted, by range, so a large stratum spreads over many tasks. The
-    last chosen row of each stratum is its cut, and the cuts are joined back like any dimension.
-    Without the column the split is unstratified.
+    Nothing is sorted: rows are counted by stratum and the top bits of the hash, the bucket in which a stratum's number is reached is counted by the
+    next bits, and only the rows of the last bucket are ordered. The row that completes a stratum's number is its cut, and the cuts are
+    joined back like any dimension. Without the column the split is unstratified.
     """
     group = F.col(stratum) if stratum and stratum in df.columns else F.lit(0)
-    narrow = df.select(group.alias("s"), hash_rank(F.col(key)).alias("_hash"), F.col(key).alias("_key"))
-    ordered = numbered_by_range(narrow, ["s", "_hash", "_key"], "_place")
-    counts = materialise(narrow.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "strata")
-    sizes = strata_test_sizes(counts, test_size)
-    starts = ordered.groupBy("s").agg(F.min("_place").alias("_start"))
-    ends = sizes.join(starts, sizes["s"].eqNullSafe(starts["s"])).where("wanted > 0")
-    cuts = ordered.join(
-        ends.select((F.col("_start") + F.col("wanted") - 1).alias("_end")), ordered["_place"] == F.col("_end")
-    ).select(F.col("s").alias("_s"), F.col("_hash").alias("_cut"), F.col("_key").alias("_cut_key"))
-    cuts = materialise(cuts, "strata-cuts")
+    rows = df.select(group.alias("s"), hash_rank(F.col(key)).alias("hash"), F.col(key).alias("key"))
+    spots = None
+    for level in range(1, LEVELS + 1):
+        bucket = F.shiftright("hash", 52 - level * LEVEL_BITS).alias("bucket")
+        counts = materialise(rows.groupBy("s", bucket).agg(F.count(F.lit(1)).alias("n")), "split-buckets")
+        if spots is None:
+            sizes = strata_test_sizes(counts.groupBy("s").agg(F.sum("n").alias("n")), test_size)
+            spots = sizes.select(F.col("s").alias("of"), F.col("wanted").alias("left")).where("left > 0")
+        spots = materialise(_reached(counts, spots), "split-spots")
+        inside = (F.col("s").eqNullSafe(F.col("of"))) & (F.shiftright("hash", 52 - level * LEVEL_BITS) == F.col("at"))
+        rows = rows.select("s", "hash", "key").join(spots, inside)
+    place = F.row_number().over(Window.partitionBy("s").orderBy("hash", "key"))
+    cuts = rows.withColumn("place", place).where("place = left")
+    cuts = materialise(cuts.select(F.col("s").alias("_s"), F.col("hash").alias("_cut"), F.col("key").alias("_cut_key")), "strata-cuts")
     marked = df.withColumn("_hash", hash_rank(F.col(key))).join(cuts, group.eqNullSafe(F.col("_s")), "left")
     chosen = (F.col("_hash") < F.col("_cut")) | ((F.col("_hash") == F.col("_cut")) & (F.col(key) <= F.col("_cut_key")))
     return marked.select(*df.columns, F.coalesce(chosen, F.lit(False)).alias(out))
 
 
+def _reached(counts: DataFrame, spots: DataFrame) -> DataFrame:
+    """Per stratum the bucket in which its number is reached (``at``), and how many of that bucket's rows it still takes (``left``)."""
+    upto = F.sum("n").over(Window.partitionBy("s").orderBy("bucket"))
+    found = counts.join(spots, F.col("s").eqNullSafe(F.col("of"))).withColumn("upto", upto)
+    found = found.where((F.col("upto") >= F.col("left")) & (F.col("upto") - F.col("n") < F.col("left")))
+    return found.select("of", F.col("bucket").alias("at"), (F.col("left") - (F.col("upto") - F.col("n"))).alias("left"))
+
+
 def split_train_test(
     df: DataFrame, key: str, stratum: str | None = "label", test_size: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:

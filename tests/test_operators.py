@@ -37,6 +37,24 @@ def test_quantiles_of_an_empty_column(spark):
     assert quantiles.exact_quantiles(df, [], [0.5]) == {}
 
 
+def test_quantiles_take_three_scans(spark, monkeypatch):
+    """However many columns and quantiles, unless a bracket stays too large for one task; a wrong sketch costs one more."""
+    scans, narrow, pick = [], quantiles._narrow, quantiles._pick
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: scans.append("narrow") or narrow(*a))
+    monkeypatch.setattr(quantiles, "_pick", lambda df, v, t: scans.append("pick") or pick(df, v, t))
+    df = spark.range(50_000).select(((F.col("id") * 7919) % 50_021).alias("a"), (F.col("id") % 3).alias("b"), F.lit(None).cast("int").alias("c d"))
+    want = {"a": sorted(i * 7919 % 50_021 for i in range(50_000)), "b": sorted(i % 3 for i in range(50_000))}
+    probs = [0.01, 0.25, 0.5, 0.75, 0.99]
+    want = {**{c: list(np.quantile(v, probs)) for c, v in want.items()}, "c d": [None] * 5}
+    assert quantiles.exact_quantiles(df, ["a", "b", "c d"], probs) == want
+    assert scans == ["narrow", "pick"]
+    scans.clear()
+    monkeypatch.setattr(quantiles, "MARGIN", 1e-9)  # as if the sketches were far off
+    monkeypatch.setattr(quantiles, "SKETCH", 8)
+    assert quantiles.exact_quantiles(df, ["a", "b", "c d"], probs) == want
+    assert scans.count("pick") <= 2
+
+
 def test_top_n_of_a_hot_key(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("key"),
