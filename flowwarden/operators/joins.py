@@ -67,3 +67,27 @@ def bounded_not_in(source: DataFrame, target: DataFrame, keys: list[str]) -> Dat
     wanted = F.broadcast(source.select(*keys).distinct())
     hits = target.select(*keys).join(wanted, keys, "left_semi").distinct()
     return source.join(F.broadcast(hits), keys, "left_anti")
+
+
+#: A key with more than this share of the rows is hot; there are fewer such keys than its inverse.
+HOT_SHARE = 1e-3
+
+
+def dimension_join(df: DataFrame, dim: DataFrame, on: str, key: str, rows: str, n: int) -> DataFrame:
+    """``df`` with the other columns of ``dim``, nulls where its key is not there. ``dim`` has one row per ``key`` and may be as long as ``df``; ``rows``
+    says how many of the ``n`` rows of ``df`` share the key.
+
+    Hot keys, fewer than a thousand, are broadcast; the others are joined, and no task gets more than a thousandth of the rows under one key. Rows
+    that the broadcast settles, and rows without a value, get keys of their own, so they don't meet in one task.
+    """
+    limit = max(1000, int(n * HOT_SHARE))
+    columns = [c for c in dim.columns if c not in (key, rows)]
+    side = lambda d, p: d.select(F.col(key).alias(f"_{p}_key"), *(F.col(c).alias(f"_{p}_{c}") for c in columns))
+    df_columns = df.columns
+    out = df.join(F.broadcast(side(dim.where(F.col(rows) > limit), "hot")), F.col(on) == F.col("_hot_key"), "left")
+    settled = F.col("_hot_key").isNotNull() | F.col(on).isNull()
+    alone = F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))
+    out = out.withColumn("_own_key", F.when(settled, alone).otherwise(F.concat(F.lit("+"), F.col(on).cast("string"))))
+    rest = side(dim.where(F.col(rows) <= limit), "rest").withColumn("_rest_key", F.concat(F.lit("+"), F.col("_rest_key").cast("string")))
+    out = out.join(rest, F.col("_own_key") == F.col("_rest_key"), "left")
+    return out.select(*df_columns, *[F.coalesce(f"_hot_{c}", f"_rest_{c}").alias(c) for c in columns])

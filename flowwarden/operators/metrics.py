@@ -6,10 +6,11 @@ size is the square of the number of classes.
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowwarden.session import materialise
+
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     return (
@@ -99,12 +100,43 @@ def positive_f1(matrix: DataFrame, positive: float = 1.0) -> DataFrame:
     )
 
 
-def auc(df: DataFrame, label: str = "label", score: str = "score", curve: str = "areaUnderROC") -> float:
-    """Exact area under the curve: every distinct score is a threshold (no binning)."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName=curve, numBins=0
+def curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """One row per distinct score, as the threshold from which rows count as positive: its own positives and negatives (``pos``, ``neg``), and
+    those from it on (``tp``, ``fp``). No binning.
+
+    Scores are counted before anything moves, then sorted once, by range; each range adds what the ranges above it hold, so no task sees more
+    than its range. Rows without a score are left out. The sorted counts are written, as they are read for both.
+    """
+    positive = F.col(label).cast("double") > 0.5
+    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+        F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg")
+    )
+    ranged = materialise(counts.repartitionByRange(F.desc("score")).withColumn("part", F.spark_partition_id()), "curve")
+    above = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    sums = ranged.groupBy("part").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
+        "part", F.coalesce(F.sum("p").over(above), F.lit(0)).alias("p"), F.coalesce(F.sum("q").over(above), F.lit(0)).alias("q")
     )
-    return evaluator.evaluate(df)
+    upto = Window.partitionBy("part").orderBy(F.desc("score"))
+    return ranged.join(F.broadcast(sums), "part").select(
+        "score", "pos", "neg", (F.sum("pos").over(upto) + F.col("p")).alias("tp"), (F.sum("neg").over(upto) + F.col("q")).alias("fp")
+    )
+
+
+def areas(df: DataFrame, label: str = "label", score: str = "score") -> dict[str, float]:
+    """Exact areas under the ROC and the precision-recall curve (``auc_roc``, ``auc_pr``), by trapezoids, from one ``curve``.
+
+    The precision-recall curve begins at recall 0 with the precision of the first threshold. Without rows of one kind the area that needs them is 0.
+    """
+    points = curve(df, label, score)
+    before_tp, before_fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    before = F.when(before_tp + before_fp > 0, before_tp / (before_tp + before_fp)).otherwise(precision)
+    found = points.agg(
+        F.sum("pos").alias("p"), F.sum("neg").alias("q"),
+        F.sum(F.col("neg") * (F.col("tp") + before_tp) / 2).alias("roc"), F.sum(F.col("pos") * (precision + before) / 2).alias("pr"),
+    ).first()
+    p, q = found["p"] or 0, found["q"] or 0
+    return {"auc_roc": found["roc"] / p / q if p and q else 0.0, "auc_pr": found["pr"] / p if p else 0.0}
 
 
 def column_moments(df: DataFrame, columns: list[str]) -> DataFrame:

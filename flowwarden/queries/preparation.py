@@ -350,8 +350,7 @@ def a09_per_class_accuracy(spark, d):
     ("messages",),
 )
 def a10_roc_auc(spark, d):
-    area = metrics.auc(_binary_rows(spark, d).withColumn("label", F.col("label").cast("double")))
-    return spark.createDataFrame([(round(area, 9),)], "auc_roc double")
+    return spark.createDataFrame([(round(metrics.areas(_binary_rows(spark, d))["auc_roc"], 9),)], "auc_roc double")
 
 
 @query(
@@ -366,8 +365,17 @@ def a10_roc_auc(spark, d):
     ("messages",),
 )
 def a10_pr_auc(spark, d):
-    rows = _binary_rows(spark, d).withColumn("label", F.col("label").cast("double"))
-    return spark.createDataFrame([(round(metrics.auc(rows, curve="areaUnderPR"), 9),)], "auc_pr double")
+    return spark.createDataFrame([(round(metrics.areas(_binary_rows(spark, d))["auc_pr"], 9),)], "auc_pr double")
+
+
+@query(
+    f"""SELECT score, CAST(sum(pos) OVER up AS BIGINT) AS tp, CAST(sum(neg) OVER up AS BIGINT) AS fp FROM (
+          SELECT round(binary_probability, 9) AS score, sum(label) AS pos, sum(1 - label) AS neg FROM ({SCORED_SQL}) s GROUP BY 1) a
+        WINDOW up AS (ORDER BY score DESC ROWS UNBOUNDED PRECEDING)""",
+    ("messages",),
+)
+def a10_curve(spark, d):
+    return metrics.curve(_binary_rows(spark, d)).select("score", "tp", "fp")
 
 
 @query(
@@ -589,8 +597,11 @@ def _index_sql(c: str) -> str:
     ("raw_flows",),
 )
 def m03_index_categories(spark, d):
+    # A dictionary by frequency that is made, kept and joined on the executors.
     rows = bindings.raw_flows(spark, d).select("proto", "service", "state")
-    return features.indexer().fit(rows).transform(rows)
+    for c in rows.columns:
+        rows, _ = labels.index_by_frequency(rows, c, f"{c}_idx")
+    return rows
 
 
 @query(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowwarden.operators import labels, metrics, quantiles, ranking, sampling
-from flowwarden.plans import score
+from flowwarden.plans import features, score, train
 
 
 @pytest.mark.parametrize("kind", ["even", "ties", "tail", "constant", "two"])
@@ -160,3 +160,46 @@ def test_metrics_by_hand(spark):
     assert metrics.overall_metrics(matrix).first().accuracy == pytest.approx(8 / 11)
     report = {r["class"]: r for r in metrics.class_report(matrix).collect()}
     assert report[2.0].support == 1 and report[2.0].f1 == 0.0
+
+
+@pytest.mark.parametrize("kind", ["few scores", "all different", "one score", "no negatives", "no rows"])
+def test_areas_equal_the_trapezoids(spark, kind):
+    draw = random.Random(11)
+    rows = [(float(draw.random() < 0.3), round(draw.random(), 1 if kind == "few scores" else 9)) for _ in range(3000)]
+    rows = {"one score": [(y, 0.5) for y, _ in rows], "no negatives": [(1.0, s) for _, s in rows], "no rows": []}.get(kind, rows)
+    df = spark.createDataFrame(rows, "label double, score double").repartition(7)
+    got = metrics.areas(df)
+    tp = fp = roc = pr = 0
+    p, q, last = sum(y for y, _ in rows), sum(1 - y for y, _ in rows), None
+    for s in sorted({s for _, s in rows}, reverse=True):
+        pos, neg = sum(1 for y, t in rows if t == s and y), sum(1 for y, t in rows if t == s and not y)
+        roc += neg * (2 * tp + pos) / 2
+        tp, fp = tp + pos, fp + neg
+        pr += pos * (tp / (tp + fp) + (tp / (tp + fp) if last is None else last)) / 2
+        last = tp / (tp + fp)
+    assert got["auc_roc"] == pytest.approx(roc / p / q if p and q else 0.0)
+    assert got["auc_pr"] == pytest.approx(pr / p if p else 0.0)
+
+
+def test_sampled_rows_keep_every_class(spark):
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") < 30, 2.0).when(F.col("id") < 4000, 1.0).otherwise(0.0).alias("label"), "id", F.lit(1.0).alias("weight")
+    )
+    got = {r.label: (r.n, r.w) for r in train.sampled(rows, "label", "weight", 1000).groupBy("label").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert got[2.0][0] == 30 and abs(got[1.0][0] - 198) < 60 and abs(got[0.0][0] - 800) < 120
+    assert got[2.0][1] == pytest.approx(1.5) and got[1.0][1] == got[1.0][0]
+    assert train.sampled(rows, "label", None, None).count() == 20_000
+
+
+def test_index_by_frequency_like_the_fitted_indexer(spark):
+    """Hot values, ties, nulls and values that the training rows lack."""
+    rows = spark.range(9000).select(
+        F.when(F.col("id") < 4000, "hot").when(F.col("id") < 6000, "warm").when(F.col("id") >= 8990, F.lit(None))
+        .otherwise(F.concat(F.lit("v"), (F.col("id") % 700).cast("string"))).alias("proto"), "id",
+    )
+    some = rows.where("proto is null or proto <> 'v3'")
+    want = {r.id: r.proto_idx for r in features.indexer(["proto"]).fit(some).transform(rows).collect()}
+    codes = labels.frequency_codes(some, "proto")
+    got, _ = labels.index_by_frequency(rows, "proto", "idx", codes)
+    assert got.columns == ["proto", "id", "idx"] and {r.id: r.idx for r in got.collect()} == want
+    assert labels.index_by_frequency(rows.limit(0), "proto", "idx")[0].count() == 0
