@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowwarden.llm.common import tidy
+
 #: The published pre-tokenization pattern of byte-level BPE. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A worker remembers between once and twice as many words.
@@ -229,7 +231,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", keep: tuple[s
     columns = list(keep)
     out = _schema(df, columns, "n_tokens long, ids array<int>")
     source = df.select(*columns, F.col(text_col).alias("_text"))
-    return source.mapInArrow(lambda it: _token_ids(it, path, columns, "_text"), out)
+    return source.mapInArrow(tidy(lambda it: _token_ids(it, path, columns, "_text")), out)
 
 
 def encode_digests(df: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -237,7 +239,7 @@ def encode_digests(df: DataFrame, path: str, text_col: str = "text", keep: tuple
     columns = list(keep)
     out = _schema(df, columns, "n_tokens long, ids_sha256 string, decoded_sha256 string")
     source = df.select(*columns, F.col(text_col).alias("_text"))
-    return source.mapInArrow(lambda it: _digests(it, path, columns, "_text"), out)
+    return source.mapInArrow(tidy(lambda it: _digests(it, path, columns, "_text")), out)
 
 
 def _decoded(batches, path: str, columns: list[str], ids_col: str):

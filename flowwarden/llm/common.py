@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +36,22 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return materialise(df, f"llm-{name}")
 
 
+def tidy(run):
+    """A function of Arrow batches that, at the end of a task, gives the memory it has freed back to the system: a worker waits for
+    other tasks beside executors that need it."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return tidied
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all rows as one array, and n + 1 offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

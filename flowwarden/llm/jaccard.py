@@ -29,12 +29,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowwarden.llm.common import mix, row_chunks, saved, text_bytes, with_lookup
+from flowwarden.llm.common import mix, row_chunks, saved, text_bytes, tidy, with_lookup
 
 WORDS = 5
 PERCENT = 75
@@ -345,7 +344,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
     """The pairs (a, b) of nodes that link, by whole sets; ``docs`` has doc_id and text."""
     spark = docs.sparkSession
     wanted = marked(pairs.select("a", "b"))
-    sets = docs.mapInArrow(_members(words, spark.sparkContext.broadcast(wanted)), "node long, members binary")
+    sets = docs.mapInArrow(tidy(_members(words, spark.sparkContext.broadcast(wanted))), "node long, members binary")
     # One set per content; both joins share this shuffle.
     sets = sets.dropDuplicates(["node"])
     both = (
@@ -353,7 +352,7 @@ def verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
         .join(sets.select(F.col("node").alias("b"), F.col("members").alias("right")), "b")
         .select("a", "b", "left", "right")
     )
-    return saved(both.mapInArrow(_linked(percent), "a long, b long"), "links")
+    return saved(both.mapInArrow(tidy(_linked(percent)), "a long, b long"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -392,7 +391,7 @@ def jaccard_components(
     """doc_id, n_shingles and component_id (the smallest id reachable over links) of every row."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profile = saved(docs.mapInArrow(_profile(words), "doc_id long, node long, n int, part int, counts binary"), "profile")
+    profile = saved(docs.mapInArrow(tidy(_profile(words)), "doc_id long, node long, n int, part int, counts binary"), "profile")
     rows = profile.where("part is null").select("doc_id", "node", "n")
     table = merged_table(profile.where("part is not null").select("part", "counts"), 1 << TABLE_BITS, np.int32, np.add)
     # Sizes up to the largest light size decide; larger sets cost the same under any boundary.
@@ -400,7 +399,7 @@ def jaccard_components(
     boundary = best_boundary(sizes, list_length(table), percent)
     everywhere = spark.sparkContext.broadcast(table)
     postings = docs.mapInArrow(
-        _postings(words, percent, boundary, list_rows, everywhere), "sig long, node long, n int, pos int, part int, parts int"
+        tidy(_postings(words, percent, boundary, list_rows, everywhere)), "sig long, node long, n int, pos int, part int, parts int"
     )
     in_part = Window.partitionBy("sig", "part").orderBy("pos", "node")
     lists = saved(
@@ -475,10 +474,10 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     several = apart.select("doc_id").union(apart.select("component").distinct()).union(found.where("rows > 1").select("doc_id"))
     bits = df.sparkSession.sparkContext.broadcast(marked(several))
 
-    @F.pandas_udf("boolean")
-    def has_mark(keys: pd.Series) -> pd.Series:
-        at = _bit(keys.to_numpy(dtype=np.int64))
-        return pd.Series((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+    @F.arrow_udf("boolean")
+    def has_mark(keys: pa.Array) -> pa.Array:
+        at = _bit(keys.to_numpy(zero_copy_only=False).astype(np.int64))
+        return pa.array((bits.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
     flagged = keyed.select("row", "key", has_mark("key").alias("mark"))
     clear = flagged.where("not mark").select("row.*")

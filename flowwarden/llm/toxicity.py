@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowwarden.llm.common import mix, row_chunks, saved, text_bytes
+from flowwarden.llm.common import mix, row_chunks, saved, text_bytes, tidy
 
 BUCKETS = 1 << 16
 DIMENSIONS = 8
@@ -247,7 +247,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ("doc_i
     source = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in zip(keep, inner)], F.col(text_col).alias("_text"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     everywhere = docs.sparkSession.sparkContext.broadcast(model)
-    out = source.mapInArrow(_scores(everywhere, inner), f"{kinds + ', ' if kinds else ''}score double")
+    out = source.mapInArrow(tidy(_scores(everywhere, inner)), f"{kinds + ', ' if kinds else ''}score double")
     return out.select(
         *[F.col(i).alias(c) for c, i in zip(keep, inner)], "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
@@ -266,4 +266,4 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, text_col: str = "text", th
                 clean = everywhere.value.log_odds(text.slice(a, b - a)) < cut
                 yield batch.slice(a, b - a).filter(pa.array(clean))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
