@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexerModel
@@ -48,17 +51,31 @@ class Fitted:
     metrics: dict = field(default_factory=dict)
 
 
+#: Candidates that are fitted at the same time.
+SIDE_BY_SIDE = 3
 #: Partitions of the tables a model is fitted on: fixed, so that the model does not depend on the cluster.
 FIT_PARTITIONS = 2
 
 
-def bounded(df: DataFrame, max_rows: int, seed: int = SEED) -> DataFrame:
-    """At most about ``max_rows`` rows, chosen by a hash of their content: the one bound on fitting."""
-    rows = df.count()
-    if rows <= max_rows:
+#: Rows of a class that a sample keeps at least, where there are as many.
+CLASS_ROWS = 50
+
+
+def sampled(df: DataFrame, label: str, weight: str | None, max_rows: int | None, seed: int = SEED) -> DataFrame:
+    """About ``max_rows`` rows, chosen class by class by a hash of their content: the one bound on fitting, for the trees alone.
+
+    Classes keep their shares, but ``CLASS_ROWS`` rows each; a class of which more is taken than its share weighs as much less, where there are weights.
+    """
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
+    total = sum(counts.values())
+    if max_rows is None or total <= max_rows:
         return df
+    share = max_rows / total
+    shares = {c: min(1.0, max(share, CLASS_ROWS / n)) for c, n in counts.items()}
+    pick = lambda by: functools.reduce(lambda case, c: case.when(F.col(label).eqNullSafe(F.lit(c)), by(c)), shares, F)
     chance = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1_000_000))
-    return df.where(chance < int(1_000_000 * max_rows / rows))
+    some = df.where(chance < pick(lambda c: F.lit(int(1e6 * shares[c]))))
+    return some.withColumn(weight, F.col(weight) * pick(lambda c: F.lit(share / shares[c]))) if weight else some
 
 
 @contextmanager
@@ -81,11 +98,7 @@ def evaluate_binary(scored: DataFrame, label: str) -> dict:
     )
     with _kept(rows) as (rows,):
         out = metrics.overall_metrics(metrics.confusion(rows)).first().asDict()
-        return {
-            "auc_roc": metrics.auc(rows),
-            "auc_pr": metrics.auc(rows, curve="areaUnderPR"),
-            **out,
-        }
+        return {**metrics.areas(rows), **out}
 
 
 def evaluate_category(scored: DataFrame, label: str) -> dict:
@@ -100,52 +113,62 @@ def _estimator(kind, stage: str, features: str, label: str, weight: str | None,
 
 
 def _fit_best(
-    stages, candidates, train, test, label, classes, weighted, columns, evaluate, score
+    stages, candidates, train, test, label, classes, weighted, columns, evaluate, score, max_rows
 ) -> Fitted:
-    """Fit the preparation once, then every candidate; the first of equal scores wins.
+    """Fit the preparation and the class weights on the whole training split, then every candidate on a sample of its rows; the first of
+    equal scores wins.
 
-    The columns in use are kept on the executors: weights, preparation and every candidate read
-    them. Vectors are made again for each candidate, as trees keep their own binned copy anyway.
+    Candidates are fitted side by side, each from a thread of the driver with the settings of this one, so that the short stages of one fill the
+    gaps of the other. The columns in use are kept on the executors. Vectors are made again for each candidate, as trees keep their own binned copy anyway.
     """
     needed = [label, *columns]
-    with _kept(train.select(*needed).repartition(FIT_PARTITIONS), test.select(*needed)) as (train, test):
-        weight = "weight" if weighted else None
-        if weighted:
-            train = with_weights(train, label, weight, classes)
-        prepared = stages.fit(train)
-        fit_rows, test_rows = prepared.transform(train), prepared.transform(test)
-        best, best_score = None, float("-inf")
-        for params, estimator in candidates(prepared, weight):
+    weight = "weight" if weighted else None
+    whole = train.select(*needed)
+    prepared = stages.fit(whole)
+    if weighted:
+        whole = with_weights(whole, label, weight, classes)
+    few = sampled(whole, label, weight, max_rows).repartition(FIT_PARTITIONS)
+    with _kept(few, test.select(*needed)) as (few, test):
+        fit_rows, test_rows = prepared.transform(few), prepared.transform(test)
+        offered = list(candidates(prepared, weight))
+
+        def tried(estimator):
             model = estimator.fit(fit_rows)
-            found = evaluate(model.transform(test_rows), label)
-            if score(found) > best_score:
-                best_score = score(found)
-                best = Fitted(PipelineModel([*prepared.stages, model]), params, found)
-    return best
+            return model, evaluate(model.transform(test_rows), label)
+
+        few.count()  # kept before the threads ask for it
+        threads = ThreadPool(min(SIDE_BY_SIDE, len(offered)))
+        try:
+            results = threads.map(inheritable_thread_target(train.sparkSession)(tried), [estimator for _, estimator in offered], chunksize=1)
+        finally:
+            threads.close()
+    best = max(range(len(results)), key=lambda i: (score(results[i][1]), -i))
+    model, found = results[best]
+    return Fitted(PipelineModel([*prepared.stages, model]), offered[best][0], found)
 
 
-def _fit_binary(kind, grid, train, test, features, label, weighted) -> Fitted:
+def _fit_binary(kind, grid, train, test, features, label, weighted, max_rows) -> Fitted:
     def candidates(_, weight):
         for params in grid:
             yield params, _estimator(kind, "binary", "features_vec", label, weight, params)
 
     return _fit_best(
         binary_stages(features), candidates, train, test, label, 2, weighted, features,
-        evaluate_binary, lambda m: m["auc_roc"],
+        evaluate_binary, lambda m: m["auc_roc"], max_rows,
     )
 
 
-def fit_binary_forest(train, test, features, label="binary_label", params=None, weighted=True) -> Fitted:
-    return _fit_binary(RandomForestClassifier, [params or BINARY_FOREST], train, test, features, label, weighted)
+def fit_binary_forest(train, test, features, label="binary_label", params=None, weighted=True, max_rows=None) -> Fitted:
+    return _fit_binary(RandomForestClassifier, [params or BINARY_FOREST], train, test, features, label, weighted, max_rows)
 
 
-def fit_binary_gbt(train, test, features, label="binary_label", grid=None, weighted=True) -> Fitted:
+def fit_binary_gbt(train, test, features, label="binary_label", grid=None, weighted=True, max_rows=None) -> Fitted:
     """The grid entry with the best ROC area."""
-    return _fit_binary(GBTClassifier, grid or BINARY_GBT_GRID, train, test, features, label, weighted)
+    return _fit_binary(GBTClassifier, grid or BINARY_GBT_GRID, train, test, features, label, weighted, max_rows)
 
 
 def fit_category_forest(
-    train, test, features, label="class_label", grid=None, weighted=True, categoricals=CATEGORICALS
+    train, test, features, label="class_label", grid=None, weighted=True, categoricals=CATEGORICALS, max_rows=None
 ) -> Fitted:
     """Category model on attack rows: best of 0.7 accuracy + 0.3 weighted F1."""
 
@@ -160,7 +183,7 @@ def fit_category_forest(
     return _fit_best(
         category_stages(features, categoricals), candidates, train.where(attacks), test.where(attacks),
         label, None, weighted, [*features, *categoricals], evaluate_category,
-        lambda m: ACCURACY_SHARE * m["accuracy"] + F1_SHARE * m["weighted_f1"],
+        lambda m: ACCURACY_SHARE * m["accuracy"] + F1_SHARE * m["weighted_f1"], max_rows,
     )
 
 
