@@ -84,13 +84,15 @@ def _above(spark, d, *names):
 #: Shares of the rows of a label, or of the attack rows, that have to be right. The forests reach 0.92 and more, and 0.83; a constant
 #: fails for one label, and has the share of the largest category.
 RIGHT = {"binary": 0.8, "category": 0.65}
-#: Floors of the models' metrics on rows they have not seen; measured are 0.98, 0.98, and 0.92 (binary) and 0.83 (nine categories).
+#: Floors of the models' metrics on rows they have not seen. Measured (sf0.001) are 0.98, 0.98, 0.92 and 0.92 for the binary forest and 0.83 for nine
+#: categories; boosted trees 0.98, 0.90, 0.91 and 0.91. A constant has areas of about a half, and accuracies below 0.6 and 0.35.
 _FLOORS = {"auc_roc": 0.9, "auc_pr": 0.9, "accuracy": 0.8, "weighted_f1": 0.8}
+_BOOSTED_FLOORS = {"auc_roc": 0.85, "auc_pr": 0.75, "accuracy": 0.75, "weighted_f1": 0.75}
 _CATEGORY_FLOORS = {"accuracy": 0.65, "weighted_f1": 0.65}
 
 
 def _floors(model: str) -> dict[str, float]:
-    return _CATEGORY_FLOORS if "category" in model else _FLOORS
+    return _CATEGORY_FLOORS if "category" in model else _BOOSTED_FLOORS if "gbt" in model else _FLOORS
 
 
 _BINARY = ("auc_roc", "auc_pr", "accuracy", "weighted_f1")
