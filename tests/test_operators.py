@@ -203,3 +203,16 @@ def test_index_by_frequency_like_the_fitted_indexer(spark):
     got, _ = labels.index_by_frequency(rows, "proto", "idx", codes)
     assert got.columns == ["proto", "id", "idx"] and {r.id: r.idx for r in got.collect()} == want
     assert labels.index_by_frequency(rows.limit(0), "proto", "idx")[0].count() == 0
+
+
+def test_rules_decide_rows_at_one_half_in_one_order(spark):
+    """The linear part of these rows is zero but for rounding: the bias comes last in the columns, in numpy and in the SQL."""
+    values = [(272.0, 1.0, 335.0), (278.0, 1.0, 344.0), (280.0, 1.0, 347.0), (300.0, 1.0, 20.0), (0.0, 40.0, 0.0)]
+    weights = [score.RULE_WEIGHTS[c] for c in score.RULE_FEATURES]
+    expected = [int(1 / (1 + np.exp(-(r * weights[0] + s * weights[1] + d * weights[2] + score.RULE_BIAS))) >= 0.5) for r, s, d in values]
+    rows = spark.createDataFrame([(i, *v) for i, v in enumerate(values)], "i int, rate double, sbytes double, dur double")
+    found = score.rule_scores(rows, include_normal=True).orderBy("i").collect()
+    assert [r.binary_prediction for r in found] == expected == [0, 0, 0, 1, 1]
+    for size in (1, 2, len(values)):
+        parts = [score.NumpyRules()(np.array(values[i : i + size])) for i in range(0, len(values), size)]
+        assert [int(p >= 0.5) for part in parts for p in part["binary_probability"]] == expected
