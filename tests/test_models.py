@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flowwarden.plans import features, score, train
+from flowwarden.plans import features, forests, score, train
 from flowwarden.session import work_path
 
 
@@ -60,3 +60,26 @@ def test_feature_names_fall_back_to_positions(spark, flows):
     model = train.fit_binary_forest(flows, flows, ["dur", "rate"], params={"numTrees": 2, "maxDepth": 2}).model
     assert train.top_features(spark, model, ["dur", "rate"]).first().feature == "dur"
     assert train.top_features(spark, model, ["only-one"]).first().feature == "feature_0"
+
+
+@pytest.mark.parametrize("depth, trees", [(2, 3), (12, 150)])
+def test_packed_forests_vote_as_spark_does(spark, depth, trees):
+    """Bit by bit, with more leaves than a word has, splits on categories, one value in no split and values on thresholds."""
+    h = lambda s, m: F.pmod(F.xxhash64("id", F.lit(s)), F.lit(m)).cast("double")
+    rows = spark.range(3000).select(
+        h(1, 1000).alias("dur"), (h(2, 7) / 3).alias("rate"), h(3, 40).alias("sload"),
+        *[F.concat(F.lit("v"), h(i, n).cast("int").cast("string")).alias(c) for i, (c, n) in enumerate({"proto": 9, "service": 4, "state": 1}.items(), 4)],
+    ).withColumn("class_label", F.pmod(F.floor(F.col("dur") / 90) + F.length("proto") + F.col("sload").cast("int"), F.lit(11)).cast("double"))
+    grid = [{"numTrees": trees, "maxDepth": depth, "maxBins": 64}]
+    model = train.fit_category_forest(rows, rows, ["dur", "rate", "sload"], grid=grid).model
+    unseen = rows.withColumn("proto", F.when(F.col("dur") < 300, "new").otherwise(F.col("proto")))
+    plain, packed = (m.select("category_probs", "category_prediction").collect() for m in (model.transform(unseen), forests.transform(model, unseen)))
+    assert plain == packed
+    assert depth == 2 or forests.packed(model.stages[-1], spark).blocks[0][0].shape[2] > 1
+
+
+def test_packed_forest_of_single_leaves(spark, flows):
+    rows = flows.withColumn("absent", F.lit(0.0))
+    one = train.fit_binary_forest(rows, rows, ["absent"], params={"numTrees": 2, "maxDepth": 1}).model
+    plain, packed = (m.select("binary_probs", "binary_prediction").collect() for m in (one.transform(rows), forests.transform(one, rows)))
+    assert plain == packed
