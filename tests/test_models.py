@@ -83,3 +83,17 @@ def test_packed_forest_of_single_leaves(spark, flows):
     one = train.fit_binary_forest(rows, rows, ["absent"], params={"numTrees": 2, "maxDepth": 1}).model
     plain, packed = (m.select("binary_probs", "binary_prediction").collect() for m in (one.transform(rows), forests.transform(one, rows)))
     assert plain == packed
+
+
+def test_models_fit_on_rows_that_are_written_once(spark, sf):
+    from flowwarden.operators import sampling
+    from flowwarden.plans import bindings
+    from flowwarden.queries import models
+
+    first, again = models._splits(spark, sf), models._splits(spark, sf)
+    read = [set(part.inputFiles()) for part in (*first, *again)]
+    assert all(files == read[0] for files in read) and not any(sf in f for f in read[0])
+    raw = bindings.raw_flows(spark, sf)
+    direct = sampling.split_by_hash(raw.withColumn("_key", F.xxhash64(*raw.columns)), "_key", models.TEST_SHARE)
+    assert [p.count() for p in first] == [p.count() for p in direct]
+    assert first[1].agg(F.sum("sbytes")).first() == direct[1].agg(F.sum("sbytes")).first()
