@@ -34,10 +34,12 @@ def parse_messages(df: DataFrame, schema: T.StructType, required: tuple[str, ...
     The schema carries a corrupt-record field: without it a broken message would come out as a
     row of nulls and be scored as zeros. So would a message without its ``required`` fields (by default
     key, time and session, where the schema has them): it is bad, too.
+
+    The text is parsed behind an explode of one entry, which filters are not pushed through: else each condition of ``bad`` would parse it again.
     """
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **JSON_TIMES}
-    parsed = df.where(F.col("value").isNotNull()).withColumn("row", F.from_json("value", full, options))
+    parsed = df.where(F.col("value").isNotNull()).withColumn("row", F.explode(F.array(F.from_json("value", full, options))))
     bad = F.col("row").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
     for c in KEYS if required is None else required:
         if c in schema.names:

@@ -52,6 +52,13 @@ def test_broken_messages(spark):
     assert sorted(r.value for r in messages.bad_rows(parsed).collect()) == sorted(["not json", '{"rate": "x"}', "{}", '{"rate": 1.0}'])
 
 
+def test_messages_are_parsed_once(spark):
+    """The conditions of a good message read what is parsed: pushed below it, each of them would parse the text again."""
+    rows = spark.createDataFrame([('{"rate": 1.0}',)], "value string").localCheckpoint()
+    good = messages.good_rows(messages.parse_messages(rows, MESSAGE_SCHEMA), MESSAGE_SCHEMA)
+    assert good._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+
+
 def test_failed_batch_is_run_again(spark):
     """An error after half the work stops the query; the restart loses nothing and doubles nothing."""
     folder, path, offsets = (work_path(spark, n) for n in ("in", "out", "offsets"))
