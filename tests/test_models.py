@@ -97,3 +97,29 @@ def test_models_fit_on_rows_that_are_written_once(spark, sf):
     direct = sampling.split_by_hash(raw.withColumn("_key", F.xxhash64(*raw.columns)), "_key", models.TEST_SHARE)
     assert [p.count() for p in first] == [p.count() for p in direct]
     assert first[1].agg(F.sum("sbytes")).first() == direct[1].agg(F.sum("sbytes")).first()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_forests_take_numbers_and_no_vectors(spark, flows):
+    """Vectors are a call per row and stage; they are made where somebody reads them only, and give the same scores."""
+    rows = flows.withColumn("dur", F.when(F.col("dur") == 9, float("nan")).when(F.col("dur") == 8, None).otherwise(F.col("dur")))
+    small = {"numTrees": 5, "maxDepth": 4}
+    binary = train.fit_binary_forest(flows, flows, ["dur", "rate"], params=small).model
+    category = train.fit_category_forest(flows, flows, ["dur", "rate"], grid=[small]).model
+    scored = score.score_binary(rows, binary, ["dur", "rate"])
+    assert "UDF(" not in _plan(scored.groupBy("binary_prediction").agg(F.sum("binary_probability")))
+    both = score.cascade(rows, binary, category, ["dur", "rate"])
+    assert "features_vec" in both.columns and "UDF(named_struct" not in _plan(both.select("attack_type", "binary_probability"))
+    plain = binary.transform(score.clean_features(rows, ["dur", "rate"])).select("binary_probs", "binary_prediction", "features_vec").collect()
+    ours = scored.select("binary_probability", "binary_prediction", "features_vec").collect()
+    assert [(r[0][1], r[1], r[2]) for r in plain] == [tuple(r) for r in ours]
+
+
+def test_other_models_score_through_spark(spark, flows):
+    model = train.fit_binary_gbt(flows, flows, ["dur", "rate"], grid=[{"maxIter": 2, "maxDepth": 2}]).model
+    plain = model.transform(flows).select("binary_probs", "binary_prediction").collect()
+    ours = score.score_binary(flows, model, ["dur", "rate"]).select("binary_probability", "binary_prediction").collect()
+    assert [(r[0][1], r[1]) for r in plain] == [tuple(r) for r in ours]
