@@ -123,3 +123,16 @@ def test_other_models_score_through_spark(spark, flows):
     plain = model.transform(flows).select("binary_probs", "binary_prediction").collect()
     ours = score.score_binary(flows, model, ["dur", "rate"]).select("binary_probability", "binary_prediction").collect()
     assert [(r[0][1], r[1]) for r in plain] == [tuple(r) for r in ours]
+
+
+@pytest.mark.parametrize("depth, words", [(3, 1), (14, 2)])
+def test_two_classes_vote_as_spark_does(spark, depth, words):
+    """Bit by bit, and blocks of trees work with as many words of masks as their own leaves need."""
+    h = lambda s, m: F.pmod(F.xxhash64("id", F.lit(s)), F.lit(m)).cast("double")
+    rows = spark.range(5000).select(h(1, 1000).alias("dur"), (h(2, 700) / 3).alias("rate"), h(3, 2).alias("binary_label"))
+    model = train.fit_binary_forest(rows, rows, ["dur", "rate"], params={"numTrees": 40, "maxDepth": depth, "maxBins": 64}).model
+    plain, packed = (m.select("binary_probs", "binary_prediction").collect() for m in (model.transform(rows), forests.transform(model, rows)))
+    assert plain == packed
+    planes = forests.packed(model.stages[-1], spark).planes
+    assert len(planes) == 3 and all((len(block) > 1) == (words > 1) for block in planes)
+    assert all(table.ndim == 2 and table.flags.c_contiguous for block in planes for tables in block for table in tables)
