@@ -136,3 +136,31 @@ def test_two_classes_vote_as_spark_does(spark, depth, words):
     planes = forests.packed(model.stages[-1], spark).planes
     assert len(planes) == 3 and all((len(block) > 1) == (words > 1) for block in planes)
     assert all(table.ndim == 2 and table.flags.c_contiguous for block in planes for tables in block for table in tables)
+
+
+def test_preparation_is_fitted_from_plain_columns(spark, flows):
+    """The same preparation as by vectors, for several columns, one that is constant and the categories."""
+    rows = flows.withColumns({"absent": F.lit(3.0), "big": 1e6 + F.col("rate")})
+    stages = features.category_stages(["dur", "rate", "absent", "big"])
+    plain, ours = stages.fit(rows), features.fit_stages(stages, rows)
+    for of in ("mean", "std"):
+        assert getattr(ours.stages[1], of).toArray() == pytest.approx(getattr(plain.stages[1], of).toArray(), rel=1e-9, abs=1e-12)
+    assert ours.stages[1].std[2] == 0 and ours.stages[2].labelsArray == plain.stages[2].labelsArray
+    one = features.fit_stages(features.binary_stages(["dur"]), rows.limit(1))
+    assert one.stages[1].std[0] == 0
+
+
+def test_written_rows_hold_what_fits_use(spark, sf):
+    from flowwarden.queries import models
+
+    used = {"binary_label", "class_label", "proto", "service", "state", *models.FLOW_FEATURES}
+    assert all(set(part.columns) == used for part in models._splits(spark, sf))
+
+
+def test_fits_score_test_rows_without_vectors(spark, flows, monkeypatch):
+    plans, evaluate = [], train.evaluate_category
+    seen = lambda scored, label: plans.append(_plan(scored.groupBy(label).agg(F.max("_found.said")))) or evaluate(scored, label)
+    monkeypatch.setattr(train, "evaluate_category", seen)
+    train.fit_category_forest(flows, flows, ["dur", "rate"], grid=[{"numTrees": 3, "maxDepth": 3}])
+    assert len(plans) == 1 and "ArrowEvalPython" in plans[0] and "UDF(named_struct" not in plans[0]
+    assert plans[0].count("InMemoryRelation") == 1  # the table given; one candidate needs no copy of it
