@@ -164,3 +164,16 @@ def test_fits_score_test_rows_without_vectors(spark, flows, monkeypatch):
     train.fit_category_forest(flows, flows, ["dur", "rate"], grid=[{"numTrees": 3, "maxDepth": 3}])
     assert len(plans) == 1 and "ArrowEvalPython" in plans[0] and "UDF(named_struct" not in plans[0]
     assert plans[0].count("InMemoryRelation") == 1  # the table given; one candidate needs no copy of it
+
+
+def test_forests_side_by_side_read_rows_once(spark, flows):
+    other = flows.withColumn("binary_label", 1 - F.col("binary_label"))
+    some, more = (train.fit_binary_forest(rows, rows, ["dur", "rate"], params={"numTrees": 3, "maxDepth": 4}).model for rows in (flows, other))
+    both = forests.side_by_side({"a": some, "b": more}, flows)
+    assert _plan(both.groupBy("a.said").agg(F.count_if(F.col("b.said") == 1))).count("ArrowEvalPython") == 1
+    apart = [m.transform(flows).select("binary_probs").collect() for m in (some, more)]
+    assert [(r.a.probs, r.b.probs) for r in both.collect()] == [(list(x[0]), list(y[0])) for x, y in zip(*apart)]
+    assert apart[0] != apart[1]
+    category = train.fit_category_forest(flows, flows, ["dur"], grid=[{"numTrees": 2, "maxDepth": 2}]).model
+    with pytest.raises(ValueError, match="c is no forest over"):
+        forests.side_by_side({"a": some, "c": category}, flows)
